@@ -148,17 +148,17 @@ VIEWS = {
            CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END AS des FROM orders) b
         ON a.related = b.code""",
     "daily": """
-      SELECT d.date, s.batch_no, b.supplier_code, s.goods_code AS product_code,
+      SELECT s.date, s.batch_no, b.supplier_code, s.goods_code AS product_code,
         s.location_code AS station_code, s.storage, s.amount, p.price, p.flow_price, b.cost_price
-      FROM (SELECT CAST(range AS DATE) AS date FROM range(TIMESTAMP '{first}', TIMESTAMP '{last}' + INTERVAL 1 DAY, INTERVAL 1 DAY)) d
-      JOIN LATERAL (
-        SELECT batch_no, goods_code, location_code, storage, sum(amount) AS amount FROM (
-          SELECT batch_no, goods_code, location_code, storage, available_amount AS amount
+      FROM (
+        SELECT d.date, batch_no, goods_code, location_code, storage, sum(amount) AS amount FROM (
+          SELECT batch_no, goods_code, location_code, storage, available_amount AS amount, NULL AS t
           FROM stock WHERE available_amount > 0
           UNION ALL
-          SELECT batch_no, goods_code, location_code, storage, -in_out_flag * amount
-          FROM ledger WHERE create_time >= d.date + INTERVAL 1 DAY) m
-        GROUP BY ALL HAVING sum(amount) <> 0) s ON true
+          SELECT batch_no, goods_code, location_code, storage, -in_out_flag * amount, create_time FROM ledger) m
+        JOIN (SELECT unnest(range(TIMESTAMP '{first}', TIMESTAMP '{last}' + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS date) d
+          ON m.t IS NULL OR m.t >= d.date + INTERVAL 1 DAY
+        GROUP BY ALL HAVING sum(amount) <> 0) s
       JOIN stock p USING (batch_no, goods_code, location_code, storage)
       JOIN batch b USING (batch_no, goods_code)""",
     "counted": """

@@ -23,12 +23,11 @@ def append(df: DataFrame, path: str) -> None:
 def reload_days(df: DataFrame, path: str, day: str = "date") -> None:
     """Rewrite only the days present in ``df``; other days of the table are left alone.
 
-    Rows are spread by day and a row hash, so one busy day is written by many tasks.
+    Rows are rebalanced by day: small days share a task, and adaptive execution cuts a busy day
+    into several tasks and files.
     """
-    spread = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(32)))
     (
-        spread.repartition(F.col(day), F.col("_slice"))
-        .drop("_slice")
+        df.hint("rebalance", F.col(day))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
