@@ -43,10 +43,15 @@ def split_join(
         return facts.join(lookup, list(keys), how)
     is_hot = F.xxhash64(*keys).isin(hot)
     zero = F.lit(0).cast("long")
-    # The slice depends on the row's content only, so a recomputed task deals the same way.
+    # The slice depends on the row's content only, so a recomputed task deals the same way.  Both
+    # sides get it from explode: as a plain alias the optimizer would carry the expression through
+    # its constraints, once per combination of joined keys.
+    row = [c for c in facts.columns if c not in keys] or list(keys)
     dealt = facts.withColumn(
         "_slice",
-        F.when(is_hot, F.pmod(F.xxhash64(*facts.columns), F.lit(SLICES))).otherwise(zero),
+        F.explode(
+            F.array(F.when(is_hot, F.pmod(F.xxhash64(*row), F.lit(SLICES))).otherwise(zero))
+        ),
     )
     every = F.sequence(zero, F.lit(SLICES - 1).cast("long"))
     repeated = lookup.withColumn(

@@ -104,7 +104,8 @@ def product_wide(
         .agg(F.min(F.struct("brand_code", "brand_name", "brand_line_name")).alias("_brand"))
     )
     content = F.col("content_type") == 1
-    code = F.when(content, F.col("territory_code")).otherwise(F.col("category_code"))
+    # A territory the table lacks leaves the path empty.
+    code = F.when(content, F.col("_territory")).otherwise(F.col("category_code"))
     rows = (
         skus.join(spus, "spu_code")
         .join(author_names, "spu_code", "left")
@@ -116,7 +117,13 @@ def product_wide(
             "background_category_code",
         )
         .withColumnRenamed("background_category_code", "category_code")
-        .join(territories.select("territory_code", "territory_name"), "territory_code", "left")
+        .join(
+            territories.select(
+                "territory_code", "territory_name", F.col("territory_code").alias("_territory")
+            ),
+            "territory_code",
+            "left",
+        )
         .join(brand, "spu_code")
     )
     return rows.select(

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import materialise
+
 # Trailing windows in days.
 WINDOWS = (60, 30, 15, 7)
 # Bays counted as shop stock, shop stock with goods on their way, logistics stock.
@@ -56,7 +58,12 @@ def shortage_wide(
     suppliers: DataFrame, day: dt.date,
 ) -> DataFrame:
     """Trailing sales and stock per station, supplier and product, with station counts and the
-    stock of the logistics station that serves the shop."""
+    stock of the logistics station that serves the shop.
+
+    Both inputs are read several times, so each is written once instead of being computed again
+    from the change and stock tables.
+    """
+    sales, bases = materialise(sales, "trailing-sales"), materialise(bases, "stock-bases")
     measures = [*SALES, "stock_amount_normal", "stock_amount_normal_storage"]
     # A stock row of another kind of place or bay makes no line of its own.
     useful = bases.where(
