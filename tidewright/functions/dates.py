@@ -14,10 +14,14 @@ TS_TEXT = r"\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}"
 DURATION_UNITS = (("天", 86400), ("小时", 3600), ("分钟", 60), ("秒钟", 1))
 
 
+def wall_time(text: Column) -> Column:
+    """Text already known to look like a log timestamp; an impossible date is null."""
+    return F.translate(text, "/", "-").try_cast("timestamp_ntz")
+
+
 def parse_ts(text: Column) -> Column:
     """Strict ``yyyy/MM/dd HH:mm:ss`` to a wall-clock timestamp; anything else is null."""
-    wall = F.translate(F.trim(text), "/", "-").try_cast("timestamp_ntz")
-    return F.when(F.trim(text).rlike(f"^{TS_TEXT}$"), wall)
+    return F.when(F.trim(text).rlike(f"^{TS_TEXT}$"), wall_time(F.trim(text)))
 
 
 def format_ts(ts: Column) -> Column:

@@ -14,7 +14,7 @@ _COUNTER_TEXT = r"\(\s*" + r"\s*,\s*".join(rf"{c}=(\d+)" for c in COUNTERS) + r"
 
 def step_name(step: Column) -> Column:
     """Step without its copy number and without blanks; digits inside the name stay."""
-    return F.replace(F.regexp_replace(F.trim(step), r"\.\d+$", ""), F.lit(" "), F.lit(""))
+    return F.translate(F.regexp_replace(F.trim(step), r"\.\d+$", ""), " ", "")
 
 
 def step_copy(step: Column) -> Column:

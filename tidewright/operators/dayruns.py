@@ -104,35 +104,38 @@ def archive(events: DataFrame, bucket: int = RANGE_BUCKET) -> DataFrame:
     )
 
 
-def step_metrics(events: DataFrame) -> DataFrame:
-    """Per file, day and step: first and last time, duration and the last line's row counters."""
-    keys = ["file", "day", "step"]
+def step_metrics(events: DataFrame, details: bool = False) -> DataFrame:
+    """Per file, day and step: first and last time, duration and the last line's row counters.
+
+    Counters are numbers before they are aggregated, so the aggregate stays a hash aggregate;
+    ``details`` adds the first and last detail text, which makes it a sort aggregate.
+    """
+    texts = [
+        F.min_by("detail", "line_no").alias("first_detail"),
+        F.max_by("detail", "line_no").alias("last_detail"),
+    ]
     ends = (
         events.where(F.col("ts").isNotNull())
         .groupBy("file", F.to_date("ts").alias("day"), "step")
         .agg(
             F.min("ts").alias("min_ts"),
             F.max("ts").alias("max_ts"),
-            F.min_by("detail", "line_no").alias("first_detail"),
-            F.max_by("detail", "line_no").alias("last_detail"),
+            *[
+                F.max_by(value, "line_no").alias(f"rows_{name.lower()}")
+                for name, value in counters(F.col("detail")).items()
+            ],
+            *(texts if details else []),
         )
     )
     seconds = duration_seconds(F.col("min_ts"), F.col("max_ts"))
-    return ends.select(
-        *keys,
-        "min_ts",
-        "max_ts",
-        seconds.alias("duration_seconds"),
-        duration_text(seconds).alias("duration_text"),
-        *[c.alias(f"rows_{n.lower()}") for n, c in counters(F.col("last_detail")).items()],
-        "first_detail",
-        "last_detail",
+    return ends.withColumns(
+        {"duration_seconds": seconds, "duration_text": duration_text(seconds)}
     )
 
 
 def join_lineage(metrics: DataFrame, lineage: DataFrame) -> DataFrame:
     """Metrics of the steps that are a lineage source, with the pipeline they belong to."""
-    return metrics.drop("first_detail", "last_detail").join(
+    return metrics.join(
         lineage.withColumnRenamed("from_table", "step"), "step"
     ).withColumnRenamed("step", "from_table")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import TS_TEXT, parse_ts
+from ..functions.dates import TS_TEXT, wall_time
 from ..functions.texts import step_copy, step_name
 
 # The three spellings that mark an error line.
@@ -15,7 +15,10 @@ ERROR_SPELLINGS = ("error", "ERROR", "Error")
 # Fixed value: lines of this framework component are noise, not failures.
 BENIGN_ERRORS = (r"org\.osgi\.service\.cm\.ManagedService",)
 
-_DATED = f"^{TS_TEXT} - "
+_SEPARATOR = " - "
+_DATED = f"^{TS_TEXT}{_SEPARATOR}"
+_STAMP_WIDTH = len("yyyy/MM/dd HH:mm:ss")
+_STEP_AT = _STAMP_WIDTH + len(_SEPARATOR) + 1
 
 
 def drop_blank(lines: DataFrame) -> DataFrame:
@@ -30,17 +33,19 @@ def parse_events(lines: DataFrame) -> DataFrame:
     detail.  Every other line keeps its text as detail and has neither time nor step.  Stateless,
     so it works on streaming input as well.
     """
-    parts = F.split(F.col("value"), " - ", 3)
-    dated = F.col("value").rlike(_DATED) & (F.size(parts) == 3)
-    step = F.get(parts, F.lit(1))
+    value = F.col("value")
+    # Plain positions instead of a split: the timestamp has a fixed width.
+    cut = F.locate(_SEPARATOR, value, _STEP_AT)
+    dated = value.rlike(_DATED) & (cut > 0)
+    step = F.substr(value, F.lit(_STEP_AT), cut - _STEP_AT)
     kept = [c for c in lines.columns if c != "value"]
     return lines.select(
         *kept,
-        F.when(dated, parse_ts(F.get(parts, F.lit(0)))).alias("ts"),
+        F.when(dated, wall_time(F.left(value, F.lit(_STAMP_WIDTH)))).alias("ts"),
         F.when(dated, step_name(step)).alias("step"),
         F.when(dated, step_copy(step)).alias("copy"),
-        F.when(dated, F.get(parts, F.lit(2))).otherwise(F.col("value")).alias("detail"),
-        F.col("value").alias("raw"),
+        F.when(dated, F.substr(value, cut + len(_SEPARATOR))).otherwise(value).alias("detail"),
+        value.alias("raw"),
     )
 
 

@@ -10,17 +10,32 @@ from pyspark.sql import functions as F
 # A key is hot when it holds more than this part of the rows; at most 1/HOT_PART keys can.
 HOT_PART = 0.005
 SLICES = 64
+BUCKETS = 4096
+# Below this many rows no key can hurt, however large its part.
+FEW_ROWS = 100_000
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of every key holding more than HOT_PART of the rows (and maybe some others).
+def hot_hashes(df: DataFrame, keys: Sequence[str], few: int = FEW_ROWS) -> list[int]:
+    """Hashes of the keys that hold more than HOT_PART of the rows.
 
-    The frequent-item sketch never misses such a key, combines before it shuffles, and returns
-    at most 1/HOT_PART numbers whatever the size of ``df``.  They are fetched once, because both
-    sides of the join must agree on them even when tasks are run again.
+    Rows are first counted in BUCKETS hash buckets, a plain hash aggregate.  A hot key makes its
+    bucket heavy, so only heavy buckets, at most 1/HOT_PART of them and mostly none, are counted
+    by key.  The driver gets BUCKETS counts and at most 1/HOT_PART hashes whatever the size of
+    ``df``.  They are fetched once, because both sides of the join must agree on them even when
+    tasks are run again.
     """
-    found = df.select(F.xxhash64(*keys).alias("h")).freqItems(["h"], HOT_PART).first()
-    return sorted(found[0] or [])
+    key = F.xxhash64(*keys)
+    bucket = F.pmod(key, F.lit(BUCKETS))
+    counts = {r[0]: r[1] for r in df.groupBy(bucket).count().collect()}
+    total = sum(counts.values())
+    limit = HOT_PART * total
+    heavy = [b for b, n in counts.items() if n > limit]
+    if not heavy or total < few:
+        return []
+    found = (
+        df.where(bucket.isin(heavy)).groupBy(key.alias("h")).count().where(F.col("count") > limit)
+    )
+    return sorted(r["h"] for r in found.collect())
 
 
 def split_join(
@@ -29,6 +44,7 @@ def split_join(
     keys: Sequence[str],
     how: str = "inner",
     keys_of: DataFrame | None = None,
+    few: int = FEW_ROWS,
 ) -> DataFrame:
     """Equi-join in which the fact rows of hot keys are dealt over SLICES tasks.
 
@@ -38,7 +54,7 @@ def split_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins can be split on the fact side")
-    hot = hot_hashes(facts if keys_of is None else keys_of, keys)
+    hot = hot_hashes(facts if keys_of is None else keys_of, keys, few)
     if not hot:
         return facts.join(lookup, list(keys), how)
     is_hot = F.xxhash64(*keys).isin(hot)

@@ -83,7 +83,7 @@ def log_error_tail(t: Tables):
 
 
 def log_step_metrics(t: Tables):
-    return plain(dayruns.step_metrics(_events(t)).drop("file", "first_detail", "last_detail"))
+    return plain(dayruns.step_metrics(_events(t)).drop("file"))
 
 
 def log_archive(t: Tables):
