@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewright.durable import shared_folder
-from tidewright.operators import allocate, incremental, numbering, skew
+from tidewright.operators import allocate, audit, dayruns, incremental, numbering, skew
 from tidewright.plans import batches, cards, consumption, dimensions, sales, stock
-from tidewright.sources import jdbc, tables
+from tidewright.sources import catalog, jdbc, tables
 
 
 def rows(df, *columns):
@@ -329,3 +329,27 @@ def test_stock_columns_default_to_zero(spark):
     held = spark.createDataFrame([(1, 1, 3, 4)], "station_code int, product_code int, local_stock_amount int, on_storage_stock_amount int")
     got = sales.emphasis_with_stock(sale, held)
     assert rows(got, "product_code", "local_stock_amount", "on_storage_stock_amount") == [(1, 3, 4), (2, 0, 0)]
+
+
+def test_catalogue_and_audit(spark):
+    df = spark.range(5)
+    got = catalog.load("purchase_system.goods", df, df.where("id < 3"))
+    assert rows(got) == [(3,), (4,)]
+    assert catalog.load("purchase_system.goods", df, df, mode="full").count() == 5
+    assert catalog.modes("author") == ["full"]
+    with pytest.raises(KeyError):
+        catalog.load("nothing", df, df)
+    with pytest.raises(ValueError):
+        catalog.load("author", df, df, mode="by_id")
+    seen, rows_seen = audit.counted(df, "rows of the load")
+    seen.write.format("noop").mode("overwrite").save()
+    assert rows_seen.get["rows"] == 5
+
+
+def test_big_range_tables_are_not_broadcast(spark, monkeypatch):
+    events = spark.range(1, 401).selectExpr("'f' AS file", "id AS line_no")
+    ranges = spark.range(40).selectExpr("'f' AS file", "id * 10 + 1 AS start_line", "id * 10 + 10 AS end_line")
+    for few in (100_000, 1):
+        monkeypatch.setattr(dayruns, "BROADCAST_ROWS", few)
+        monkeypatch.setattr(dayruns, "RANGE_BUCKET", 7)
+        assert dayruns.in_ranges(events, ranges).count() == 400

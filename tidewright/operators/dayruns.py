@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import materialise
 from ..functions.dates import duration_seconds, duration_text
 from ..functions.texts import counters
 from .loglines import BENIGN_ERRORS, error_lines
 
 SUCCESS, FAILED, NOT_EXECUTED = "success", "failed", "not_executed"
 
-# Lines per equi-join bucket of a line-range join.
+# Least number of lines per equi-join bucket of a line-range join.
 RANGE_BUCKET = 1_000_000
+# Rows of a range table that may be broadcast; a row is a file name and a few numbers.
+BROADCAST_ROWS = 100_000
 
 
 def day_windows(events: DataFrame, marker: str) -> DataFrame:
@@ -40,24 +43,34 @@ def day_bounds(events: DataFrame) -> DataFrame:
     )
 
 
-def in_ranges(events: DataFrame, ranges: DataFrame, bucket: int = RANGE_BUCKET) -> DataFrame:
+def in_ranges(events: DataFrame, ranges: DataFrame, bucket: int | None = None) -> DataFrame:
     """Join lines to (file, start_line, end_line, …) ranges that contain them.
 
-    Lines and ranges meet on (file, line bucket), so one huge file is still spread over many
-    tasks; the exact bounds are checked inside the bucket.
+    Lines and ranges meet on (file, line bucket), so one huge file is spread over many tasks and
+    a line is tested against the ranges of its own bucket only.  The ranges are a small table of
+    files times days; they are written once, and broadcast when their counted number of bucket
+    rows is small, which saves shuffling the log.  Otherwise the join shuffles.
     """
-    block = F.floor(F.col("line_no") / F.lit(bucket))
+    ranges = materialise(ranges, "line-ranges")
+    size = ranges.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.col("end_line") - F.col("start_line") + 1), F.lit(0)).alias("span"),
+    ).first()
+    width = bucket or max(RANGE_BUCKET, -(-size["span"] // BROADCAST_ROWS))
     covered = ranges.withColumn(
         "_bucket",
         F.explode(
             F.sequence(
-                F.floor(F.col("start_line") / F.lit(bucket)),
-                F.floor(F.col("end_line") / F.lit(bucket)),
+                F.floor(F.col("start_line") / F.lit(width)),
+                F.floor(F.col("end_line") / F.lit(width)),
             )
         ),
     )
+    # A range of k lines touches at most k/width + 2 buckets.
+    if 2 * size["n"] + size["span"] / width <= 2 * BROADCAST_ROWS:
+        covered = F.broadcast(covered)
     return (
-        events.withColumn("_bucket", block)
+        events.withColumn("_bucket", F.floor(F.col("line_no") / F.lit(width)))
         .join(covered, ["file", "_bucket"])
         .where(F.col("line_no").between(F.col("start_line"), F.col("end_line")))
         .drop("_bucket")
@@ -68,10 +81,11 @@ def verdicts(
     events: DataFrame,
     windows: DataFrame,
     benign: Sequence[str] = BENIGN_ERRORS,
-    bucket: int = RANGE_BUCKET,
+    bucket: int | None = None,
 ) -> DataFrame:
     """(file, day, start_line, end_line, first_error, n_errors, status) for each window."""
     keys = ["file", "day"]
+    windows = materialise(windows, "day-windows")
     failing = (
         in_ranges(error_lines(events, benign).select("file", "line_no"), windows, bucket)
         .groupBy(*keys)
@@ -87,7 +101,7 @@ def verdicts(
     )
 
 
-def error_tail(events: DataFrame, days: DataFrame, bucket: int = RANGE_BUCKET) -> DataFrame:
+def error_tail(events: DataFrame, days: DataFrame, bucket: int | None = None) -> DataFrame:
     """Every line from a failed day's first error to the end of the day."""
     tails = days.where(F.col("status") == FAILED).select(
         "file", "day", "status", F.col("first_error").alias("start_line"), "end_line"
@@ -97,7 +111,7 @@ def error_tail(events: DataFrame, days: DataFrame, bucket: int = RANGE_BUCKET) -
     )
 
 
-def archive(events: DataFrame, bucket: int = RANGE_BUCKET) -> DataFrame:
+def archive(events: DataFrame, bucket: int | None = None) -> DataFrame:
     """Every non-blank line between the first and last dated line of a day, text unchanged."""
     return in_ranges(events, day_bounds(events), bucket).select(
         "file", F.col("day").alias("log_date"), "line_no", F.col("raw").alias("detail"), "ts"

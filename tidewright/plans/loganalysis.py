@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import materialise
 from ..operators import dayruns
 from ..operators.days import days_to_analyse
 from ..operators.loglines import BENIGN_ERRORS
@@ -29,14 +30,18 @@ def analyse(
     today: dt.date,
     marker: str,
     benign: Sequence[str] = BENIGN_ERRORS,
+    written: bool = False,
 ) -> Results:
     """Judge every pending day at once and produce the four result tables.
 
-    Parsed ``events`` feed several results; write them to a table first when the log is large.
+    The parsed events feed all four, so they are written once and the text is read and numbered
+    once; ``written`` says that ``events`` already come from a table.
     """
+    if not written:
+        events = materialise(events, "log-events")
     days = days_to_analyse(done_days, today).withColumnRenamed("date", "day")
     windows = dayruns.day_windows(events, marker).join(days, "day", "left_semi")
-    judged = dayruns.verdicts(events, windows, benign)
+    judged = materialise(dayruns.verdicts(events, windows, benign), "day-verdicts")
     good = judged.where(F.col("status") == dayruns.SUCCESS).select("file", "day")
     metrics = dayruns.join_lineage(
         dayruns.step_metrics(events).join(good, ["file", "day"], "left_semi"), lineage

@@ -15,7 +15,7 @@ from ..functions.codes import (
     by_prefix,
     order_sign,
 )
-from ..operators.incremental import align, newer_than_per_source, translate_codes
+from ..operators.incremental import align, newer_than, newer_than_per_source, translate_codes
 from ..operators.skew import split_join
 
 MEMBER, NO_MEMBER = "会员", "非会员"
@@ -115,14 +115,17 @@ def _erp_orders(orders: DataFrame) -> DataFrame:
     ).select("sale_order_code", F.col("id").alias("sale_order_id"))
 
 
+def _fresh(rows: DataFrame, target: DataFrame, origin: str) -> DataFrame:
+    """Rows past the mark of one origin; the mark reaches the scan as a filter."""
+    return newer_than(rows, target.where(F.col("origin_system") == origin), "id")
+
+
 def unified_details(
     center: DataFrame, center_orders: DataFrame, erp: DataFrame, erp_orders: DataFrame,
     stations: DataFrame, target: DataFrame, since: dt.date,
 ) -> DataFrame:
     """Order lines newer than what each origin has already delivered to ``target``."""
-    fresh = newer_than_per_source(
-        center.where(F.col("origin_system") == CENTER), target, "id", ["origin_system"]
-    )
+    fresh = _fresh(center.where(F.col("origin_system") == CENTER), target, CENTER)
     money = F.col("sale_amount") * F.col("sale_price")
     a = align(
         split_join(fresh, _center_orders(center_orders, stations, since), ["sale_order_code"]),
@@ -137,9 +140,7 @@ def unified_details(
         ),
         DETAIL_TYPES,
     )
-    fresh = newer_than_per_source(
-        erp.withColumn("origin_system", F.lit(ERP)), target, "id", ["origin_system"]
-    )
+    fresh = _fresh(erp, target, ERP).withColumn("origin_system", F.lit(ERP))
     b = align(
         split_join(fresh, _erp_orders(erp_orders), ["sale_order_code"]),
         _columns(DETAIL_TYPES),
@@ -153,9 +154,7 @@ def unified_payments(
     stations: DataFrame, target: DataFrame, since: dt.date,
 ) -> DataFrame:
     """Payments of both systems; the data center knows one money amount, ERP two."""
-    fresh = newer_than_per_source(
-        center.where(F.col("origin_system") == CENTER), target, "id", ["origin_system"]
-    )
+    fresh = _fresh(center.where(F.col("origin_system") == CENTER), target, CENTER)
     a = align(
         split_join(fresh, _center_orders(center_orders, stations, since), ["sale_order_code"]),
         _columns(
@@ -167,9 +166,7 @@ def unified_payments(
         ),
         PAYMENT_TYPES,
     )
-    fresh = newer_than_per_source(
-        erp.withColumn("origin_system", F.lit(ERP)), target, "id", ["origin_system"]
-    )
+    fresh = _fresh(erp, target, ERP).withColumn("origin_system", F.lit(ERP))
     b = align(
         split_join(fresh, _erp_orders(erp_orders), ["sale_order_code"]),
         _columns(PAYMENT_TYPES, pay_money=F.abs("pay_money")),
@@ -184,13 +181,15 @@ def unified_wholesale(
     """Wholesale documents of several tables, each tagged with its type and origin, newer than
     the target's mark for that type, purpose and origin."""
     out = None
-    source_keys = ["origin_system", "origin_bill_type", "bill_type"]
     for rows, kind, origin in parts:
-        tagged = rows.withColumns(
+        loaded = target.where(
+            (F.col("origin_system") == origin) & (F.col("origin_bill_type") == kind)
+        )
+        fresh = newer_than_per_source(rows, loaded, key, ["bill_type"]).withColumns(
             {"origin_bill_type": F.lit(kind), "origin_system": F.lit(origin)}
         )
-        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    return newer_than_per_source(out, target, key, source_keys)
+        out = fresh if out is None else out.unionByName(fresh, allowMissingColumns=True)
+    return out
 
 
 def cleaned_bills(
