@@ -34,8 +34,20 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((v is None, str(type(v)), v if v is not None else 0) for v in r))
 
 
-def compare(df, con, sql: str) -> str | None:
-    """None when both sides agree, else a short text saying how they differ."""
+def _same(x: tuple, y: tuple, rel: float) -> bool:
+    if x == y:
+        return True
+    return rel > 0 and all(
+        a == b or (isinstance(a, float) and isinstance(b, float) and math.isclose(a, b, rel_tol=rel))
+        for a, b in zip(x, y)
+    )
+
+
+def compare(df, con, sql: str, rel: float = 0.0) -> str | None:
+    """None when both sides agree, else a short text saying how they differ.
+
+    ``rel`` lets doubles differ by that part, for sums past the digits a double can hold.
+    """
     got = df.collect()
     names = df.columns
     res = con.execute(sql)
@@ -46,7 +58,7 @@ def compare(df, con, sql: str) -> str | None:
     a, b = rows_of(names, got), rows_of(want_names, want)
     if len(a) != len(b):
         return f"{len(a)} rows against {len(b)}; first {a[:1]} {b[:1]}"
-    bad = [(x, y) for x, y in zip(a, b) if x != y]
+    bad = [(x, y) for x, y in zip(a, b) if not _same(x, y, rel)]
     if bad:
         return f"{len(bad)} of {len(a)} rows differ ({sorted(names)}): {bad[0][0]} against {bad[0][1]}"
     return None if a else "no rows on either side"

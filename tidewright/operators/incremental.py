@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import materialise
+
 
 def high_water(target: DataFrame, key: str, floor) -> DataFrame:
     """One row, one column ``mark``: the largest key loaded so far, never under ``floor``."""
@@ -28,8 +30,12 @@ def newer_than(source: DataFrame, target: DataFrame, key: str, floor=0) -> DataF
 def newer_than_per_source(
     source: DataFrame, target: DataFrame, key: str, source_keys: Sequence[str]
 ) -> DataFrame:
-    """One mark per origin; an origin the target has never seen starts from zero."""
-    marks = target.groupBy(*source_keys).agg(F.max(key).alias("_mark"))
+    """One mark per origin; an origin the target has never seen starts from zero.
+
+    The marks are written first: Spark then knows how few they are and broadcasts them, instead
+    of shuffling the source by a key with a handful of values.
+    """
+    marks = materialise(target.groupBy(*source_keys).agg(F.max(key).alias("_mark")), "marks")
     return (
         source.join(marks, list(source_keys), "left")
         .where(F.col(key) > F.coalesce(F.col("_mark"), F.lit(0)))

@@ -15,7 +15,7 @@ BUCKETS = 4096
 FEW_ROWS = 100_000
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], few: int = FEW_ROWS) -> list[int]:
+def hot_hashes(df: DataFrame, keys: Sequence[str], few: int | None = None) -> list[int]:
     """Hashes of the keys that hold more than HOT_PART of the rows.
 
     Rows are first counted in BUCKETS hash buckets, a plain hash aggregate.  A hot key makes its
@@ -30,7 +30,7 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], few: int = FEW_ROWS) -> list[
     total = sum(counts.values())
     limit = HOT_PART * total
     heavy = [b for b, n in counts.items() if n > limit]
-    if not heavy or total < few:
+    if not heavy or total < (FEW_ROWS if few is None else few):
         return []
     found = (
         df.where(bucket.isin(heavy)).groupBy(key.alias("h")).count().where(F.col("count") > limit)
@@ -44,7 +44,7 @@ def split_join(
     keys: Sequence[str],
     how: str = "inner",
     keys_of: DataFrame | None = None,
-    few: int = FEW_ROWS,
+    few: int | None = None,
 ) -> DataFrame:
     """Equi-join in which the fact rows of hot keys are dealt over SLICES tasks.
 

@@ -33,6 +33,13 @@ def _orders(orders: DataFrame, first: Day, last: Day, *columns: str) -> DataFram
     )
 
 
+def _only(rows: DataFrame, wanted: DataFrame, first: Day, last: Day) -> DataFrame:
+    """Rows of the wanted orders; without a day filter all of them, and no join is needed."""
+    if first is None and last is None:
+        return rows
+    return rows.join(wanted.select("sale_order_code"), "sale_order_code", "left_semi")
+
+
 def _lines(details: DataFrame, orders: DataFrame) -> DataFrame:
     return split_join(details, orders, ["sale_order_code"])
 
@@ -172,7 +179,7 @@ def pay_by_category(
         )
         .agg(F.sum(F.col("actual_money") * F.col("in_out_flag")).alias("_paid"))
     )
-    bought = details.join(wanted.select("sale_order_code"), "sale_order_code", "left_semi")
+    bought = _only(details, wanted, first, last)
     parts = _category_shares(bought, products, "fina_category_name", *CATEGORIES)
     keys = [
         "create_date", "sale_type_name", "fina_category_name", *CATEGORIES, "station_code",
@@ -204,7 +211,7 @@ def money_section(
         .drop("_money", "real_money")
     )
     received = (
-        payments.join(wanted.select("sale_order_code"), "sale_order_code", "left_semi")
+        _only(payments, wanted, first, last)
         .join(pay_methods.select("pay_method_code", "pay_method_name"), "pay_method_code")
         .groupBy("sale_order_code", "pay_method_name")
         .agg(F.sum("actual_money").alias("_paid"))
@@ -269,7 +276,7 @@ def marketing_activities(
         .agg(F.sum(F.col("actual_money") * flag).alias("_taken"))
     )
     taken = split_join(tagged, taken, ["sale_order_code"])
-    bought = details.join(wanted.select("sale_order_code"), "sale_order_code", "left_semi")
+    bought = _only(details, wanted, first, last)
     parts = _category_shares(bought, products, "category_two_name")
     picked = spread(taken, parts, "sale_order_code", "_taken", keys, "take_price")
     both = sold.unionByName(picked, allowMissingColumns=True)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.incremental import newer_than, newer_than_per_source
 
+# Mark of a target that is still empty when the caller names none.
+EARLIEST = dt.datetime(1900, 1, 1)
 FULL, BY_ID, BY_TIME, BY_SOURCE = "full", "by_id", "by_time", "by_source"
 
 
@@ -56,7 +58,7 @@ def extract(
     if mode == BY_ID:
         rows = newer_than(source, target, key, floor=0 if floor is None else floor)
     elif mode == BY_TIME:
-        rows = newer_than(source, target, key, floor=floor)
+        rows = newer_than(source, target, key, floor=EARLIEST if floor is None else floor)
     elif mode == BY_SOURCE:
         rows = newer_than_per_source(source, target, key, source_keys or ["origin_system"])
     elif mode != FULL:
