@@ -127,11 +127,18 @@ def stock_change_combined(
         "product_code",
         F.lit(SALE_GIFT).alias("_sale"),
     ).distinct()
-    return (
-        rows.join(papers, ["offset_bill_code", "date"])
-        .join(sold, ["bill_code", "date"], "left")
+    # Everything known per document is put together first, so the many ledger rows of a document
+    # meet it in one join whose hot keys can be seen in the ledger.
+    documents = (
+        papers.join(sold, ["bill_code", "date"], "left")
         .join(own, "offset_bill_code", "left")
         .join(center, ["offset_bill_code", "date"], "left")
+    )
+    scanned = ledger.where(on_days(F.col("create_time"), first, last)).select(
+        F.col("bill_code").alias("offset_bill_code"), F.to_date("create_time").alias("date")
+    )
+    return (
+        split_join(rows, documents, ["offset_bill_code", "date"], keys_of=scanned)
         .join(with_sale, ["bill_code", "date", "product_code"], "left")
         .withColumn("present_reason", F.coalesce("_own", "_center", "_sale"))
         .drop("_own", "_center", "_sale")

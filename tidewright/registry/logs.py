@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..durable import shared_folder
+from ..functions import sqlnames
 from ..operators import dayruns
 from ..operators.days import days_between, days_to_analyse, pending_days
 from ..operators.lineage import reachable, terminal_hops
@@ -101,6 +102,32 @@ def log_pending_days(t: Tables):
     return plain(pending_days(days_between(bounds), _done(t), before=TODAY))
 
 
+def log_newest_pending_days(t: Tables):
+    """The three newest days still to do."""
+    bounds = dayruns.log_days(_events(t)).agg(
+        F.min("day").alias("first"), F.max("day").alias("last")
+    )
+    return plain(pending_days(days_between(bounds), _done(t), before=TODAY, limit=3))
+
+
+def log_sql_functions(t: Tables):
+    """Log lines read with the SQL names of the functions."""
+    sqlnames.register(t.spark)
+    return plain(
+        t.log_lines.selectExpr(
+            "line_no",
+            "log_ts(left(value, 19)) AS ts",
+            "log_day(value) AS day_text",
+            "same_log_day(value, '2024/01/05') AS on_fifth",
+            "log_seconds(left(value, 19), '2024/01/01 00:00:00') AS seconds",
+            "log_counter(value, 'I') AS rows_i",
+            "log_counter(value, 'W') AS rows_w",
+            "number_text_diff(right(value, 3), '1000') AS diff",
+            "child_file(value) AS child",
+        )
+    )
+
+
 def log_days_to_analyse(t: Tables):
     early = t.read("events").where("value > 300").select(
         F.date_sub(F.to_date("ts"), 3).alias("date")
@@ -143,7 +170,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         log_parse, log_text_numbering, log_errors, log_day_window, log_verdict, log_error_tail,
-        log_step_metrics, log_archive, log_day_inventory, log_pending_days, log_days_to_analyse,
+        log_step_metrics, log_archive, log_day_inventory, log_pending_days,
+        log_newest_pending_days, log_sql_functions, log_days_to_analyse,
         log_run_status, log_run_metrics, lineage_terminal_hops, lineage_metrics_join,
         lineage_closure,
     )
@@ -196,6 +224,22 @@ SQL = {
            FROM log WHERE dated)
         WHERE d < DATE '2024-01-31' AND CAST(d AS DATE) NOT IN
           (SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'view' AND value > 200)"""),
+    "log_newest_pending_days": with_views("log", body="""
+        SELECT strftime(d, '%Y-%m-%d') AS date FROM
+          (SELECT unnest(range(min(day)::TIMESTAMP, max(day)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d
+           FROM log WHERE dated)
+        WHERE d < DATE '2024-01-31' AND CAST(d AS DATE) NOT IN
+          (SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'view' AND value > 200)
+        ORDER BY d DESC LIMIT 3"""),
+    "log_sql_functions": with_views("log", body="""
+        SELECT line_no, CASE WHEN dated THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts,
+          split_part(raw, ' ', 1) AS day_text, dated AND day = DATE '2024-01-05' AS on_fifth,
+          CASE WHEN dated THEN CAST(epoch(date_trunc('second', ts)) - epoch(TIMESTAMP '2024-01-01') AS BIGINT) END AS seconds,
+          CASE WHEN event_type = 'signup' THEN event_id ELSE 0 END AS rows_i,
+          CASE WHEN event_type = 'signup' THEN user_id + 1 ELSE 0 END AS rows_w,
+          coalesce(1000 - TRY_CAST(trim(right(raw, 3)) AS BIGINT), 0) AS diff,
+          CASE WHEN length(raw) - length(replace(raw, '/', '')) = 1 THEN split_part(raw, '/', 2) END AS child
+        FROM log"""),
     "log_days_to_analyse": """
         SELECT strftime(d, '%Y-%m-%d') AS date FROM
           (SELECT unnest(range(max(CAST(ts AS DATE)) - INTERVAL 2 DAY, TIMESTAMP '2024-02-01', INTERVAL 1 DAY)) AS d
