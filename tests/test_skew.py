@@ -45,6 +45,7 @@ def folder(tmp_path_factory):
 )
 def test_hot_key(spark, folder, monkeypatch, name):
     monkeypatch.setattr(skew, "FEW_ROWS", 10)
+    monkeypatch.setattr(skew, "SMALL_DIMENSION", 10)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         problem = compare(QUERIES[name](spark, folder), connect(folder), SQL[name], rel=1e-12)

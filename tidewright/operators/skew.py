@@ -74,3 +74,21 @@ def split_join(
         "_slice", F.explode(F.when(is_hot, every).otherwise(F.array(zero)))
     )
     return dealt.join(repeated, [*keys, "_slice"], how).drop("_slice")
+
+
+# Rows of a dimension that may be broadcast.
+SMALL_DIMENSION = 200_000
+
+
+def lookup_join(
+    facts: DataFrame,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    keys_of: DataFrame | None = None,
+) -> DataFrame:
+    """Join a dimension to row-level facts: broadcast when counted small, else split by hot keys."""
+    counted = dimension.select(*keys).limit(SMALL_DIMENSION + 1).count()
+    if counted <= SMALL_DIMENSION:
+        return facts.join(F.broadcast(dimension), list(keys), how)
+    return split_join(facts, dimension, keys, how, keys_of)

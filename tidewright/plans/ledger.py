@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import order_sign
 from ..functions.dates import on_days
-from ..operators.skew import split_join
+from ..operators.skew import lookup_join, split_join
 
 Day = dt.date | None
 STOCK_KEYS = ("batch_no", "goods_code", "location_code", "storage")
@@ -48,7 +48,6 @@ def movements(
     wanted = bills.where(
         on_days(F.col("create_time"), first, last) & F.col("bill_type").isin(*RULES)
     )
-    rows = split_join(bill_details, wanted, ["bill_code"])
     current = (
         batches.where(F.col("batch_no") == batch_no)
         .groupBy("goods_code")
@@ -67,11 +66,11 @@ def movements(
             F.col("new_station_code").alias(f"{name}_station_code"), place.alias(f"_{name}")
         )
 
-    rows = (
-        rows.join(side("in"), "in_station_code", "left")
-        .join(side("out"), "out_station_code", "left")
-        .join(current, "goods_code", "left")
-    )
+    # Stations are known per document, so they join the documents and not the lines.
+    placed = lookup_join(wanted, side("in"), ["in_station_code"], "left")
+    placed = lookup_join(placed, side("out"), ["out_station_code"], "left", keys_of=wanted)
+    rows = split_join(bill_details, placed, ["bill_code"])
+    rows = lookup_join(rows, current, ["goods_code"], "left", keys_of=bill_details)
     kind = F.col("bill_type")
     # Stations already moved to the other system report their documents there.
     moved = F.coalesce(F.col("_in.erp_date"), F.col("_out.erp_date"))
@@ -162,10 +161,11 @@ def sale_movements(
     leaving = F.col("sale_order_type") == "ORDER"
     price = F.col("sale_real_price").cast("decimal(18,4)")
     missing = F.lit(None).cast("string")
+    placed = lookup_join(wanted, shops, ["station_code"]).where(
+        F.col("erp_date") > F.to_date("create_time")
+    )
     return (
-        split_join(details, wanted, ["sale_order_code"])
-        .join(shops, "station_code")
-        .where(F.col("erp_date") > F.to_date("create_time"))
+        split_join(details, placed, ["sale_order_code"])
         .select(
             F.lit(batch_no).alias("batch_no"),
             F.col("sale_order_code").alias("bill_code"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import hour_band
 from ..functions.dates import on_days
 from ..operators.allocate import AMOUNT_TYPE, SHARE_TYPE, ratio, shares, spread
-from ..operators.skew import split_join
+from ..operators.skew import lookup_join, split_join
 
 Day = dt.date | None
 CATEGORIES = (
@@ -44,6 +44,11 @@ def _lines(details: DataFrame, orders: DataFrame) -> DataFrame:
     return split_join(details, orders, ["sale_order_code"])
 
 
+def _bought(details: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines with their order and product."""
+    return lookup_join(_lines(details, orders), products, ["product_code"], keys_of=details)
+
+
 def sale_by_category(
     orders: DataFrame, details: DataFrame, products: DataFrame, first: Day = None, last: Day = None
 ) -> DataFrame:
@@ -53,8 +58,7 @@ def sale_by_category(
     )
     amount = F.col("sale_amount") * F.col("in_out_flag")
     return (
-        _lines(details, wanted)
-        .join(products, "product_code")
+        _bought(details, wanted, products)
         .groupBy(
             F.col("create_date").alias("create_time"),
             "sale_type_name",
@@ -93,8 +97,7 @@ def sale_by_category_and_order(
         "is_member", *CATEGORY_CODES, *CATEGORIES,
     ]
     sums = (
-        _lines(details, wanted)
-        .join(products, "product_code")
+        _bought(details, wanted, products)
         .groupBy(*keys)
         .agg(
             F.sum(F.col("sale_amount") * F.col("in_out_flag")).alias("sale_amount"),
@@ -123,7 +126,7 @@ def fine_by_category(
     )
     sold = changes.where((F.col("bill_type") == "SALE") & _days("date", first, last))
     sums = (
-        sold.join(products.drop("supplier_code"), "product_code")
+        lookup_join(sold, products.drop("supplier_code"), ["product_code"])
         .groupBy(*keys, "fina_category_name", *CATEGORIES)
         .agg(
             F.sum(-amount * F.col("price")).alias("sale_total_price"),
@@ -158,7 +161,7 @@ def _days(column: str, first: Day, last: Day) -> Column:
 def _category_shares(details: DataFrame, products: DataFrame, *categories: str) -> DataFrame:
     """Part of each category in the real money of its order."""
     money = (
-        details.join(products, "product_code")
+        lookup_join(details, products, ["product_code"])
         .groupBy("sale_order_code", *categories)
         .agg(F.sum(F.col("sale_real_price") * F.col("sale_amount")).alias("_money"))
     )
@@ -249,8 +252,7 @@ def marketing_activities(
     flag = F.col("in_out_flag")
     # Per order and category first, so an order with several activities repeats few rows.
     per_order = (
-        _lines(details, wanted)
-        .join(products, "product_code")
+        _bought(details, wanted, products)
         .groupBy("sale_order_code", "create_date", "category_two_name", "station_code")
         .agg(
             F.sum(F.col("sale_amount") * flag).alias("_amount"),
@@ -386,8 +388,7 @@ def category_vs_task(
     wanted = _orders(orders, first, last, "station_code", "in_out_flag")
     money = F.col("sale_real_price") * F.col("sale_amount") * F.col("in_out_flag")
     sold = (
-        _lines(details, wanted)
-        .join(products, "product_code")
+        _bought(details, wanted, products)
         .groupBy("create_date", "station_code", kind.alias("type"))
         .agg(F.sum(money).alias("real_money"))
         .withColumnRenamed("create_date", "create_time")

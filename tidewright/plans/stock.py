@@ -28,10 +28,14 @@ def _changes(ledger: DataFrame, batches: DataFrame, stock: DataFrame, first: Day
     moved = ledger.where(on_days(F.col("create_time"), first, last)).withColumnsRenamed(
         {"from_location_code": "location_code", "from_location_storage": "storage"}
     )
+    # Price and cost meet first: both are far smaller than the ledger, which is shuffled once.
+    return split_join(moved, _valued(stock, batches), STOCK_KEYS)
+
+
+def _valued(stock: DataFrame, batches: DataFrame) -> DataFrame:
+    """Stock keys with their price and the cost and supplier of their batch."""
     cost = batches.select("batch_no", "goods_code", "supplier_code", "cost_price")
-    price = stock.select(*STOCK_KEYS, "price", "flow_price")
-    rows = split_join(moved, price, STOCK_KEYS)
-    return split_join(rows, cost, ["batch_no", "goods_code"], keys_of=moved)
+    return stock.select(*STOCK_KEYS, "price", "flow_price").join(cost, ["batch_no", "goods_code"])
 
 
 def _change_columns():
@@ -226,28 +230,20 @@ def back_rolled_stock(
     changes = (
         moved.unionByName(now).groupBy(*keys, "_day").agg(F.sum("_change").alias("_change"))
     )
-    start = changes.select(*keys).distinct().select(
-        *keys, F.lit(first).alias("_day"), F.lit(0).cast("decimal(28,2)").alias("_change")
-    )
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("_day"))
-    later = newest_first.rowsBetween(Window.unboundedPreceding, -1)
-    stretches = (
-        changes.unionByName(start)
-        .select(
-            *keys,
-            "_day",
-            F.coalesce(F.sum("_change").over(later), F.lit(0)).alias("amount"),
-            F.coalesce(F.lag("_day").over(newest_first), F.lit(after)).alias("_next"),
-        )
-        .where((F.col("_day") <= F.lit(last)) & (F.col("amount") != 0))
-    )
-    price = stock.select(*keys, "price", "flow_price")
-    cost = batches.select("batch_no", "goods_code", "supplier_code", "cost_price")
+    so_far = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Between two changes the stock is the sum of the later ones; before the earliest change the
+    # stretch begins with the first day asked for.
+    stretches = changes.select(
+        *keys,
+        F.coalesce(F.lead("_day").over(newest_first), F.lit(first)).alias("_from"),
+        F.date_sub("_day", 1).alias("_to"),
+        F.sum("_change").over(so_far).alias("amount"),
+    ).where(F.col("amount") != 0)
     return (
-        stretches.join(price, keys)
-        .join(cost, ["batch_no", "goods_code"])
+        stretches.join(_valued(stock, batches), keys)
         .select(
-            F.explode(F.sequence("_day", F.date_sub("_next", 1))).alias("date"),
+            F.explode(F.sequence("_from", "_to")).alias("date"),
             "batch_no",
             "supplier_code",
             F.col("goods_code").alias("product_code"),

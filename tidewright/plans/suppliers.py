@@ -17,7 +17,7 @@ from ..functions.codes import (
     storage_sign,
 )
 from ..functions.dates import on_days
-from ..operators.skew import split_join
+from ..operators.skew import lookup_join, split_join
 from .ledger import STOCK_KEYS
 from .stock import gift_reasons
 
@@ -44,13 +44,11 @@ def station_circulation(
         & (F.col("bill_purpose") == "OUT_STORAGE")
     )
     amount = F.col("amount")
+    goods = _goods(products, "product_name", "product_isbn", "product_price",
+                   "fina_category_code", "fina_category_name")
+    rows = split_join(moved, _batch(batches, "cost_price"), ["batch_no", "goods_code"])
     return (
-        split_join(moved, _batch(batches, "cost_price"), ["batch_no", "goods_code"])
-        .join(
-            _goods(products, "product_name", "product_isbn", "product_price",
-                   "fina_category_code", "fina_category_name"),
-            "goods_code",
-        )
+        lookup_join(rows, goods, ["goods_code"], keys_of=moved)
         .select(
             F.to_date("create_time").alias("create_time"),
             "bill_code",
@@ -125,11 +123,12 @@ def supplier_reconciliation(
     )
     purpose = F.col("bill_purpose")
     amount = F.col("amount") * signed(purpose, ["IN_STORAGE"], ["OUT_STORAGE"], None)
+    goods = _goods(products, "product_name", "product_isbn", "product_price",
+                   "fina_category_code", "fina_category_name")
+    rows = split_join(moved, _batch(batches, "supplier_code", "supplier_name"),
+                      ["batch_no", "goods_code"])
     return (
-        split_join(moved, _batch(batches, "supplier_code", "supplier_name"),
-                   ["batch_no", "goods_code"])
-        .join(_goods(products, "product_name", "product_isbn", "product_price",
-                     "fina_category_code", "fina_category_name"), "goods_code")
+        lookup_join(rows, goods, ["goods_code"], keys_of=moved)
         .select(
             F.to_date("create_time").alias("create_time"),
             "bill_code",
