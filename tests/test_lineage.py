@@ -14,7 +14,7 @@ def step(*pairs):
 
 def job(*entries):
     body = "".join(
-        f"<entry><name>{n}</name>" + (f"<filename>{f}</filename>" if f else "") + "</entry>"
+        f"<entry><name>{n}</name>" + (f"<filename>{f.replace(chr(38), chr(38) + 'amp;')}</filename>" if f else "") + "</entry>"
         for n, f in entries
     )
     return f"<job><name>j</name><entries>{body}</entries></job>"
@@ -85,6 +85,16 @@ def test_missing_children(spark, folder):
     assert rows(missing_children(spark, folder), "child") == [("gone.ktr",)]
 
 
+def test_file_names_with_blanks_and_other_scripts(spark, tmp_path):
+    (tmp_path / "go.kjb").write_text(job(("x", "${dir}/维度 表&1%20.ktr"), ("y", "${dir}/子 作业.kjb")))
+    (tmp_path / "子 作业.kjb").write_text(job(("z", "${dir}/plain.ktr")))
+    (tmp_path / "维度 表&1%20.ktr").write_text(step(("读", "写", "Y")))
+    (tmp_path / "plain.ktr").write_text(step(("a", "b", "Y")))
+    got = lineage(spark, str(tmp_path), "go.kjb")
+    assert rows(got, "job_name", "from_table") == [("x", "读"), ("z", "a")]
+    assert missing_children(spark, str(tmp_path)).count() == 0
+
+
 def test_reachable_gives_first_depth(spark):
     edges = spark.createDataFrame(
         [("a", "b"), ("b", "c"), ("a", "c"), ("c", "a"), ("c", "d"), ("z", "y")],

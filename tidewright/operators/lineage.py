@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..durable import materialise
-from ..sources.pipelinexml import hops, job_entries
+from ..sources.pipelinexml import file_name, hops, job_entries
 
 # Fixed value: ending of the name of the step that only signals the end of a job.
 SENTINEL = "job_all_succeed"
@@ -86,6 +86,6 @@ def missing_children(spark: SparkSession, folder: str) -> DataFrame:
     present = (
         spark.read.format("binaryFile")
         .load(f"{folder.rstrip('/')}/*.k[tj][rb]")
-        .select(F.col("_metadata.file_name").alias("child"))
+        .select(file_name().alias("child"))
     )
     return entries.join(present, "child", "left_anti").select("file", "entry_name", "child")

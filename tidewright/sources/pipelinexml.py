@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,11 @@ JOB = T.StructType(
 
 
 
+def file_name() -> Column:
+    """Name of the file a row came from, with the percent escapes of the path undone."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def hops(spark: SparkSession, folder: str) -> DataFrame:
     """(file, from_table, to_table, enabled): one row per hop of every transformation."""
     files = (
@@ -40,7 +45,7 @@ def hops(spark: SparkSession, folder: str) -> DataFrame:
         .load(f"{folder.rstrip('/')}/*.ktr")
     )
     return files.select(
-        F.col("_metadata.file_name").alias("file"), F.explode("order.hop").alias("hop")
+        file_name().alias("file"), F.explode("order.hop").alias("hop")
     ).select(
         "file",
         F.col("hop.from").alias("from_table"),
@@ -58,7 +63,7 @@ def job_entries(spark: SparkSession, folder: str) -> DataFrame:
         .load(f"{folder.rstrip('/')}/*.kjb")
     )
     entries = files.select(
-        F.col("_metadata.file_name").alias("file"), F.explode("entries.entry").alias("entry")
+        file_name().alias("file"), F.explode("entries.entry").alias("entry")
     )
     return (
         entries.select(
