@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import materialise
+from .skew import lookup_join
 
 
 def high_water(target: DataFrame, key: str, floor) -> DataFrame:
@@ -63,12 +64,9 @@ def translate_codes(df: DataFrame, names: DataFrame, columns: Sequence[str]) ->
     known = names.where(F.col("old").isNotNull()).groupBy("old").agg(F.min("new").alias("new"))
     out = df
     for column in columns:
+        renamed = known.select(F.col("old").alias(column), F.col("new").alias("_new"))
         out = (
-            out.join(
-                known.select(F.col("old").alias(column), F.col("new").alias("_new")),
-                column,
-                "left",
-            )
+            lookup_join(out, renamed, [column], "left", keys_of=df)
             .withColumn(column, F.coalesce("_new", column))
             .drop("_new")
         )

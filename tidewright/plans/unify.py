@@ -192,34 +192,79 @@ def unified_wholesale(
     return out
 
 
-def cleaned_bills(
-    bills: DataFrame, station_codes: DataFrame, since: dt.date, origin: str = CENTER
+# Fixed value: member codes holding this word stand for no member.
+RETAIL = "RETAIL"
+
+
+def cleaned(
+    rows: DataFrame, names: DataFrame, codes: list[str], unsigned: list[str], origin: str
 ) -> DataFrame:
-    """Bills with current station codes and unsigned totals."""
-    fresh = bills.where(F.col("create_time") >= F.lit(since).cast("timestamp_ntz"))
-    totals = [c for c in bills.columns if c.startswith("total_")]
+    """Rows with current codes, unsigned numbers and their origin."""
     return (
-        translate_codes(fresh, station_codes, ["in_station_code", "out_station_code"])
-        .withColumns({c: F.abs(c) for c in totals})
+        translate_codes(rows, names, codes)
+        .withColumns({c: F.abs(c) for c in unsigned})
         .withColumn("origin_system", F.lit(origin))
     )
 
 
+def _since(rows: DataFrame, since: dt.date | None) -> DataFrame:
+    if since is None:
+        return rows
+    return rows.where(F.col("create_time") >= F.lit(since).cast("timestamp_ntz"))
+
+
+def cleaned_orders(
+    orders: DataFrame, station_codes: DataFrame, since: dt.date | None = None,
+    origin: str = CENTER,
+) -> DataFrame:
+    """Orders with current station codes and unsigned totals.
+
+    Rows of the oldest system also lose placeholder members; its real money keeps its sign.
+    """
+    totals = [c for c in orders.columns if c.startswith("total_")]
+    if origin != LEGACY:
+        totals = [*totals, "real_money"]
+    out = cleaned(_since(orders, since), station_codes, ["station_code"], totals, origin)
+    if origin != LEGACY:
+        return out
+    return out.withColumn(
+        "member_code", F.when(~F.contains("member_code", F.lit(RETAIL)), F.col("member_code"))
+    )
+
+
+def cleaned_order_details(
+    details: DataFrame, orders: DataFrame, storage_codes: DataFrame,
+    since: dt.date | None = None, origin: str = CENTER,
+) -> DataFrame:
+    """Order lines of the wanted orders with current storage codes and unsigned numbers."""
+    unsigned = ["sale_amount", "sale_discount", "sale_price", "sale_real_price"]
+    wanted = details
+    if since is not None:
+        fresh = _since(orders, since).select("sale_order_code")
+        wanted = details.join(fresh, "sale_order_code", "left_semi")
+    return cleaned(wanted, storage_codes, ["storage_code"], unsigned, origin)
+
+
+def cleaned_bills(
+    bills: DataFrame, station_codes: DataFrame, since: dt.date | None = None, origin: str = CENTER
+) -> DataFrame:
+    """Bills with current station codes and unsigned totals."""
+    totals = [c for c in bills.columns if c.startswith("total_")]
+    stations = [c for c in bills.columns if c.endswith("_station_code")]
+    return cleaned(_since(bills, since), station_codes, stations, totals, origin)
+
+
 def cleaned_bill_details(
     details: DataFrame, bills: DataFrame, storage_codes: DataFrame, since: dt.date,
     origin: str = CENTER,
 ) -> DataFrame:
     """Bill lines with current storage codes and unsigned numbers."""
-    fresh = bills.where(F.col("create_time") >= F.lit(since).cast("timestamp_ntz")).select(
-        "bill_code"
-    )
     unsigned = ["actual_total_amount", "discount", "price", "shipped_total_amount"]
-    return (
-        translate_codes(
-            details.join(fresh, "bill_code", "left_semi"),
-            storage_codes,
-            ["in_storage_code", "out_storage_code"],
-        )
-        .withColumns({c: F.abs(c) for c in unsigned})
-        .withColumn("origin_system", F.lit(origin))
+    fresh = _since(bills, since).select("bill_code")
+    return cleaned(
+        details.join(fresh, "bill_code", "left_semi"),
+        storage_codes,
+        ["in_storage_code", "out_storage_code"],
+        unsigned,
+        origin,
     )

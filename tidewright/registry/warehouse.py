@@ -315,6 +315,29 @@ def cleaned_bill_details(t: Tables):
     return plain(unify.cleaned_bill_details(t.bill_lines, t.bills, names, SINCE))
 
 
+def cleaned_orders(t: Tables):
+    orders = t.orders.selectExpr(
+        "sale_order_code", "station_code", "sale_order_type", "-real_money AS real_money",
+        "-real_money AS total_money", "create_time",
+        "concat(CASE WHEN sale_type = 'P' THEN 'RETAIL' ELSE 'm' END, station_code) AS member_code",
+    )
+    names = t.read("supplier").selectExpr("s_suppkey AS old", "s_suppkey + 100000 AS new")
+    return plain(
+        unify.cleaned_orders(orders, names, SINCE).unionByName(
+            unify.cleaned_orders(orders, names, origin="YH")
+        )
+    )
+
+
+def cleaned_order_details(t: Tables):
+    names = t.read("region").selectExpr("left(r_name, 1) AS old", "r_name AS new")
+    lines = _order_lines(t).selectExpr(
+        "id", "sale_order_code", "goods_code", "-sale_amount AS sale_amount", "sale_discount",
+        "-sale_price AS sale_price", "sale_real_price", "product_type AS storage_code",
+    )
+    return plain(unify.cleaned_order_details(lines, t.orders, names, SINCE))
+
+
 def incremental_by_id(t: Tables):
     source = t.read("orders").selectExpr("o_orderkey AS id", "o_orderstatus AS status")
     return newer_than(source, t.read("customer").selectExpr("c_custkey AS id"), "id")
@@ -374,6 +397,7 @@ QUERIES = {
         daily_consumption, month_to_date, month_to_date_of_day, passenger_flow, product_wide,
         product_dimension, station_dimension, operator_dimension, unified_orders, unified_details,
         unified_payments, unified_wholesale, cleaned_bills, cleaned_bill_details,
+        cleaned_orders, cleaned_order_details,
         incremental_by_id, incremental_by_text_id, incremental_by_time, hwm_by_source, day_reload,
         table_refresh,
     )
@@ -544,6 +568,23 @@ SQL = {
           {num('abs(price)', 'price')}, {num('abs(discount)', 'discount')}, in_storage_code,
           CASE WHEN out_storage_code = 'A' THEN 'AFRICA' ELSE out_storage_code END AS out_storage_code, 'DC' AS origin_system
         FROM bill_lines JOIN bills USING (bill_code) WHERE create_time >= TIMESTAMP '{SINCE}'"""),
+    "cleaned_orders": with_views("sale_order", body=f"""
+        , o AS (SELECT *, CASE WHEN station_code IN (SELECT s_suppkey FROM supplier) THEN station_code + 100000 ELSE station_code END AS s
+          FROM sale_order)
+        SELECT sale_order_code, s AS station_code, sale_order_type, {num('real_money', 'real_money')},
+          {num('real_money', 'total_money')}, {_TIME.format('create_time')} AS create_time,
+          CASE WHEN sale_type = 'P' THEN 'RETAIL' ELSE 'm' END || station_code AS member_code, 'DC' AS origin_system
+        FROM o WHERE create_time >= TIMESTAMP '{SINCE}'
+        UNION ALL
+        SELECT sale_order_code, s, sale_order_type, CAST(-real_money AS DOUBLE), CAST(real_money AS DOUBLE),
+          {_TIME.format('create_time')}, CASE WHEN sale_type <> 'P' THEN 'm' || station_code END, 'YH' FROM o"""),
+    "cleaned_order_details": with_views("sale_order", body=f"""
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS sale_order_code, l_partkey AS goods_code,
+          CAST(l_quantity AS INTEGER) AS sale_amount, {num('CAST(l_discount AS DECIMAL(3,2))', 'sale_discount')},
+          {num('CAST(l_extendedprice AS DECIMAL(12,2))', 'sale_price')},
+          {num('CAST(l_extendedprice AS DECIMAL(12,2))', 'sale_real_price')},
+          CASE WHEN l_returnflag = 'A' THEN 'AFRICA' ELSE l_returnflag END AS storage_code, 'DC' AS origin_system
+        FROM lineitem JOIN sale_order ON sale_order_code = l_orderkey AND create_time >= TIMESTAMP '{SINCE}'"""),
     "incremental_by_id": """
         SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderkey > (SELECT max(c_custkey) FROM customer)""",
     "incremental_by_text_id": """
