@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..durable import shared_folder
-from . import sharding, tokencounts, tokenfiles, tokens, urlfilter
+from . import bpe, exactdedup, mixing, sharding, tokencounts, tokenfiles, tokens, urlfilter
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,10 @@ def _fresh(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so every distinct text is encoded."""
     docs = _table(spark, sf_dir, "documents")
@@ -32,6 +37,18 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), tokens.default_path(BYTE_BPE))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    rows = F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))
+    return mixed.withColumn("_row", rows).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies"
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _fresh(spark, "token-files")
     docs = _table(spark, sf_dir, "documents")
@@ -47,10 +64,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_url_filter": op5_url_filter,
+    "op7_bpe": op7_bpe,
+    "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
 }
 
-SQL = {"op5_url_filter": urlfilter.judge_sql()}
+SQL = {"op2_exact_dedup": exactdedup.DUPLICATES_SQL, "op5_url_filter": urlfilter.judge_sql()}
