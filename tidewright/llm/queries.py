@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..durable import shared_folder
-from . import bpe, exactdedup, mixing, sharding, tokencounts, tokenfiles, tokens, urlfilter
+from . import bpe, exactdedup, minhash, mixing, sharding, tokencounts, tokenfiles, tokens, urlfilter
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +22,10 @@ def _fresh(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_url_filter": op5_url_filter,
