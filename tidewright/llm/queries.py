@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..durable import shared_folder
-from . import bpe, exactdedup, minhash, mixing, sharding, tokencounts, tokenfiles, tokens, urlfilter
+from . import bpe, exactdedup, minhash, mixing, quality, sharding, tokencounts, tokenfiles, tokens, urlfilter
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,6 +36,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(docs, tokens.default_path(WORD_BPE), _fresh(spark, "token-cache"), by_words=True)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    return quality.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urlfilter.judge_urls(_table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")
@@ -71,6 +79,7 @@ QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_quality": op4_quality,
     "op5_url_filter": op5_url_filter,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
