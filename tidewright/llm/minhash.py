@@ -43,14 +43,14 @@ def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
 def _salts(n: int, start: int) -> np.ndarray:
-    return _mixed(np.arange(start + 1, start + n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed(np.arange(start + 1, start + n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 @functools.lru_cache(maxsize=1)
@@ -79,11 +79,11 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
             n = len(words) - width + 1
             rolled = np.zeros(n, dtype=np.uint64)
             for j in range(width):
-                rolled += _mixed(hashes[j : n + j] + salts[j]) * salts[j]
-            out.append(np.unique(_mixed(rolled)))
+                rolled += mixed(hashes[j : n + j] + salts[j]) * salts[j]
+            out.append(np.unique(mixed(rolled)))
         elif len(words):
-            short = _mixed(hashes + salts[: len(words)]) * salts[: len(words)]
-            out.append(_mixed(np.array([short.sum(dtype=np.uint64) + np.uint64(len(words))], dtype=np.uint64)))
+            short = mixed(hashes + salts[: len(words)]) * salts[: len(words)]
+            out.append(mixed(np.array([short.sum(dtype=np.uint64) + np.uint64(len(words))], dtype=np.uint64)))
         else:
             out.append(hashes)
     return out
@@ -96,14 +96,14 @@ def sketch(shingles: np.ndarray, size: int) -> np.ndarray:
     at_once = max(1, min(size, 4 * size // len(shingles)))
     for start in range(0, size, at_once):
         rounds = np.arange(start, min(size, start + at_once), dtype=np.uint64)
-        mixed = _mixed(shingles[None, :] ^ salts[start : start + len(rounds), None])
+        mixed = mixed(shingles[None, :] ^ salts[start : start + len(rounds), None])
         bins = ((mixed >> half) * np.uint64(size)) >> half
         values = (rounds[:, None] << half) | (mixed & low)
         np.minimum.at(best, bins.ravel().astype(np.int64), values.ravel())
         if not (best == _TOP).any():
             return best
     for j in np.flatnonzero(best == _TOP):
-        best[j] = (np.uint64(size + j) << half) | (_mixed(shingles ^ salts[size + j]) & low).min()
+        best[j] = (np.uint64(size + j) << half) | (mixed(shingles ^ salts[size + j]) & low).min()
     return best
 
 
@@ -112,11 +112,11 @@ def band_keys(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
     bands = coordinates.reshape(-1, rows)
     keys = _salts(len(bands), 9000)
     for j in range(rows):
-        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, j])
+        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, j])
     return keys.view(np.int64)
 
 
-def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+def lists(parts: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
     flat = np.concatenate([np.empty(0, dtype=np.int64), *(p.view(np.int64) for p in parts)])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
@@ -132,7 +132,7 @@ def _sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
             keys = [band_keys(sketch(s, size)) if len(s) else np.empty(0, dtype=np.int64) for s in sets]
             counts = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), counts, pa.array(digests, pa.binary()), _lists(keys)], names=["doc_id", "n", "digest", "keys"]
+                [batch.column(0), counts, pa.array(digests, pa.binary()), lists(keys)], names=["doc_id", "n", "digest", "keys"]
             )
 
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>")
@@ -142,12 +142,12 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(utf8(batch.column(1)), width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(sets)], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists(sets)], names=["doc_id", "shingles"])
 
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-class _Forest:
+class Forest:
     """Union-find over the labels of one block."""
 
     def __init__(self) -> None:
@@ -174,7 +174,7 @@ def _block_links(labels: np.ndarray, asks: np.ndarray, sets: list[np.ndarray], p
     sizes = np.array([len(sets[i]) for i in members])
     names, place = np.unique(flat, return_inverse=True)
     starts = np.cumsum(sizes) - sizes
-    mark, forest, found = np.zeros(len(names), dtype=np.int64), _Forest(), []
+    mark, forest, found = np.zeros(len(names), dtype=np.int64), Forest(), []
     for i in np.flatnonzero(asks):
         at = np.minimum(np.searchsorted(names, sets[i]), len(names) - 1)
         at = at[names[at] == sets[i]]

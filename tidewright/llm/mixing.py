@@ -169,9 +169,7 @@ def mix(
     more than ``most`` copies, and reruns agree: chance comes from hashes of ids.
     """
     read = sizes_of(docs, id_col, text, source)
-    units = materialise(
-        read.groupBy(*_UNIT).agg(F.count(F.lit(1)).alias("repeats")), "mix-units"
-    )
+    units = materialise(read.groupBy(*_UNIT).agg(F.count(F.lit(1)).alias("repeats")), "mix-units")
     per_source = targets(
         units.groupBy("source").agg(F.sum(F.col("size") * F.col("repeats")).alias("source_size")), weights, most
     )
@@ -197,3 +195,20 @@ def mix(
         "doc_id", "source", "size", "repeats", "source_size", "target",
         (F.col("_base") + F.coalesce("_more", F.lit(0.0)).cast("long")).alias("copies"),
     )
+
+
+def repeated(
+    docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """The rows of ``docs`` as often as ``mixed``, what ``mix`` gave for them, says; none for 0 copies.
+
+    Joined on the id, and on source and size, which tell apart rows that repeat an id.
+    """
+    taken = mixed.where("copies > 0").select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
+    )
+    size = F.regexp_count(text_of(text), F.lit(WORD)).cast("long")
+    same = docs[id_col].eqNullSafe(F.col("_id")) & docs[source].eqNullSafe(F.col("_source")) & (size == F.col("_size"))
+    found = docs.join(taken, same)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
+    return found.withColumn("_time", times).select(*[docs[c] for c in docs.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..durable import shared_folder
-from . import bpe, exactdedup, minhash, mixing, quality, sharding, tokencounts, tokenfiles, tokens, urlfilter
+from . import bpe, exactdedup, lattice, minhash, mixing, quality, sharding, tokencounts, tokenfiles, tokens, urlfilter
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -49,6 +49,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokens.default_path(BYTE_BPE))
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
     "op5_url_filter": op5_url_filter,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_bpe": op7_bpe,
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,

@@ -41,14 +41,23 @@ class Memo:
         return self.young
 
 
+def _plain(text: bytes) -> bytes:
+    """Lower-cased where the tokenizer would do just that, so that more words are known.
+
+    Not with letters beyond ASCII, as marks may join a small letter only, nor where a special token
+    might be spelled.
+    """
+    return text.lower() if text.isascii() and b"<|" not in text else text
+
+
 class Encoder:
     """Ids of whole texts, without begin, end or added special tokens, truncation or padding.
 
-    ``by_words``: the tokenizer drops white space and lets no token cross it (word_bpe_49k.json),
-    so a text's ids are those of its words between ASCII blanks, and repeated words are looked up.
+    ``by_words``: the tokenizer lower-cases, drops white space and lets no token cross it
+    (word_bpe_49k.json), so a text's ids are those of its words between ASCII blanks, and repeated words are looked up.
     """
 
-    def __init__(self, path: str, by_words: bool, keep: int = 250_000) -> None:
+    def __init__(self, path: str, by_words: bool, keep: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.by_words = by_words
         self.memo = Memo(keep)
@@ -73,7 +82,7 @@ class Encoder:
         """Ids of each UTF-8 text as little-endian unsigned 32-bit integers."""
         if not self.by_words:
             return [self._coded([t])[0] for t in texts]
-        split = [t.split() for t in texts]
+        split = [_plain(t).split() for t in texts]
         known = self.memo.fill(set().union(*split), self._coded)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
