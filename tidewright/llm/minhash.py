@@ -96,9 +96,9 @@ def sketch(shingles: np.ndarray, size: int) -> np.ndarray:
     at_once = max(1, min(size, 4 * size // len(shingles)))
     for start in range(0, size, at_once):
         rounds = np.arange(start, min(size, start + at_once), dtype=np.uint64)
-        mixed = mixed(shingles[None, :] ^ salts[start : start + len(rounds), None])
-        bins = ((mixed >> half) * np.uint64(size)) >> half
-        values = (rounds[:, None] << half) | (mixed & low)
+        hashed = mixed(shingles[None, :] ^ salts[start : start + len(rounds), None])
+        bins = ((hashed >> half) * np.uint64(size)) >> half
+        values = (rounds[:, None] << half) | (hashed & low)
         np.minimum.at(best, bins.ravel().astype(np.int64), values.ravel())
         if not (best == _TOP).any():
             return best
