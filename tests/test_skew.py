@@ -5,7 +5,6 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import TABLES, compare, connect
-from tidewright.operators import skew
 
 SOURCE = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -43,9 +42,7 @@ def folder(tmp_path_factory):
         "log_step_metrics", "product_wide",
     ],
 )
-def test_hot_key(spark, folder, monkeypatch, name):
-    monkeypatch.setattr(skew, "FEW_ROWS", 10)
-    monkeypatch.setattr(skew, "SMALL_DIMENSION", 10)
+def test_hot_key(spark, folder, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         problem = compare(QUERIES[name](spark, folder), connect(folder), SQL[name], rel=1e-12)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import split_join
+
 SHARE_TYPE = "decimal(19,12)"
 AMOUNT_TYPE = "decimal(18,4)"
 
@@ -25,7 +27,7 @@ def shares(parts: DataFrame, order_key: str, weight: str) -> DataFrame:
     """
     totals = parts.groupBy(order_key).agg(F.sum(weight).alias("_total"))
     return (
-        parts.join(totals, order_key)
+        split_join(parts, totals, [order_key])
         .withColumn("share", ratio(F.col(weight), F.col("_total")).cast(SHARE_TYPE))
         .drop("_total")
     )
@@ -42,7 +44,7 @@ def spread(
 ) -> DataFrame:
     """Sum ``amount * share`` over the orders, at the grain ``keys``."""
     return (
-        amounts.join(parts, order_key, how)
+        split_join(amounts, parts, [order_key], how)
         .groupBy(*keys)
         .agg(F.sum(F.col(amount).cast(AMOUNT_TYPE) * F.col("share")).alias(alias))
     )

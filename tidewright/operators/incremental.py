@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import materialise
-from .skew import lookup_join
+from .skew import split_join
 
 
 def high_water(target: DataFrame, key: str, floor) -> DataFrame:
@@ -66,7 +66,7 @@ def translate_codes(df: DataFrame, names: DataFrame, columns: Sequence[str]) ->
     for column in columns:
         renamed = known.select(F.col("old").alias(column), F.col("new").alias("_new"))
         out = (
-            lookup_join(out, renamed, [column], "left", keys_of=df)
+            split_join(out, renamed, [column], "left", keys_of=df)
             .withColumn(column, F.coalesce("_new", column))
             .drop("_new")
         )

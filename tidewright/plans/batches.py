@@ -71,9 +71,11 @@ def candidate_goods(
 ) -> DataFrame:
     """Distinct goods with stock, documents or sales in the period."""
     period = on_days(F.col("create_time"), first, last)
-    billed = bill_details.join(bills.where(period).select("bill_code"), "bill_code", "left_semi")
-    sold = order_details.join(
-        orders.where(period).select("sale_order_code"), "sale_order_code", "left_semi"
+    billed = split_join(
+        bill_details, bills.where(period).select("bill_code"), ["bill_code"], "left_semi"
+    )
+    sold = split_join(
+        order_details, orders.where(period).select("sale_order_code"), ["sale_order_code"], "left_semi"
     )
     goods = billed.select("goods_code").unionByName(sold.select("goods_code"))
     if stock is not None:

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import split_join
+
 # Visitor field in the older and the newer log system, and the state of a sent log.
 OLD_FIELD, NEW_FIELD = "94", "passengerFlow"
 
@@ -75,8 +77,7 @@ def passenger_flow(
     """Visitors per day and station from both log systems."""
     visitors = values.where(F.col("field_id") == OLD_FIELD).select("info_id", "info_value")
     old = (
-        notes.where(F.col("info_state") == 1)
-        .join(visitors, "info_id")
+        split_join(notes.where(F.col("info_state") == 1), visitors, ["info_id"])
         .join(stores.select(F.col("store_id").alias("station_id"), "store_number"), "station_id")
         .join(station_codes.select("store_number", "station_code"), "store_number")
         .select(
@@ -89,8 +90,10 @@ def passenger_flow(
         F.col("info_base_id").alias("id"), "field_value"
     )
     new = (
-        bases.where((F.col("log_type") == "DAY") & (F.col("log_status") == "SUBMIT"))
-        .join(answers, "id", "left")
+        split_join(
+            bases.where((F.col("log_type") == "DAY") & (F.col("log_status") == "SUBMIT")),
+            answers, ["id"], "left",
+        )
         .select(
             F.to_date("start_date").alias("create_time"),
             "station_code",

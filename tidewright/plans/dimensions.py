@@ -80,20 +80,22 @@ def product_wide(
 ) -> DataFrame:
     """One row per sku with category path, supplier, brand and the authors' names joined by commas.
 
-    Names are joined per author-name prefix first and the pieces then in prefix order, so sorting
-    and joining the names of one product is shared between tasks.
+    Null names are left out; a product without any other has a null list.  The list is one value
+    of the result, so its names meet in one row; equal names are counted before they are moved.
     """
-    names = spu_authors.join(authors, "author_code").select(
-        "spu_code", "author_name", F.left("author_name", F.lit(2)).alias("_prefix")
+    counted = (
+        spu_authors.join(authors, "author_code")
+        .where(F.col("author_name").isNotNull())
+        .groupBy("spu_code", "author_name")
+        .agg(F.count(F.lit(1)).cast("int").alias("_times"))
     )
-    pieces = names.groupBy("spu_code", "_prefix").agg(
-        F.array_join(F.sort_array(F.collect_list("author_name")), ",").alias("_names")
-    )
-    author_names = pieces.groupBy("spu_code").agg(
+    author_names = counted.groupBy("spu_code").agg(
         F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("_prefix", "_names"))),
-                lambda piece: piece["_names"],
+            F.flatten(
+                F.transform(
+                    F.sort_array(F.collect_list(F.struct("author_name", "_times"))),
+                    lambda name: F.array_repeat(name["author_name"], name["_times"]),
+                )
             ),
             ",",
         ).alias("author_name")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import order_sign
 from ..functions.dates import on_days
-from ..operators.skew import lookup_join, split_join
+from ..operators.skew import split_join
 
 Day = dt.date | None
 STOCK_KEYS = ("batch_no", "goods_code", "location_code", "storage")
@@ -67,10 +67,10 @@ def movements(
         )
 
     # Stations are known per document, so they join the documents and not the lines.
-    placed = lookup_join(wanted, side("in"), ["in_station_code"], "left")
-    placed = lookup_join(placed, side("out"), ["out_station_code"], "left", keys_of=wanted)
+    placed = split_join(wanted, side("in"), ["in_station_code"], "left")
+    placed = split_join(placed, side("out"), ["out_station_code"], "left", keys_of=wanted)
     rows = split_join(bill_details, placed, ["bill_code"])
-    rows = lookup_join(rows, current, ["goods_code"], "left", keys_of=bill_details)
+    rows = split_join(rows, current, ["goods_code"], "left", keys_of=bill_details)
     kind = F.col("bill_type")
     # Stations already moved to the other system report their documents there.
     moved = F.coalesce(F.col("_in.erp_date"), F.col("_out.erp_date"))
@@ -161,7 +161,7 @@ def sale_movements(
     leaving = F.col("sale_order_type") == "ORDER"
     price = F.col("sale_real_price").cast("decimal(18,4)")
     missing = F.lit(None).cast("string")
-    placed = lookup_join(wanted, shops, ["station_code"]).where(
+    placed = split_join(wanted, shops, ["station_code"]).where(
         F.col("erp_date") > F.to_date("create_time")
     )
     return (

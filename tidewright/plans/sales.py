@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import hour_band
 from ..functions.dates import on_days
 from ..operators.allocate import AMOUNT_TYPE, SHARE_TYPE, ratio, shares, spread
-from ..operators.skew import lookup_join, split_join
+from ..operators.skew import split_join
 
 Day = dt.date | None
 CATEGORIES = (
@@ -37,7 +37,7 @@ def _only(rows: DataFrame, wanted: DataFrame, first: Day, last: Day) -> DataFram
     """Rows of the wanted orders; without a day filter all of them, and no join is needed."""
     if first is None and last is None:
         return rows
-    return rows.join(wanted.select("sale_order_code"), "sale_order_code", "left_semi")
+    return split_join(rows, wanted.select("sale_order_code"), ["sale_order_code"], "left_semi")
 
 
 def _lines(details: DataFrame, orders: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def _lines(details: DataFrame, orders: DataFrame) -> DataFrame:
 
 def _bought(details: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with their order and product."""
-    return lookup_join(_lines(details, orders), products, ["product_code"], keys_of=details)
+    return split_join(_lines(details, orders), products, ["product_code"], keys_of=details)
 
 
 def sale_by_category(
@@ -126,7 +126,7 @@ def fine_by_category(
     )
     sold = changes.where((F.col("bill_type") == "SALE") & _days("date", first, last))
     sums = (
-        lookup_join(sold, products.drop("supplier_code"), ["product_code"])
+        split_join(sold, products.drop("supplier_code"), ["product_code"])
         .groupBy(*keys, "fina_category_name", *CATEGORIES)
         .agg(
             F.sum(-amount * F.col("price")).alias("sale_total_price"),
@@ -161,7 +161,7 @@ def _days(column: str, first: Day, last: Day) -> Column:
 def _category_shares(details: DataFrame, products: DataFrame, *categories: str) -> DataFrame:
     """Part of each category in the real money of its order."""
     money = (
-        lookup_join(details, products, ["product_code"])
+        split_join(details, products, ["product_code"])
         .groupBy("sale_order_code", *categories)
         .agg(F.sum(F.col("sale_real_price") * F.col("sale_amount")).alias("_money"))
     )
@@ -220,7 +220,7 @@ def money_section(
         .agg(F.sum("actual_money").alias("_paid"))
     )
     sums = (
-        parts.join(received, "sale_order_code", "left")
+        split_join(parts, received, ["sale_order_code"], "left", keys_of=details)
         .groupBy(*keys, "pay_method_name")
         .agg(F.sum(F.col("share") * F.col("_paid").cast(AMOUNT_TYPE)).alias("receivables_money"))
     )

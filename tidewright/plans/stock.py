@@ -142,21 +142,30 @@ def stock_change_combined(
         F.col("bill_code").alias("offset_bill_code"), F.to_date("create_time").alias("date")
     )
     return (
-        split_join(rows, documents, ["offset_bill_code", "date"], keys_of=scanned)
-        .join(with_sale, ["bill_code", "date", "product_code"], "left")
+        split_join(
+            split_join(rows, documents, ["offset_bill_code", "date"], keys_of=scanned),
+            with_sale, ["bill_code", "date", "product_code"], "left",
+        )
         .withColumn("present_reason", F.coalesce("_own", "_center", "_sale"))
         .drop("_own", "_center", "_sale")
     )
 
 
 def gift_reasons(gifts: DataFrame) -> DataFrame:
-    """(code, present_reason): a return document without a reason inherits its source's."""
+    """(code, present_reason): a return document without a reason inherits its source's.
+
+    Only documents that lack a reason and name a source are joined; the others, most of them with
+    a null source, pass by.
+    """
     source = gifts.select(
-        F.col("code").alias("related_bill_code"), F.col("describe_des").alias("_source")
+        F.col("code").alias("related_bill_code"), F.col("describe_des").alias("present_reason")
     )
-    return gifts.join(source, "related_bill_code", "left").select(
-        "code", F.coalesce("describe_des", "_source").alias("present_reason")
+    asks = F.col("describe_des").isNull() & F.col("related_bill_code").isNotNull()
+    found = split_join(
+        gifts.where(asks).select("code", "related_bill_code"), source, ["related_bill_code"], "left"
     )
+    known = gifts.where(~asks).select("code", F.col("describe_des").alias("present_reason"))
+    return known.unionByName(found.select("code", "present_reason"))
 
 
 def book_stock_change(

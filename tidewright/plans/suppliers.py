@@ -17,7 +17,7 @@ from ..functions.codes import (
     storage_sign,
 )
 from ..functions.dates import on_days
-from ..operators.skew import lookup_join, split_join
+from ..operators.skew import split_join
 from .ledger import STOCK_KEYS
 from .stock import gift_reasons
 
@@ -48,7 +48,7 @@ def station_circulation(
                    "fina_category_code", "fina_category_name")
     rows = split_join(moved, _batch(batches, "cost_price"), ["batch_no", "goods_code"])
     return (
-        lookup_join(rows, goods, ["goods_code"], keys_of=moved)
+        split_join(rows, goods, ["goods_code"], keys_of=moved)
         .select(
             F.to_date("create_time").alias("create_time"),
             "bill_code",
@@ -128,7 +128,7 @@ def supplier_reconciliation(
     rows = split_join(moved, _batch(batches, "supplier_code", "supplier_name"),
                       ["batch_no", "goods_code"])
     return (
-        lookup_join(rows, goods, ["goods_code"], keys_of=moved)
+        split_join(rows, goods, ["goods_code"], keys_of=moved)
         .select(
             F.to_date("create_time").alias("create_time"),
             "bill_code",

@@ -69,7 +69,7 @@ def unified_orders(center: DataFrame, erp: DataFrame, stations: DataFrame) -> Da
     """
     memo = F.col("memo")
     a = align(
-        center.join(_legacy_stations(stations), "station_code", "left_semi"),
+        split_join(center, _legacy_stations(stations), ["station_code"], "left_semi"),
         _columns(
             ORDER_TYPES,
             sale_order_id=F.col("id"),
@@ -99,13 +99,12 @@ def unified_orders(center: DataFrame, erp: DataFrame, stations: DataFrame) -> Da
 
 
 def _center_orders(orders: DataFrame, stations: DataFrame, since: dt.date) -> DataFrame:
-    return (
-        orders.where(
-            (F.col("origin_system") == CENTER)
-            & (F.col("create_time") >= F.lit(since).cast("timestamp_ntz"))
-        )
-        .join(_legacy_stations(stations), "station_code", "left_semi")
-        .select("sale_order_code", F.col("id").alias("sale_order_id"), "create_time")
+    fresh = orders.where(
+        (F.col("origin_system") == CENTER)
+        & (F.col("create_time") >= F.lit(since).cast("timestamp_ntz"))
+    )
+    return split_join(fresh, _legacy_stations(stations), ["station_code"], "left_semi").select(
+        "sale_order_code", F.col("id").alias("sale_order_id"), "create_time"
     )
 
 
@@ -241,7 +240,7 @@ def cleaned_order_details(
     wanted = details
     if since is not None:
         fresh = _since(orders, since).select("sale_order_code")
-        wanted = details.join(fresh, "sale_order_code", "left_semi")
+        wanted = split_join(details, fresh, ["sale_order_code"], "left_semi")
     return cleaned(wanted, storage_codes, ["storage_code"], unsigned, origin)
 
 
@@ -262,7 +261,7 @@ def cleaned_bill_details(
     unsigned = ["actual_total_amount", "discount", "price", "shipped_total_amount"]
     fresh = _since(bills, since).select("bill_code")
     return cleaned(
-        details.join(fresh, "bill_code", "left_semi"),
+        split_join(details, fresh, ["bill_code"], "left_semi"),
         storage_codes,
         ["in_storage_code", "out_storage_code"],
         unsigned,

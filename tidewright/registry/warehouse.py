@@ -157,7 +157,11 @@ def product_wide(t: Tables):
             spu_authors=t.read("lineitem").selectExpr(
                 "l_partkey AS spu_code", "l_suppkey AS author_code"
             ),
-            authors=supplier.selectExpr("s_suppkey AS author_code", "s_name AS author_name"),
+            authors=supplier.selectExpr(
+                "s_suppkey AS author_code",
+                "CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 5 = 0 THEN 'Anon'"
+                " ELSE s_name END AS author_name",
+            ),
             suppliers=t.suppliers,
             categories=part.selectExpr(
                 "p_type AS category_code", "lower(p_type) AS category_name"
@@ -368,17 +372,22 @@ def hwm_by_source(t: Tables):
 
 
 def day_reload(t: Tables):
-    """Load all days, reload the busy ones with new values, and read a run of days back."""
+    """Load all days, reload the busy ones of a range, which empties its others, and read back."""
     path = f"{shared_folder(t.spark)}/day-reload-{uuid.uuid4().hex}"
     rows = t.read("events").select(
         F.to_date("ts").alias("date"), "event_id", F.col("value").cast("decimal(12,2)").alias("value")
     )
     reload_days(rows, path)
-    busy = t.read("events").where("value > 300").select(F.to_date("ts").alias("date")).distinct()
+    busy = (
+        t.read("events")
+        .where("value > 300 AND day(ts) % 4 <> 0")
+        .select(F.to_date("ts").alias("date"))
+        .distinct()
+    )
     again = rows.join(busy, "date", "left_semi").withColumn(
         "value", (F.col("value") * 2).cast("decimal(12,2)")
     )
-    reload_days(again, path)
+    reload_days(again, path, dt.date(2024, 1, 8), dt.date(2024, 1, 31))
     return plain(read_days(t.spark, path, dt.date(2024, 1, 5), dt.date(2024, 1, 25)))
 
 
@@ -484,8 +493,10 @@ SQL = {
         SELECT {day('ts', 'create_time')}, user_id, CASE WHEN value > 20 THEN CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) END
         FROM events WHERE event_type = 'signup' AND value > 5""",
     "product_wide": f"""
-        WITH a AS (SELECT l_partkey AS k, string_agg(s_name, ',' ORDER BY s_name) AS author_name
-          FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1),
+        WITH w AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 5 = 0 THEN 'Anon'
+          ELSE s_name END AS author_name FROM supplier),
+        a AS (SELECT l_partkey AS k, string_agg(author_name, ',' ORDER BY author_name) AS author_name
+          FROM lineitem JOIN w ON s_suppkey = l_suppkey GROUP BY 1),
         te AS (SELECT DISTINCT p_brand AS b FROM part WHERE p_size > 49),
         p AS (SELECT *, CASE WHEN p_size > 25 THEN te.b ELSE p_type END AS code FROM part LEFT JOIN te ON te.b = p_brand)
         SELECT p_partkey AS sku_code, 'b' || p_partkey AS bar_code, p_name AS sku_name,
@@ -597,8 +608,10 @@ SQL = {
         LEFT JOIN (SELECT l_linestatus AS s, max(l_suppkey) AS m FROM lineitem GROUP BY 1) ON s = o_orderstatus
         WHERE o_orderkey > coalesce(m, 0)""",
     "day_reload": f"""
-        SELECT {day('ts', 'date')}, event_id, CAST(CAST(value AS DECIMAL(12,2)) * CASE WHEN CAST(ts AS DATE) IN
-          (SELECT CAST(ts AS DATE) FROM events WHERE value > 300) THEN 2 ELSE 1 END AS DOUBLE) AS value
-        FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'""",
+        SELECT {day('ts', 'date')}, event_id,
+          CAST(CAST(value AS DECIMAL(12,2)) * CASE WHEN CAST(ts AS DATE) < DATE '2024-01-08' THEN 1 ELSE 2 END AS DOUBLE) AS value
+        FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'
+          AND (CAST(ts AS DATE) < DATE '2024-01-08' OR CAST(ts AS DATE) IN
+            (SELECT CAST(ts AS DATE) FROM events WHERE value > 300 AND day(ts) % 4 <> 0))""",
     "table_refresh": "SELECT c_custkey, c_name FROM customer",
 }

@@ -1,66 +1,24 @@
-"""How each catalogued source table is loaded.
-
-Names are given without the warehouse's own schema prefix; the caller reads source and target.
-"""
+"""Load source tables as a catalogue says."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
-from .tables import BY_ID, BY_TIME, FULL, extract
-
-# Source tables by load mode.  Some are loaded in full by one job and by id in
-# another.
-TABLES = {
-    FULL: """
-        askcard_db.card_info askcard_db.pay_detail book_offset.stock
-        book_operation_log.field_value book_operation_log.info_base dds_role
-        ods_book_bill_collect_bill ods_book_offset_stock_all test_data_center_bill
-        test_data_center_bill_detail test_data_center_sale_order
-        test_data_center_sale_order_detail test_data_center_sale_pay_detail
-        test_data_center_sell_wholesale_bill test_data_center_sell_wholesale_bill_detail
-        test_offset_batch test_offset_offset test_offset_stock db_factory db_operators
-        flow_control.flow_param_config payment_v2.payment_channel payment_v2.payment_method
-        purchase_system.batch_info purchase_system.batch_info_detail purchase_system.goods
-        purchase_system.order_info purchase_system.purchase_bill
-        purchase_system.purchase_bill_item purchase_system.purchase_task t_order
-        t_order_sale_after dds_staff_permissions oauth_database_user author brand category
-        content_territory sku spu spu_author_relation spu_brand_relation supplier
-    """.split(),
-    BY_ID: """
-        askcard_db.trade_record book_bill.collect_bill book_bill.donate_bill
-        book_bill.donate_bill_item book_bill.sell_charge_back_bill
-        book_bill.sell_charge_back_bill_item book_bill.sell_delivery_bill
-        book_bill.sell_delivery_bill_item book_bill.wholesale_charge_back_bill
-        book_bill.wholesale_charge_back_bill_item book_bill.wholesale_delivery_bill
-        book_bill.wholesale_delivery_bill_item book_offset.batch book_offset.offset
-        book_sale_v2.sale_order book_sale_v2.sale_order_activity book_sale_v2.sale_order_detail
-        book_sale_v2.sale_pay_detail data_center_sale_order_detail data_center_sale_pay_detail
-        data_center_sell_wholesale_bill data_center_sell_wholesale_bill_detail
-        ods_book_offset_batch_inc ods_book_offset_offset_inc test_offset_batch test_offset_offset
-        xxf_data_center_bill xxf_data_center_bill_detail xxf_data_center_sale_order
-        xxf_data_center_sale_order_detail xxf_data_center_sale_pay_detail
-        xxf_data_center_yw_px xxf_data_center_yw_px_item purchase_system.batch_info
-        purchase_system.batch_info_detail purchase_system.goods purchase_system.order_info
-        purchase_system.purchase_bill purchase_system.purchase_bill_item
-        purchase_system.purchase_task
-    """.split(),
-    BY_TIME: "payment_v2.payment_order payment_v2.trade_order".split(),
-}
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import DataFrame
 
-def modes(name: str) -> list[str]:
-    """The load modes a table is catalogued under."""
-    return [mode for mode, names in TABLES.items() if name in names]
+from .tables import extract
 
 
 def load(
-    name: str, source: DataFrame, target: DataFrame | None, mode: str | None = None, **options
+    catalogue: Mapping[str, Sequence[str]],
+    name: str,
+    source: DataFrame,
+    target: DataFrame | None,
+    mode: str | None = None,
+    **options,
 ) -> DataFrame:
-    """Rows to load for a catalogued table; the incremental mode wins where there are two."""
-    known = modes(name)
-    if not known:
-        raise KeyError(name)
+    """Rows to load for a table of ``catalogue`` (name -> modes); by default its last mode."""
+    known = catalogue[name]
     chosen = known[-1] if mode is None else mode
     if chosen not in known:
         raise ValueError(f"{name} is not loaded {chosen}")
