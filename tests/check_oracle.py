@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -23,6 +24,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="shared-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

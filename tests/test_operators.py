@@ -353,7 +353,8 @@ def test_catalogue_and_audit(spark):
 def test_big_range_tables_are_not_broadcast(spark, monkeypatch):
     events = spark.range(1, 401).selectExpr("'f' AS file", "id AS line_no")
     ranges = spark.range(40).selectExpr("'f' AS file", "id * 10 + 1 AS start_line", "id * 10 + 10 AS end_line")
-    for few in (100_000, 1):
-        monkeypatch.setattr(dayruns, "BROADCAST_ROWS", few)
-        monkeypatch.setattr(dayruns, "RANGE_BUCKET", 7)
+    monkeypatch.setattr(dayruns, "RANGE_BUCKET", 7)
+    for limit in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         assert dayruns.in_ranges(events, ranges).count() == 400
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

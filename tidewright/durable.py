@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders written by this process, for ``clean``.
+_WRITTEN: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -28,5 +32,19 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends at the files."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process wrote; returns how many.
+
+    Call it when their results have been stored: frames that still read them fail afterwards.
+    """
+    removed = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        removed += bool(files.delete(path, True))
+    return removed

@@ -11,13 +11,12 @@ from ..durable import materialise
 from ..functions.dates import duration_seconds, duration_text
 from ..functions.texts import counters
 from .loglines import BENIGN_ERRORS, error_lines
+from .skew import split_join
 
 SUCCESS, FAILED, NOT_EXECUTED = "success", "failed", "not_executed"
 
-# Least number of lines per equi-join bucket of a line-range join.
+# Lines per equi-join bucket of a line-range join, at every size.
 RANGE_BUCKET = 1_000_000
-# Rows of a range table that may be broadcast; a row is a file name and a few numbers.
-BROADCAST_ROWS = 100_000
 
 
 def day_windows(events: DataFrame, marker: str) -> DataFrame:
@@ -43,20 +42,19 @@ def day_bounds(events: DataFrame) -> DataFrame:
     )
 
 
-def in_ranges(events: DataFrame, ranges: DataFrame, bucket: int | None = None) -> DataFrame:
+def in_ranges(
+    events: DataFrame, ranges: DataFrame, bucket: int | None = None, written: bool = False
+) -> DataFrame:
     """Join lines to (file, start_line, end_line, …) ranges that contain them.
 
-    Lines and ranges meet on (file, line bucket), so one huge file is spread over many tasks and
-    a line is tested against the ranges of its own bucket only.  The ranges are a small table of
-    files times days; they are written once, and broadcast when their counted number of bucket
-    rows is small, which saves shuffling the log.  Otherwise the join shuffles.
+    Lines and ranges meet on (file, line bucket) of fixed width, so one huge file is spread over
+    many tasks and a line is tested against the ranges of its own bucket only.  The ranges are a
+    small table of files times days; they are written once (``written``: they come from a table),
+    so Spark knows their bytes and broadcasts them below its own limit.
     """
-    ranges = materialise(ranges, "line-ranges")
-    size = ranges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.col("end_line") - F.col("start_line") + 1), F.lit(0)).alias("span"),
-    ).first()
-    width = bucket or max(RANGE_BUCKET, -(-size["span"] // BROADCAST_ROWS))
+    if not written:
+        ranges = materialise(ranges, "line-ranges")
+    width = bucket or RANGE_BUCKET
     covered = ranges.withColumn(
         "_bucket",
         F.explode(
@@ -66,9 +64,6 @@ def in_ranges(events: DataFrame, ranges: DataFrame, bucket: int | None = None) -
             )
         ),
     )
-    # A range of k lines touches at most k/width + 2 buckets.
-    if 2 * size["n"] + size["span"] / width <= 2 * BROADCAST_ROWS:
-        covered = F.broadcast(covered)
     return (
         events.withColumn("_bucket", F.floor(F.col("line_no") / F.lit(width)))
         .join(covered, ["file", "_bucket"])
@@ -87,7 +82,7 @@ def verdicts(
     keys = ["file", "day"]
     windows = materialise(windows, "day-windows")
     failing = (
-        in_ranges(error_lines(events, benign).select("file", "line_no"), windows, bucket)
+        in_ranges(error_lines(events, benign).select("file", "line_no"), windows, bucket, written=True)
         .groupBy(*keys)
         .agg(F.min("line_no").alias("first_error"), F.count(F.lit(1)).alias("n_errors"))
     )
@@ -111,9 +106,17 @@ def error_tail(events: DataFrame, days: DataFrame, bucket: int | None = None) ->
     )
 
 
-def archive(events: DataFrame, bucket: int | None = None) -> DataFrame:
-    """Every non-blank line between the first and last dated line of a day, text unchanged."""
-    return in_ranges(events, day_bounds(events), bucket).select(
+def archive(
+    events: DataFrame, bucket: int | None = None, days: DataFrame | None = None
+) -> DataFrame:
+    """Every non-blank line between the first and last dated line of a day, text unchanged.
+
+    With ``days`` (day) only those days are kept, and only their ranges meet the log.
+    """
+    bounds = day_bounds(events)
+    if days is not None:
+        bounds = bounds.join(days, "day", "left_semi")
+    return in_ranges(events, bounds, bucket).select(
         "file", F.col("day").alias("log_date"), "line_no", F.col("raw").alias("detail"), "ts"
     )
 
@@ -147,11 +150,17 @@ def step_metrics(events: DataFrame, details: bool = False) -> DataFrame:
     )
 
 
-def join_lineage(metrics: DataFrame, lineage: DataFrame) -> DataFrame:
-    """Metrics of the steps that are a lineage source, with the pipeline they belong to."""
-    return metrics.join(
-        lineage.withColumnRenamed("from_table", "step"), "step"
-    ).withColumnRenamed("step", "from_table")
+def join_lineage(
+    metrics: DataFrame, lineage: DataFrame, pipeline: str | None = None
+) -> DataFrame:
+    """Metrics of the steps that are a lineage source, with the pipeline they belong to.
+
+    ``pipeline`` names a column both sides have where the log tells which pipeline wrote a line;
+    without it a step name used in several pipelines counts for each of them.
+    """
+    keys = ["step"] if pipeline is None else ["step", pipeline]
+    flows = lineage.withColumnRenamed("from_table", "step")
+    return split_join(metrics, flows, keys).withColumnRenamed("step", "from_table")
 
 
 def log_days(events: DataFrame) -> DataFrame:
@@ -161,15 +170,29 @@ def log_days(events: DataFrame) -> DataFrame:
     )
 
 
-def status_rows(days: DataFrame, found: DataFrame) -> DataFrame:
-    """One row per wanted day; a day without any log line was not executed."""
+def status_rows(days: DataFrame, found: DataFrame, events: DataFrame) -> DataFrame:
+    """One row per wanted day; a day without any log line was not executed.
+
+    A failed day carries number and text of its first error line, by file name where several
+    files have one.
+    """
     per_day = found.groupBy("day").agg(
         F.max(F.when(F.col("status") == FAILED, 1).otherwise(0)).alias("_failed"),
-        F.min("first_error").alias("line_no"),
+        F.min(F.when(F.col("first_error").isNotNull(), F.struct("file", "first_error"))).alias("_at"),
+    )
+    texts = events.select(
+        F.col("file").alias("_file"), F.col("line_no").alias("_line"), F.col("raw").alias("detail")
     )
-    return days.join(per_day, "day", "left").select(
+    wanted = days.join(per_day, "day", "left")
+    # Few days meet many lines: the days are the side that is matched.
+    errors = texts.join(
+        wanted.where(F.col("_at").isNotNull()).select("day", F.col("_at.file").alias("_file"), F.col("_at.first_error").alias("_line")),
+        ["_file", "_line"],
+    ).select("day", "detail")
+    return wanted.join(errors, "day", "left").select(
         "day",
-        "line_no",
+        F.col("_at.first_error").alias("line_no"),
+        "detail",
         F.when(F.col("_failed").isNull(), NOT_EXECUTED)
         .when(F.col("_failed") == 1, FAILED)
         .otherwise(SUCCESS)

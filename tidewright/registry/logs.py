@@ -12,7 +12,7 @@ from ..durable import shared_folder
 from ..functions import sqlnames
 from ..operators import dayruns
 from ..operators.days import days_between, days_to_analyse, pending_days
-from ..operators.lineage import reachable, terminal_hops
+from ..operators.lineage import lineage, reachable, terminal_hops
 from ..operators.loglines import drop_blank, error_lines, parse_events
 from ..plans.loganalysis import analyse
 from ..sources.textlog import read_log
@@ -21,6 +21,7 @@ from .common import plain
 from .sqlbase import with_views
 
 TODAY = dt.date(2024, 1, 31)
+ANALYSED = dt.datetime(2024, 2, 3, 4, 5, 6)
 
 
 def _events(t: Tables):
@@ -137,9 +138,18 @@ def log_days_to_analyse(t: Tables):
 
 def log_run_status(t: Tables):
     done = t.read("events").agg(F.date_sub(F.to_date(F.min("ts")), 1).alias("date"))
-    return plain(
-        analyse(_events(t), _lineage(t), done, dt.date(2024, 2, 2), MARKER).run_status
-    )
+    got = analyse(_events(t), _lineage(t), done, dt.date(2024, 2, 2), MARKER, at=ANALYSED)
+    return plain(got.run_status)
+
+
+def log_run_archive(t: Tables):
+    """Write the four results of the pending days twice and read the archive back."""
+    done = t.read("events").agg(F.date_add(F.to_date(F.min("ts")), 20).alias("date"))
+    folder = f"{shared_folder(t.spark)}/log-results-{uuid.uuid4().hex}"
+    terminal = _lineage(t).withColumnRenamed("file", "pipeline")
+    for day in (TODAY, dt.date(2024, 2, 2)):
+        analyse(_events(t), terminal, done, day, MARKER, at=ANALYSED).store(folder)
+    return plain(t.spark.read.parquet(f"{folder}/archive").select("log_date", "line_no", "detail", "analysis_time"))
 
 
 def log_run_metrics(t: Tables):
@@ -152,6 +162,52 @@ def lineage_terminal_hops(t: Tables):
     return _lineage(t)
 
 
+def lineage_from_files(t: Tables):
+    """Write conversations as pipeline definitions, nest their jobs, and read the lineage.
+
+    Job c runs its transformation, a sentinel and job c + 1; each fifth job starts its chain
+    again instead.  The entry job starts every second chain.
+    """
+    folder = f"{shared_folder(t.spark)}/definitions-{uuid.uuid4().hex}"
+    turns = t.read("conversations")
+    hop = "concat('<hop><from>rate_0400', conv_id + turn, '</from><to>rate_0400', conv_id + turn + 1,"
+    hop += " '</to><enabled>', if(role <> 'system', 'Y', 'N'), '</enabled></hop>')"
+    flows = turns.groupBy("conv_id").agg(F.array_join(F.sort_array(F.collect_list(F.expr(hop))), "").alias("hops"))
+    entry = "<entry><name>{}</name><filename>${{dir}}/{}</filename></entry>"
+    jobs = flows.selectExpr("conv_id", "if(conv_id % 5 = 4, conv_id - 4, conv_id + 1) AS child")
+    one = "<job><name>j</name><entries><entry><name>START</name></entry>"
+    definitions = [
+        flows.selectExpr(
+            "concat('conv_', conv_id, '.ktr') AS name",
+            "concat('<transformation><order>', hops, '</order></transformation>') AS value",
+        ),
+        jobs.selectExpr(
+            "concat('job_', conv_id, '.kjb') AS name",
+            f"concat('{one}', '<entry><name>load ', conv_id, '</name><filename>${{dir}}/conv_', conv_id, '.ktr</filename></entry>',"
+            f" '{entry.format('end_job_all_succeed', 'job_all_succeed.ktr')}',"
+            " '<entry><name>next</name><filename>${dir}/job_', child, '.kjb</filename></entry></entries></job>') AS value",
+        ),
+        flows.where("conv_id % 10 = 0").groupBy().agg(
+            F.array_join(F.collect_list(F.expr(
+                "concat('<entry><name>go</name><filename>${dir}/job_', conv_id, '.kjb</filename></entry>')"
+            )), "").alias("starts")
+        ).selectExpr("'main.kjb' AS name", f"concat('{one}', starts, '</entries></job>') AS value"),
+    ]
+    rows = definitions[0].unionByName(definitions[1]).unionByName(definitions[2])
+    rows.repartition("name").write.partitionBy("name").text(f"{folder}/written")
+    _rename_to_partition(t.spark, f"{folder}/written", folder)
+    return lineage(t.spark, folder, "main.kjb")
+
+
+def _rename_to_partition(spark, written: str, folder: str) -> None:
+    """Give each single file of a partition the partition's value as its name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(written).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for found in files.globStatus(path(f"{written}/name=*/part-*")):
+        name = found.getPath().getParent().getName().partition("=")[2]
+        files.rename(found.getPath(), path(folder, name))
+
+
 def lineage_metrics_join(t: Tables):
     terminal = _lineage(t).withColumnRenamed("file", "pipeline")
     return plain(dayruns.join_lineage(dayruns.step_metrics(_events(t)), terminal).drop("file"))
@@ -172,8 +228,8 @@ QUERIES = {
         log_parse, log_text_numbering, log_errors, log_day_window, log_verdict, log_error_tail,
         log_step_metrics, log_archive, log_day_inventory, log_pending_days,
         log_newest_pending_days, log_sql_functions, log_days_to_analyse,
-        log_run_status, log_run_metrics, lineage_terminal_hops, lineage_metrics_join,
-        lineage_closure,
+        log_run_status, log_run_metrics, log_run_archive, lineage_terminal_hops, lineage_metrics_join,
+        lineage_closure, lineage_from_files,
     )
 }
 
@@ -245,14 +301,22 @@ SQL = {
           (SELECT unnest(range(max(CAST(ts AS DATE)) - INTERVAL 2 DAY, TIMESTAMP '2024-02-01', INTERVAL 1 DAY)) AS d
            FROM events WHERE value > 300)""",
     "log_run_status": with_views("verdict", body="""
-        SELECT strftime(d.d, '%Y-%m-%d') AS day, v.first_error AS line_no,
-          coalesce(v.status, 'not_executed') AS status
+        SELECT strftime(d.d, '%Y-%m-%d') AS day, v.first_error AS line_no, l.raw AS detail,
+          coalesce(v.status, 'not_executed') AS status, '2024-02-03 04:05:06' AS analysis_time
         FROM (SELECT unnest(range(CAST(min(ts) AS DATE)::TIMESTAMP, TIMESTAMP '2024-02-03', INTERVAL 1 DAY)) AS d FROM events) d
-        LEFT JOIN verdict v ON v.day = CAST(d.d AS DATE)"""),
+        LEFT JOIN verdict v ON v.day = CAST(d.d AS DATE) LEFT JOIN log l ON l.line_no = v.first_error"""),
+    "log_run_archive": with_views("log", body="""
+        SELECT strftime(w.day, '%Y-%m-%d') AS log_date, l.line_no, l.raw AS detail, '2024-02-03 04:05:06' AS analysis_time
+        FROM (SELECT day, min(line_no) AS a, max(line_no) AS b FROM log WHERE dated GROUP BY day) w
+        JOIN log l ON l.line_no BETWEEN w.a AND w.b
+        WHERE w.day > (SELECT min(CAST(ts AS DATE)) + 20 FROM events)"""),
     "log_run_metrics": with_views("verdict", "metrics", "ends", body="SELECT h.file AS pipeline, h.to_table, h.enabled, "
         + _METRICS.replace("{step}", "from_table")
         + " FROM metrics m JOIN verdict v ON v.day = m.day AND v.status = 'success' JOIN ends h ON h.from_table = m.step"),
     "lineage_terminal_hops": with_views("ends", body="SELECT file, from_table, to_table, enabled FROM ends"),
+    "lineage_from_files": with_views("ends", body="""
+        SELECT 'load ' || substr(file, 6) AS job_name, file || '.ktr' AS file, from_table, to_table, enabled
+        FROM ends WHERE CAST(substr(file, 6) AS BIGINT) % 10 < 5"""),
     "lineage_metrics_join": with_views("metrics", "ends", body="SELECT h.file AS pipeline, h.to_table, h.enabled, "
         + _METRICS.replace("{step}", "from_table")
         + " FROM metrics m JOIN ends h ON h.from_table = m.step"),
