@@ -24,8 +24,11 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is among ``ids``; a null id finds a null id."""
-    kept = ids.select(F.col("doc_id").alias("_kept")).distinct()
+    """Documents whose id is among ``ids``; a null id finds a null id.
+
+    The ids grow with the corpus, so they are merged and not broadcast.
+    """
+    kept = ids.select(F.col("doc_id").alias("_kept")).distinct().hint("merge")
     return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi").select(*DOCUMENT)
 
 

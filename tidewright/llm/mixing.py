@@ -202,13 +202,14 @@ def repeated(
 ) -> DataFrame:
     """The rows of ``docs`` as often as ``mixed``, what ``mix`` gave for them, says; none for 0 copies.
 
-    Joined on the id, and on source and size, which tell apart rows that repeat an id.
+    Joined on the id, and on source and size, which tell apart rows that repeat an id.  What is
+    taken grows with the corpus, so it is merged and not broadcast.
     """
     taken = mixed.where("copies > 0").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
     )
     size = F.regexp_count(text_of(text), F.lit(WORD)).cast("long")
     same = docs[id_col].eqNullSafe(F.col("_id")) & docs[source].eqNullSafe(F.col("_source")) & (size == F.col("_size"))
-    found = docs.join(taken, same)
+    found = docs.join(taken.hint("merge"), same)
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
     return found.withColumn("_time", times).select(*[docs[c] for c in docs.columns])
