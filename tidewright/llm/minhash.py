@@ -256,8 +256,9 @@ def near_duplicates(
         hits.join(hubs, "key").where("rep != hub").select("hub", "hub_n", "rep", "n").distinct(), "stars"
     )
 
-    ids = stars.select(F.explode(F.array("hub", "rep")).alias("doc_id")).distinct()
-    sets = materialise(_sets(read.join(ids, "doc_id", "left_semi"), width), "shingle-sets")
+    # Ids of candidates and their sets grow with the corpus: merged at every size, never broadcast.
+    ids = stars.select(F.explode(F.array("hub", "rep")).alias("doc_id")).distinct().hint("merge")
+    sets = materialise(_sets(read.join(ids, "doc_id", "left_semi"), width), "shingle-sets").hint("merge")
     similar = F.lit(100) * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
     common = F.size(F.array_intersect("shingles", "hub_shingles"))
     linked = (
