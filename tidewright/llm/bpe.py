@@ -47,7 +47,9 @@ class Merges:
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         for r, (a, b) in enumerate(data["model"]["merges"]):
             self.rank[self.ids[a], self.ids[b]] = (r, self.ids[a + b])
-        self.longest = max(map(len, self.ids))
+        self.longest: dict[str, int] = {}  # of the tokens that begin with these two letters
+        for token in self.ids:
+            self.longest[token[:2]] = max(len(token), self.longest.get(token[:2], 1))
 
         keys = np.array([(a << 32) | b for a, b in self.rank], dtype=np.int64)
         order = np.argsort(keys)
@@ -111,9 +113,9 @@ class Merges:
 
     def propose(self, word: str) -> list[int]:
         """Greedy longest matches from the left; every single letter is in the vocabulary."""
-        ids, out, at = self.ids, [], 0
+        ids, longest, out, at = self.ids, self.longest, [], 0
         while at < len(word):
-            end = min(len(word), at + self.longest)
+            end = at + longest.get(word[at : at + 2], 1)
             while word[at:end] not in ids:
                 end -= 1
             out.append(ids[word[at:end]])
@@ -121,7 +123,27 @@ class Merges:
         return out
 
     def exact(self, word: str) -> list[int]:
-        """All merges in order of rank, leftmost first among equals, on a linked list with a heap."""
+        """All merges in order of rank, leftmost first among equals.
+
+        A short word is a list that is searched for its lowest rank; a long one is linked, with a
+        heap of its merges.
+        """
+        if len(word) > 64:
+            return self._exact_long(word)
+        token = [self.ids[c] for c in word]
+        find, none = self.rank.get, (len(self.rank), -1)
+        ranks = [find(pair, none) for pair in zip(token, token[1:], strict=False)]
+        while ranks and (lowest := min(ranks)) is not none:
+            i = ranks.index(lowest)
+            token[i : i + 2] = [lowest[1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = find((token[i - 1], token[i]), none)
+            if i < len(ranks):
+                ranks[i] = find((token[i], token[i + 1]), none)
+        return token
+
+    def _exact_long(self, word: str) -> list[int]:
         token = [self.ids[c] for c in word]
         after, before = list(range(1, len(token) + 1)), list(range(-1, len(token) - 1))
         heap = []
@@ -166,7 +188,7 @@ class Merges:
 class ByteCodec:
     """Encodes and decodes whole texts; pieces between single spaces are remembered."""
 
-    def __init__(self, path: str, keep: int = 250_000) -> None:
+    def __init__(self, path: str, keep: int = 500_000) -> None:
         from tokenizers import pre_tokenizers
 
         self.merges = Merges(path)
