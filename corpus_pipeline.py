@@ -35,7 +35,7 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels of the corpus and keeps what the classifier predicts as good."""
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.scored(docs, model).where("predicted = 1").select(*DOCUMENT)
+    return quality.accepted(docs, model).select(*DOCUMENT)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,6 +116,16 @@ def test_quality(spark, docs_of):
     assert all(r.predicted == truth[r.doc_id] for r in got if r.out and r.doc_id in truth)
     assert all(0 <= r.score <= 1 for r in got)
     assert quality.scored(docs.limit(0), model).collect() == []
+    good = quality.accepted(clash, model)
+    assert sorted(r.doc_id for r in good.collect()) == sorted(r.doc_id for r in got if r.predicted)
+    assert quality.accepted(docs.limit(0), model).collect() == []
+
+
+def test_no_filter_on_the_prediction_reaches_the_scan(spark, docs_of):
+    docs, labels = labelled_corpus(docs_of, spark)
+    plan = quality.accepted(docs, quality.learn(docs, labels)).select("doc_id", "text")
+    lines = [x.strip(" +-:") for x in plan._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    assert [x.split()[0] for x in lines if x.startswith(("Filter", "Generate"))] == ["Filter", "Generate"]
 
 
 def test_quality_with_one_label_or_none(spark, docs_of):

@@ -187,3 +187,13 @@ def scored(docs: DataFrame, model: RuleModel, text: str = "text", threshold: flo
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(text).alias("text"))
     out = with_statistics(boxed).withColumn("score", model.score())
     return out.select("_row.*", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: RuleModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``scored`` that are predicted 1.
+
+    The prediction passes a generator, below which the optimiser pushes no filter.  Pushed down to
+    the scan, the filter would compute the statistics of a text anew for every condition of a rule.
+    """
+    out = scored(docs, model, text, threshold)
+    return out.withColumn("predicted", F.explode(F.array("predicted"))).where("predicted = 1")
