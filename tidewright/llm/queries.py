@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..durable import shared_folder
-from . import bpe, exactdedup, lattice, minhash, mixing, quality, sharding, tokencounts, tokenfiles, tokens, urlfilter
+from . import (
+    bpe, exactdedup, lattice, minhash, mixing, quality, sharding, tokencounts, tokenfiles, tokens, turns, urlfilter, warc, whitening,
+)
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -79,6 +81,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=16, weigh_by="one")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of their own for records; what the archives say is all that is returned."""
+    folder = _fresh(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    return warc.page_records(warc.read_archives(spark, folder, with_payload=False))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damage_and_repair(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -90,6 +107,13 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
     "op10_sharding": op10_sharding,
+    "op11_whitening": op11_whitening,
+    "op12_warc": op12_warc,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
-SQL = {"op2_exact_dedup": exactdedup.DUPLICATES_SQL, "op5_url_filter": urlfilter.judge_sql()}
+SQL = {
+    "op2_exact_dedup": exactdedup.DUPLICATES_SQL,
+    "op5_url_filter": urlfilter.judge_sql(),
+    "op12_warc": warc.pages_sql(),
+}
