@@ -14,6 +14,8 @@ URLS = [
     "http://net/fr/", "http://notnet/fr/", "http://x.net/de/?casino", "http://casino-win.example.net/de/1",
     "http://casinos.example.net/de/1", "http://free-bets.example.net/", "http://freebets.example.net/",
     "http://free.example.net/free/free", "http://a.org/porn", "http://a.org/x://y", "ftp://É.org/XXX", "http://a.net\n/es/\n",
+    "casino.example.net/porn", "casino://a.org/", "http://a.org/?ref=x&page=2", "http://a.org/?q=free#bonus", "a?x#CASINO",
+    "http://a.org/#poker", "http://a.org/" + "p/" * 60_000 + "?poker=free",
 ]
 
 
@@ -41,10 +43,21 @@ def test_url_verdicts(spark):
     assert got["http://casinos.example.net/de/1"] == (None, "allow")
     assert got["http://free-bets.example.net/"] == (None, "block")
     assert got["http://free.example.net/free/free"] == (None, "allow")
-    assert got[None] == got["no scheme"] == (None, "allow")
+    assert got[None] == got["no scheme"] == got["http://a.org/?ref=x&page=2"] == got["casino://a.org/"] == (None, "allow")
+    for bad in ("http://x.net/de/?casino", "casino.example.net/porn", "http://a.org/?q=free#bonus", "a?x#CASINO", URLS[-1]):
+        assert got[bad] == (None, "block")
+    assert got["http://a.org/#poker"] == (None, "allow")
     assert urlfilter.judge_urls(pages(spark, URLS).limit(0)).collect() == []
 
 
+def test_a_vocabulary_from_a_file(spark, tmp_path):
+    (tmp_path / "terms.txt").write_text("# terms\nBad 2\n\nmeh 1\nhm  1\n")
+    strict, soft = urlfilter.read_vocabulary(spark, str(tmp_path / "terms.txt"))
+    assert (strict, soft) == (["bad"], ["hm", "meh"])
+    table = pages(spark, ["http://a/bad", "http://a/meh", "http://a/meh?hm"])
+    assert [r.verdict for r in urlfilter.judge_urls(table, (), strict, soft).orderBy("page_id").collect()] == ["block", "allow", "block"]
+
+
 @settings(max_examples=60, deadline=None)
 @given(n=st.integers(1, 3000), seed=st.integers(0, 2**40))
 def test_the_permutation_is_one_and_can_be_undone(n, seed):
@@ -160,14 +173,22 @@ def test_pipeline_keeps_clean_documents_and_leaves_one_of_each_group(spark, docs
 
     docs, labels = labelled_corpus(docs_of, spark)
     twins = docs.where("doc_id >= 0").withColumn("doc_id", F.col("doc_id") + 1000)
-    docs.unionByName(twins).write.parquet(str(tmp_path / "documents.parquet"))
+    again = docs.where("doc_id < 3 AND doc_id >= 0").withColumn("text", F.concat("text", F.lit(" more")))
+    nameless = docs.where("doc_id in (1, 2, 7)").withColumn("doc_id", F.lit(None).cast("long"))
+    docs.unionByName(twins).unionByName(nameless).unionByName(again).write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     table = spark.read.parquet(str(tmp_path / "documents.parquet"))
     good = pipeline.quality_stage(spark, table, str(tmp_path))
     assert {r.doc_id % 1000 for r in good.where("doc_id >= 0").collect()} == {i for i in range(600) if i % 5}
     single = pipeline.exact_stage(spark, good, str(tmp_path))
-    assert single.where("doc_id >= 1000").count() == 0 and single.where("doc_id >= 0").count() == 480
+    # Every text once, by its smallest id; repeated ids keep their other texts, null ids theirs if no other has it.
+    assert single.where("doc_id >= 1000").count() == 0 and single.where("doc_id >= 0 AND NOT text LIKE '% more'").count() == 480
+    assert single.where("text LIKE '% more'").count() == 2 and single.where("doc_id IS NULL").count() == 0
     assert single.columns == list(pipeline.DOCUMENT)
-    assert pipeline.near_stage(spark, single, str(tmp_path)).where("doc_id >= 0").count() == 480
+    near = pipeline.near_stage(spark, single, str(tmp_path))
+    assert near.where("doc_id >= 0").count() == 480
+    assert pipeline.near_stage(spark, single.withColumn("doc_id", F.lit(None).cast("long")), str(tmp_path)).count() == near.count()
+    for stage in (pipeline.exact_stage, pipeline.near_stage, pipeline.mix_stage, pipeline.encode_stage):
+        assert stage(spark, single.limit(0).withColumn("_key", F.lit("clash")), str(tmp_path)).collect() == []
     out = pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidewright.llm import bpe, tokencounts, tokenfiles
+from tidewright.llm import bpe, tokencounts, tokenfiles, tokens
 from tidewright.llm.tokens import Encoder, default_path
 
 WORD, BYTE, PIECE = map(default_path, ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -39,14 +39,14 @@ def byte_library():
 
 @pytest.fixture(scope="module")
 def byte_codec():
-    return bpe.ByteCodec(BYTE, keep=50)
+    return bpe.ByteCodec(BYTE, budget=4000)
 
 
 def packed(ids):
     return np.array(ids, dtype="<u4").tobytes()
 
 
-WORDS = Encoder(WORD, by_words=True, keep=20)
+WORDS = Encoder(WORD, by_words=True, budget=4000)
 
 
 @settings(max_examples=300, deadline=None)
@@ -55,6 +55,36 @@ def test_ids_by_words_are_those_of_the_whole_text(word_library, text):
     assert WORDS.encode([text.encode()]) == [packed(word_library.encode(text, add_special_tokens=False).ids)]
 
 
+LATIN = st.text("aeéÉßÿŸİŉĲſ'sStTrReEvVlLdDmM09²½!?-…«_ \n", max_size=40)
+
+
+@settings(max_examples=600, deadline=None)
+@given(text=LATIN | st.text(max_size=40) | st.text(st.characters(max_codepoint=0x180), max_size=60))
+def test_words_merged_at_once_equal_the_library(word_library, text):
+    assert WORDS.encode([text.encode("utf-8", "replace")]) == [packed(word_library.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids)]
+
+
+def test_columns_of_texts_and_one_long_text(word_library):
+    import pyarrow as pa
+
+    texts = [None, "", " ", "It's", "l'été 日本", "<|endoftext|> x", "word " * 50_000, "ab" * 300_000, "x"]
+    ids, counts = WORDS.encode_column(pa.array(["cut", *texts, "cut"])[1:-1])
+    want = [word_library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+    assert WORDS.count_column(pa.array(texts)).tolist() == counts.tolist()
+    assert WORDS.encode_column(pa.array([], pa.string()))[1].tolist() == []
+
+
+def test_what_is_remembered_is_bounded_in_bytes():
+    memo = tokens.Memo(budget=20_000, longest=8)
+    for k in range(300):
+        keys = {f"w{k}-{i}" for i in range(10)} | {"often", "x" * 5000 + str(k)}
+        known = memo.fill(keys, lambda missing: [m.upper() for m in missing])
+        assert all(known[x] == x.upper() for x in keys)
+        assert memo.size <= 20_000 and len(memo.young) + len(memo.old) < 200
+    assert "often" in memo.young and not any(len(k) > 8 for k in memo.old)
+
+
 @settings(max_examples=300, deadline=None)
 @given(text=PIECES | st.text(max_size=30) | st.text("abcinorest", max_size=60))
 def test_byte_pairs_equal_the_library(byte_library, byte_codec, text):

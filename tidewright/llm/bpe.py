@@ -10,7 +10,7 @@ once.  Words with an unsafe border are merged exactly, lowest rank first, leftmo
 
 from __future__ import annotations
 
-import functools
+import hashlib
 import heapq
 import json
 import re
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from .support import small_batches, text_of
-from .tokens import Memo, utf8
+from .tokens import MEMO_BYTES, Memo, resident, utf8
 
 _NEVER = np.int64(1) << 40
 
@@ -188,11 +188,11 @@ class Merges:
 class ByteCodec:
     """Encodes and decodes whole texts; pieces between single spaces are remembered."""
 
-    def __init__(self, path: str, keep: int = 500_000) -> None:
+    def __init__(self, path: str, budget: int = MEMO_BYTES) -> None:
         from tokenizers import pre_tokenizers
 
         self.merges = Merges(path)
-        self.memo = Memo(keep)
+        self.memo = Memo(budget)
         self._split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
         # Every white space of the library is one here too; a text with a longer gap goes the slow way.
         self._long_gap = re.compile(r"\s{3}").search
@@ -242,10 +242,9 @@ class ByteCodec:
         ]
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str) -> ByteCodec:
-    """One per Python worker; it lives as long as the worker."""
-    return ByteCodec(path)
+    """One per Python worker, kept until the worker turns to another operator."""
+    return resident(("codec", path), lambda: ByteCodec(path))
 
 
 def bpe_encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -281,11 +280,26 @@ def bpe_decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", text: str =
 
 
 def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_tokens`` and the digests of ids and decoded text of every row."""
-    coded = bpe_encode(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), tokenizer).drop("text")
-    return bpe_decode(coded, tokenizer).select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """``doc_id``, ``n_tokens`` and the digests of ids and decoded text of every row.
+
+    Each text is encoded and decoded where it is read, so neither ids nor texts move.  A null text
+    is empty, ids may be null or repeat, every row is returned; only the two named columns are
+    read, so others may have any name.  An empty table gives no rows.
+    """
+    small_batches(docs.sparkSession)
+    read = docs.select(F.col(id_col).alias("doc_id"), text_of(text).alias("text"))
+    kind = read.schema["doc_id"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(tokenizer)
+        for batch in batches:
+            ids = own.encode(utf8(batch.column(1)))
+            texts = own.decode(ids)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return read.mapInArrow(run, f"doc_id {kind.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

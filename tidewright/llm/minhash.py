@@ -16,25 +16,24 @@ verified, without writing the pairs of a bucket.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import materialise
+from ..operators.skew import split_join
 from .graph import components
 from .support import small_batches, text_of
-from .tokens import Memo, utf8
 
 ROWS = 5
 MISS = 1e-8
 BLOCK = 128
-_WORD_MEMO = 400_000
 _TOP = np.uint64(2**64 - 1)
 
 
@@ -53,39 +52,46 @@ def _salts(n: int, start: int) -> np.ndarray:
     return mixed(np.arange(start + 1, start + n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-@functools.lru_cache(maxsize=1)
-def _word_memo() -> Memo:
-    return Memo(_WORD_MEMO)
+def _word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a string column, A-Z lower-cased, and where each text's begin.
 
-
-def _hash_words(words: list[bytes]) -> list[int]:
+    Distinct words of the column are hashed once.
+    """
     import xxhash
 
-    return [xxhash.xxh3_64_intdigest(w) for w in words]
+    lowered = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null("")))
+    split = pc.ascii_split_whitespace(lowered)
+    words = split.flatten().dictionary_encode()
+    names = words.dictionary.view(pa.binary()).to_pylist()
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, names), dtype=np.uint64, count=len(names))
+    # A text without words is split into one empty word.
+    sizes = np.where(pc.binary_length(lowered).to_numpy() == 0, 0, np.diff(split.offsets.to_numpy()))
+    filled = words.indices.to_numpy()
+    empty = names.index(b"") if b"" in names else -1
+    return hashed[filled[filled != empty]], np.concatenate([[0], np.cumsum(sizes)])
 
 
-def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles of ``width`` words, A-Z lower-cased.
 
     A text with fewer words has its whole sequence as one shingle, a text without words none.
     """
-    split = [t.lower().split() for t in texts]
-    known = _word_memo().fill(set().union(*split), _hash_words)
+    hashes, places = _word_hashes(texts)
     salts = _salts(width, 0) | np.uint64(1)
+    parts = [mixed(hashes + salt) * salt for salt in salts]
+    rolled = np.zeros(max(0, len(hashes) - width + 1), dtype=np.uint64)
+    for j, part in enumerate(parts):
+        rolled += part[j : j + len(rolled)]
+    rolled = mixed(rolled)
     out = []
-    for words in split:
-        hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        if len(words) >= width:
-            n = len(words) - width + 1
-            rolled = np.zeros(n, dtype=np.uint64)
-            for j in range(width):
-                rolled += mixed(hashes[j : n + j] + salts[j]) * salts[j]
-            out.append(np.unique(mixed(rolled)))
-        elif len(words):
-            short = mixed(hashes + salts[: len(words)]) * salts[: len(words)]
-            out.append(mixed(np.array([short.sum(dtype=np.uint64) + np.uint64(len(words))], dtype=np.uint64)))
+    for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
+        if b - a >= width:
+            out.append(np.unique(rolled[a : b - width + 1]))
+        elif b > a:
+            short = np.array([parts[k][a + k] for k in range(b - a)], dtype=np.uint64)
+            out.append(mixed(np.array([short.sum(dtype=np.uint64) + np.uint64(b - a)], dtype=np.uint64)))
         else:
-            out.append(hashes)
+            out.append(hashes[:0])
     return out
 
 
@@ -127,7 +133,7 @@ def _sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(utf8(batch.column(1)), width)
+            sets = shingle_sets(batch.column(1), width)
             digests = [hashlib.blake2b(s.tobytes(), digest_size=20).digest() if len(s) else None for s in sets]
             keys = [band_keys(sketch(s, size)) if len(s) else np.empty(0, dtype=np.int64) for s in sets]
             counts = pa.array([len(s) for s in sets], pa.int64())
@@ -141,7 +147,7 @@ def _sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(utf8(batch.column(1)), width)
+            sets = shingle_sets(batch.column(1), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), lists(sets)], names=["doc_id", "shingles"])
 
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
@@ -304,9 +310,9 @@ def near_duplicates(
         second.select(F.col("node").alias("label"), F.col("component").alias("_later")), "label", "left"
     )
     named = named.select("digest", F.coalesce("_later", "label").alias("component_id"))
-    found = all_docs.select("doc_id", "n", "digest").join(named, "digest", "left")
-    return found.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Texts without words have no class; of the others one class may hold a large part.
+    with_words = split_join(all_docs.where("n > 0").select("digest", "doc_id", "n"), named, ["digest"])
+    found = with_words.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
+        all_docs.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    )
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..durable import shared_folder
+from ..durable import fresh_folder
 from . import (
     bpe, exactdedup, lattice, minhash, mixing, quality, sharding, tokencounts, tokenfiles, tokens, turns, urlfilter, warc, whitening,
 )
@@ -20,10 +18,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _fresh(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
@@ -35,7 +29,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache, so every distinct text is encoded."""
     docs = _table(spark, sf_dir, "documents")
-    return tokencounts.token_counts(docs, tokens.default_path(WORD_BPE), _fresh(spark, "token-cache"), by_words=True)
+    return tokencounts.token_counts(docs, tokens.default_path(WORD_BPE), fresh_folder(spark, "token-cache"), by_words=True)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +62,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _fresh(spark, "token-files")
+    folder = fresh_folder(spark, "token-files")
     docs = _table(spark, sf_dir, "documents")
     tokenfiles.write_token_files(docs, folder, tokens.default_path(WORD_BPE), end_id=1, by_words=True)
     return tokenfiles.with_checksums(tokenfiles.read_token_files(spark, folder)).drop("ids")
@@ -87,7 +81,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of their own for records; what the archives say is all that is returned."""
-    folder = _fresh(spark, "archives")
+    folder = fresh_folder(spark, "archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), folder, least_bytes=0)
     return warc.page_records(warc.read_archives(spark, folder, with_payload=False))
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..durable import materialise
+from ..shipping import ship
 
 # The white space that separates words; everything else belongs to a word.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -19,23 +18,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 _PARTITION_BITS = 33
 
 
-_SHIPPED: set[str] = set()
+#: Bytes of one batch that is handed to Python.
+BATCH_BYTES = 8 << 20
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="tidewright-code-"), "tidewright")
-    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
-    _SHIPPED.add(context.applicationId)
+def small_batches(spark: SparkSession, rows: int = 4096) -> None:
+    """Hand texts to Python in batches of limited bytes and rows, so that long texts do not add up.
 
-
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Hand texts to Python in batches of ``rows`` rows, so that long texts do not add up."""
+    A text longer than the limit is a batch of its own.
+    """
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
@@ -49,26 +42,48 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def running_starts(sizes: dict[int, int]) -> list[int]:
-    """For each partition number the sum of the sizes of all partitions before it."""
-    starts, total = [], 0
-    for part in range(max(sizes, default=-1) + 1):
-        starts.append(total)
-        total += sizes.get(part, 0)
-    return starts
+def running_starts(sizes: DataFrame, part: str, size: str, name: str) -> DataFrame:
+    """``part`` and ``name``, the sum of ``size`` over all smaller parts.
+
+    ``sizes`` has one row per file or partition, so the window and the broadcast of its result are
+    bounded by the list of files that the driver holds anyway.
+    """
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(sizes.select(part, F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long").alias(name)))
 
 
-def at_part(starts: Sequence[int], part: Column) -> Column:
-    """Element of ``starts`` for a partition number; one number per partition, so it is small."""
-    known = F.array(*[F.lit(int(x)).cast("long") for x in starts] or [F.lit(0).cast("long")])
-    return F.element_at(known, part.cast("int") + 1)
+def with_row_key(docs: DataFrame, id_col: str = "doc_id", key: str = "_key") -> DataFrame:
+    """Add ``key``, a whole number of its own for every row: the id where no other row has it.
+
+    Rows whose id is null or repeats, mostly none, are numbered past the largest id, in the order of
+    their ids.  Rows are told apart by file and place in it; what does not come from Parquet files
+    is written to some first.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place")]
+    docs = docs.drop(key, "_file", "_place")
+    try:
+        located = docs.select("*", *place)
+    except AnalysisException:
+        located = materialise(docs, "keyed-rows").select("*", *place)
+    own = F.col(id_col).cast("long")
+    counts = located.groupBy(own.alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialise(counts.where("_n > 1 OR _id IS NULL").select("_id"), "repeated-ids")
+    top = located.agg(F.coalesce(F.max(own), F.lit(-1))).first()[0]
+    if repeated.isEmpty():
+        return located.withColumn(key, own).drop("_file", "_place")
+    rows = located.select(own.alias("_own"), "_file", "_place").join(
+        repeated, F.col("_own").eqNullSafe(F.col("_id")), "left_semi"
+    )
+    fresh, _ = numbered(rows, ["_own", "_file", "_place"], "fresh-ids")
+    found = located.join(fresh.select("_file", "_place", "row"), ["_file", "_place"], "left")
+    return found.withColumn(key, F.coalesce(F.col("row") + top + 1, own)).drop("_file", "_place", "row")
 
 
 def numbered(df: DataFrame, order_by: Sequence[str], label: str) -> tuple[DataFrame, int]:
     """Add ``row``, the global position 0, 1, 2 … in the given order; also returns the row count.
 
     Rows are range-partitioned, sorted and written once, since bounds come from a sample.  Only
-    one count per partition reaches the driver.  Rows equal in all ordering columns may take
+    one count per partition passes the window of offsets.  Rows equal in all ordering columns may take
     each other's numbers.
     """
     placed = materialise(
@@ -77,8 +92,8 @@ def numbered(df: DataFrame, order_by: Sequence[str], label: str) -> tuple[DataFr
         .withColumn("_at", F.monotonically_increasing_id()),
         label,
     )
-    part = F.shiftright("_at", _PARTITION_BITS)
-    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    local = F.col("_at") - F.shiftleft(part, _PARTITION_BITS)
-    rows = placed.withColumn("row", local + at_part(running_starts(sizes), part)).drop("_at")
-    return rows, sum(sizes.values())
+    placed = placed.withColumn("_part", F.shiftright("_at", _PARTITION_BITS))
+    sizes = materialise(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), f"{label}-sizes")
+    local = F.col("_at") - F.shiftleft("_part", _PARTITION_BITS)
+    rows = placed.join(running_starts(sizes, "_part", "_n", "_start"), "_part").withColumn("row", local + F.col("_start"))
+    return rows.drop("_at", "_part", "_start"), sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..durable import materialise
+from ..operators.skew import split_join
 from .support import BLANKS, small_batches, text_of
-from .tokens import encoder, tokenizer_version, utf8
+from .tokens import encoder, tokenizer_version
 
 _CACHE = "digest binary, version string, n_tokens long"
 
@@ -44,7 +45,8 @@ def token_counts(
     replacing each run of blanks by one space, otherwise it is the text itself.
 
     Null text counts as empty: 0 bytes, and what the tokenizer gives for an empty text.  Rows may
-    repeat, ids may be null; every row is returned.  Two runs that append the same digest at once
+    repeat, ids may be null; every row is returned, an empty table gives none.  Only the two named
+    columns are read, so others may have any name; texts may have any length.  Two runs that append the same digest at once
     store it twice, which reading undoes.
     """
     spark = docs.sparkSession
@@ -64,11 +66,10 @@ def token_counts(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(tokenizer, by_words)
         for batch in batches:
-            counts = [len(ids) // 4 for ids in codec.encode(utf8(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codec.count_column(batch.column(1)))], names=["digest", "n_tokens"])
 
     counted = texts.mapInArrow(count, "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache)
-    return keys.join(read_cache(spark, cache, version), "digest", "left").select(
+    return split_join(keys, read_cache(spark, cache, version), ["digest"], "left").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

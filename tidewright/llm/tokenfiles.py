@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .support import at_part, running_starts, small_batches, text_of
-from .tokens import encoder, utf8
+from .support import running_starts, small_batches, text_of
+from .tokens import encoder
 
 _FILE = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
 
@@ -38,7 +38,8 @@ def write_token_files(
     so a reader that asks for some documents or for counts only reads those pages.
 
     A null text is written as the end id alone, a null id stands first, rows with equal ids follow
-    the hash of their text.  Texts are range-partitioned by id before they are encoded, so each is
+    the hash of their text.  Only the two named columns are read, so others may have any name; an
+    empty table gives files without rows, and a text of any length is one row.  Texts are range-partitioned by id before they are encoded, so each is
     encoded once and a lost task is simply run again.
     """
     small_batches(docs.sparkSession)
@@ -52,15 +53,18 @@ def write_token_files(
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        codec, end = encoder(tokenizer, by_words), np.array([end_id], dtype="<u4").tobytes()
+        codec = encoder(tokenizer, by_words)
         for batch in batches:
-            ids = [x + end for x in codec.encode(utf8(batch.column(1)))]
-            counts = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+            ids, counts = codec.encode_column(batch.column(1))
+            counts = counts + 1
             ends = np.cumsum(counts)
-            values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+            values = np.full(len(ids) + len(counts), end_id, dtype="<i4")
+            own = np.ones(len(values), dtype=bool)
+            own[ends - 1] = False
+            values[own] = ids
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(ids), part, dtype=np.int32)), pa.array(start + ends - counts),
+                [batch.column(0), pa.array(np.full(len(counts), part, dtype=np.int32)), pa.array(start + ends - counts),
                  pa.array(counts.astype(np.int32)), lists],
                 names=["doc_id", "part", "local_start", "n_tokens", "ids"],
             )
@@ -78,17 +82,19 @@ def write_token_files(
     ).parquet(folder)
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
+def read_token_files(spark: SparkSession, folder: str, doc_ids: Sequence[int] | None = None) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``.
 
-    One total per file reaches the driver.
+    With ``doc_ids`` only those documents are read: files, row groups and pages that cannot hold
+    one of them are skipped by their bounds.  Starts come from the counts alone, whose columns are
+    a small part of a file.
     """
     files = spark.read.schema(_FILE).parquet(folder)
-    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()
-    starts = running_starts({r["part"]: r["n"] for r in totals})
-    return files.select(
+    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    wanted = files if doc_ids is None else files.where(F.col("doc_id").isin(list(doc_ids)))
+    return wanted.join(running_starts(totals, "part", "n", "_before"), "part").select(
         "doc_id",
-        (F.col("local_start") + at_part(starts, F.col("part"))).alias("start"),
+        (F.col("local_start") + F.col("_before")).alias("start"),
         F.col("n_tokens").cast("long").alias("n_tokens"),
         "ids",
     )

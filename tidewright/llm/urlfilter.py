@@ -1,6 +1,7 @@
 """URL filter: fixed host and path rules first, a weighted vocabulary for the rest.
 
-The vocabulary is counted in host and path with one Aho-Corasick automaton.  A hit counts when no
+The vocabulary is counted in the whole url behind its scheme, query and fragment included, with one
+Aho-Corasick automaton; a url without a scheme is searched from its start.  A hit counts when no
 letter or digit touches it.  Terms of weight ``LIMIT`` are strict: one is enough.  Soft terms weigh
 1 and only distinct ones add up.
 """
@@ -11,7 +12,7 @@ import functools
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .support import lower_ascii, ship, text_of
@@ -22,7 +23,7 @@ STRICT = ("casino", "porn", "porno", "xxx", "viagra", "cialis", "hentai", "camgi
 SOFT = (
     "adult", "bet", "bets", "betting", "bonus", "cheap", "crack", "escort", "free", "gamble", "jackpot", "keygen",
     "loan", "loans", "nude", "payday", "pill", "pills", "poker", "replica", "sex", "sexy", "slots", "torrent", "warez",
-    "win", "x",
+    "win",
 )
 
 Rule = tuple[str, str, str]
@@ -49,6 +50,12 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(text_of(url), _ADDRESS, 2)
 
 
+def seen_of(url: Column) -> Column:
+    """What the vocabulary is counted in: everything behind the first ``://``, or all, A-Z lower-cased."""
+    text = text_of(url)
+    return lower_ascii(F.when(F.contains(text, F.lit("://")), F.regexp_extract(text, r"(?s)^.*?://(.*)$", 1)).otherwise(text))
+
+
 def longest_first(rules: Sequence[Rule]) -> list[Rule]:
     """Longest host + path first; of equally long ones the longer host, then alphabetic."""
     return sorted(rules, key=lambda r: (-len(r[0] + r[1]), -len(r[0]), r))
@@ -89,6 +96,17 @@ def count_terms(text: str, terms: tuple[tuple[str, int], ...]) -> tuple[int, int
     return strict, len(found) - strict
 
 
+def read_vocabulary(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Strict and soft terms of a text file with a term and its weight (1 or 2) on each line.
+
+    A configured list, as short as the memory of a task allows; blank lines and lines that begin
+    with # are passed over.
+    """
+    rows = spark.read.text(path).where("trim(value) <> '' AND NOT value LIKE '#%'").select(F.split(F.trim("value"), r"\s+").alias("v"))
+    terms = {r["v"][0].lower(): int(r["v"][1]) for r in rows.collect()}
+    return sorted(t for t, w in terms.items() if w >= LIMIT), sorted(t for t, w in terms.items() if w < LIMIT)
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[Rule] = RULES,
@@ -100,7 +118,9 @@ def judge_urls(
 
     ``rules`` is a short configured list; the longest that fits decides.  Without one, the verdict
     is block for a strict hit or ``LIMIT`` distinct soft hits.  Columns of those six names are
-    replaced.  A null url, or one without ``://``, has empty host and path, no hits and is allowed.
+    replaced.  A null url, or one without ``://``, has empty host and path and so no rule; the
+    vocabulary is counted in it all the same, and a null url has no hits.  Rows may repeat, urls
+    may have any length, and an empty table gives no rows.
     """
     ship(pages.sparkSession)
     terms = tuple(sorted({**dict.fromkeys(soft, 1), **dict.fromkeys(strict, LIMIT)}.items()))
@@ -112,7 +132,7 @@ def judge_urls(
 
     read = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     host, path = F.col("host"), F.col("path")
-    counted = read.withColumn("_hits", hits(lower_ascii(F.concat(host, path))))
+    counted = read.withColumn("_hits", hits(seen_of(F.col(url))))
     method = F.when((F.col("strict_hits") > 0) | (F.col("soft_hits") >= LIMIT), "block").otherwise("allow")
     return (
         counted.withColumns({"strict_hits": F.col("_hits.strict_hits"), "soft_hits": F.col("_hits.soft_hits")})
@@ -138,10 +158,11 @@ def judge_sql(rules: Sequence[Rule] = RULES, strict: Sequence[str] = STRICT, sof
     return f"""
 WITH cut AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{_ADDRESS}', 1), '{upper}', '{lower}') AS host,
-    regexp_extract(coalesce(url, ''), '{_ADDRESS}', 2) AS path
+    regexp_extract(coalesce(url, ''), '{_ADDRESS}', 2) AS path, coalesce(url, '') AS url
   FROM pages
 ), lowered AS (
-  SELECT *, translate(host || path, '{upper}', '{lower}') AS seen FROM cut
+  SELECT *, translate(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE url END, '{upper}', '{lower}') AS seen
+  FROM cut
 ), counted AS (
   SELECT *, {" + ".join(map(free, strict))} AS strict_hits, {" + ".join(map(free, soft))} AS soft_hits FROM lowered
 )
