@@ -8,28 +8,31 @@
 
 A stage is a function of (spark, docs, sf_dir); it returns the columns of ``documents``, and the
 last one ``doc_id``, ``n_tokens`` and two digests.
+
+Rows may have null ids and share ids: where rows are compared they go by a key of their own, so a
+row is kept or dropped for its own text alone.  A null text is empty; of empty texts one stays.  No
+stage fails on an empty table or on further columns, which are left out.  Texts may have any length.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.durable import shared_folder
+from tidewright.durable import fresh_folder
 from tidewright.llm import bpe, exactdedup, minhash, mixing, quality, tokens
+from tidewright.llm.support import with_row_key
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is among ``ids``; a null id finds a null id.
+def _only(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose ``_key`` is among the ids of ``keys``.
 
-    The ids grow with the corpus, so they are merged and not broadcast.
+    The keys grow with the corpus, so they are merged and not broadcast.
     """
-    kept = ids.select(F.col("doc_id").alias("_kept")).distinct().hint("merge")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi").select(*DOCUMENT)
+    kept = keys.select(F.col("doc_id").alias("_key")).hint("merge")
+    return keyed.join(kept, "_key", "left_semi").select(*DOCUMENT)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +42,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat a kept id with another text stay too, as the id cannot tell them apart."""
-    return _only(docs, exactdedup.exact_duplicates(docs).where("kept"))
+    keyed = with_row_key(docs)
+    return _only(keyed, exactdedup.exact_duplicates(keyed, id_col="_key").where("kept"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, minhash.near_duplicates(docs, width=5, percent=80).where("kept"))
+    keyed = with_row_key(docs)
+    return _only(keyed, minhash.near_duplicates(keyed, width=5, percent=80, id_col="_key").where("kept"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +76,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = f"{shared_folder(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        path = fresh_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
