@@ -15,7 +15,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    """Those for training text may do without; their own tests hold them against plain versions."""
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) <= set(entry._TEXT_QUERIES)
 
 
 def test_entry(spark):
@@ -26,7 +28,7 @@ def test_entry(spark):
 MAY_BE_EMPTY = {"log_errors", "log_error_tail"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
     problem = compare(QUERIES[name](spark, FOLDER), con, SQL[name])
     if name in MAY_BE_EMPTY and problem == "no rows on either side":

@@ -28,11 +28,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    """Name of a new folder in the shared one, for results that a caller writes; ``clean`` removes it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends at the files."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    path = fresh_folder(spark, label)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

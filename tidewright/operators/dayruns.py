@@ -42,6 +42,18 @@ def day_bounds(events: DataFrame) -> DataFrame:
     )
 
 
+def within_span(events: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Lines between the first start and the last end of all ranges.
+
+    Two numbers reach the driver; as plain bounds they reach the scan, which skips the row groups
+    of lines that no range can have.
+    """
+    span = ranges.agg(F.min("start_line").alias("a"), F.max("end_line").alias("b")).first()
+    if span["a"] is None:
+        return events.limit(0)
+    return events.where(F.col("line_no").between(span["a"], span["b"]))
+
+
 def in_ranges(
     events: DataFrame, ranges: DataFrame, bucket: int | None = None, written: bool = False
 ) -> DataFrame:
@@ -65,7 +77,8 @@ def in_ranges(
         ),
     )
     return (
-        events.withColumn("_bucket", F.floor(F.col("line_no") / F.lit(width)))
+        within_span(events, ranges)
+        .withColumn("_bucket", F.floor(F.col("line_no") / F.lit(width)))
         .join(covered, ["file", "_bucket"])
         .where(F.col("line_no").between(F.col("start_line"), F.col("end_line")))
         .drop("_bucket")
@@ -107,13 +120,17 @@ def error_tail(events: DataFrame, days: DataFrame, bucket: int | None = None) ->
 
 
 def archive(
-    events: DataFrame, bucket: int | None = None, days: DataFrame | None = None
+    events: DataFrame,
+    bucket: int | None = None,
+    days: DataFrame | None = None,
+    dated: DataFrame | None = None,
 ) -> DataFrame:
     """Every non-blank line between the first and last dated line of a day, text unchanged.
 
-    With ``days`` (day) only those days are kept, and only their ranges meet the log.
+    With ``days`` (day) only those days are kept, and only their ranges meet the log; ``dated``
+    are then the events that may have such a day, where the caller can read fewer.
     """
-    bounds = day_bounds(events)
+    bounds = day_bounds(events if dated is None else dated)
     if days is not None:
         bounds = bounds.join(days, "day", "left_semi")
     return in_ranges(events, bounds, bucket).select(
@@ -121,11 +138,14 @@ def archive(
     )
 
 
-def step_metrics(events: DataFrame, details: bool = False) -> DataFrame:
+def step_metrics(
+    events: DataFrame, details: bool = False, also_by: Sequence[str] = ()
+) -> DataFrame:
     """Per file, day and step: first and last time, duration and the last line's row counters.
 
     Counters are numbers before they are aggregated, so the aggregate stays a hash aggregate;
-    ``details`` adds the first and last detail text, which makes it a sort aggregate.
+    ``details`` adds the first and last detail text, which makes it a sort aggregate.  ``also_by``
+    are further columns to group by, such as the pipeline that wrote a line.
     """
     texts = [
         F.min_by("detail", "line_no").alias("first_detail"),
@@ -133,7 +153,7 @@ def step_metrics(events: DataFrame, details: bool = False) -> DataFrame:
     ]
     ends = (
         events.where(F.col("ts").isNotNull())
-        .groupBy("file", F.to_date("ts").alias("day"), "step")
+        .groupBy("file", F.to_date("ts").alias("day"), *also_by, "step")
         .agg(
             F.min("ts").alias("min_ts"),
             F.max("ts").alias("max_ts"),
@@ -155,8 +175,8 @@ def join_lineage(
 ) -> DataFrame:
     """Metrics of the steps that are a lineage source, with the pipeline they belong to.
 
-    ``pipeline`` names a column both sides have where the log tells which pipeline wrote a line;
-    without it a step name used in several pipelines counts for each of them.
+    ``pipeline`` names a column both sides have where the log tells which pipeline wrote a line
+    (``loglines.with_pipeline``); without it a step name used in several pipelines counts for each.
     """
     keys = ["step"] if pipeline is None else ["step", pipeline]
     flows = lineage.withColumnRenamed("from_table", "step")

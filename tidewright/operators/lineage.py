@@ -50,6 +50,40 @@ def reachable(
     return out
 
 
+def reachable_by_doubling(
+    edges: DataFrame, roots: DataFrame, keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """The result of ``reachable`` without a bound, in about log2 of the depth rounds.
+
+    Round k knows all nodes nearer than 2^k steps and the jumps of exactly 2^k steps.  Nodes plus
+    one jump give the next nodes, two jumps in a row the next jumps.  A shortest way of up to twice
+    the length is a shortest way followed by one jump, so depths are exact; a round that finds
+    nothing new ends the search, cycles included.  Chains and forests have no more jumps than
+    nodes; a dense graph of small depth is better served by ``reachable``.
+    """
+    cols = [*keys, "node"]
+    jumps = materialise(
+        edges.select(*keys, F.col("parent").alias("node"), F.col("child").alias("to")).distinct(), "jumps-0"
+    )
+    found = materialise(roots.select(*cols).distinct().withColumn("depth", F.lit(0)), "doubling-0")
+    n, length = found.count(), 1
+    while True:
+        farther = found.join(jumps, cols).select(
+            *keys, F.col("to").alias("node"), (F.col("depth") + length).alias("depth")
+        )
+        found = materialise(
+            found.unionByName(farther).groupBy(*cols).agg(F.min("depth").alias("depth")), f"doubling-{length}"
+        )
+        now = found.count()
+        if now == n:
+            return found
+        n, length = now, 2 * length
+        onward = jumps.select(*keys, F.col("node").alias("to"), F.col("to").alias("_end"))
+        jumps = materialise(
+            jumps.join(onward, [*keys, "to"]).select(*cols, F.col("_end").alias("to")).distinct(), f"jumps-{length}"
+        )
+
+
 def lineage(
     spark: SparkSession,
     folder: str,

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import TS_TEXT, wall_time
 from ..functions.texts import step_copy, step_name
+from .carry import carry_forward
 
 # The three spellings that mark an error line.
 ERROR_SPELLINGS = ("error", "ERROR", "Error")
 # Fixed value: lines of this framework component are noise, not failures.
 BENIGN_ERRORS = (r"org\.osgi\.service\.cm\.ManagedService",)
 
+# What a pipeline says when it starts, before its name in brackets.
+START_PHRASES = ("为了转换解除补丁开始", "Dispatching started for transformation")
+
 _SEPARATOR = " - "
 _DATED = f"^{TS_TEXT}{_SEPARATOR}"
 _STAMP_WIDTH = len("yyyy/MM/dd HH:mm:ss")
@@ -58,3 +62,14 @@ def error_lines(events: DataFrame, benign: Sequence[str] = BENIGN_ERRORS) -> Dat
     for pattern in benign:
         out = out.where(~F.col("raw").rlike(pattern))
     return out
+
+
+def started_pipeline(detail: Column, phrases: Sequence[str] = START_PHRASES) -> Column:
+    """Name of the pipeline that a line says has started, else null."""
+    said = F.regexp_extract(detail, rf"^(?:{'|'.join(phrases)}) +\[(.*)\]$", 1)
+    return F.when(said != "", said)
+
+
+def with_pipeline(events: DataFrame, phrases: Sequence[str] = START_PHRASES) -> DataFrame:
+    """Add ``pipeline``: the one whose start is the last before each line of a file, else null."""
+    return carry_forward(events, started_pipeline(F.col("detail"), phrases), "pipeline")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..durable import materialise
+from ..functions.dates import on_days
 from ..operators import dayruns
 from ..operators.days import days_to_analyse
 from ..operators.loglines import BENIGN_ERRORS
@@ -23,6 +24,11 @@ class Analysis:
 
     ``at`` is the time of analysis; where it is given, every result has it as ``analysis_time``.
     ``written`` says that ``events`` come from a table; else they are written when first needed.
+    ``attributed`` says that both events and lineage have the ``pipeline`` a line belongs to, so a
+    step counts only for the pipeline that ran it.
+
+    The steps read the events of the pending days only: bounds on time and line number reach the
+    scan of the table.
     """
 
     parsed: DataFrame
@@ -33,6 +39,7 @@ class Analysis:
     benign: Sequence[str] = BENIGN_ERRORS
     written: bool = False
     at: dt.datetime | None = None
+    attributed: bool = False
 
     @cached_property
     def events(self) -> DataFrame:
@@ -42,9 +49,17 @@ class Analysis:
     def days(self) -> DataFrame:
         return days_to_analyse(self.done_days, self.today).withColumnRenamed("date", "day")
 
+    @cached_property
+    def _dated(self) -> DataFrame:
+        """Dated lines from the first pending day to the last."""
+        span = self.days.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+        if span["a"] is None:
+            return self.events.limit(0)
+        return self.events.where(on_days(F.col("ts"), span["a"], span["b"]))
+
     @cached_property
     def judged(self) -> DataFrame:
-        windows = dayruns.day_windows(self.events, self.marker).join(self.days, "day", "left_semi")
+        windows = dayruns.day_windows(self._dated, self.marker).join(self.days, "day", "left_semi")
         return materialise(dayruns.verdicts(self.events, windows, self.benign), "day-verdicts")
 
     def _stamped(self, df: DataFrame) -> DataFrame:
@@ -64,13 +79,14 @@ class Analysis:
     def run_metrics(self) -> DataFrame:
         """Metrics of the good days only: other lines are left out before they are grouped."""
         good = self.judged.where(F.col("status") == dayruns.SUCCESS).select("file", "day")
-        lines = self.events.withColumn("day", F.to_date("ts")).join(good, ["file", "day"], "left_semi")
-        metrics = dayruns.step_metrics(lines.drop("day"))
-        return self._stamped(dayruns.join_lineage(metrics, self.lineage))
+        lines = self._dated.withColumn("day", F.to_date("ts")).join(good, ["file", "day"], "left_semi")
+        by = ["pipeline"] if self.attributed else []
+        metrics = dayruns.step_metrics(lines.drop("day"), also_by=by)
+        return self._stamped(dayruns.join_lineage(metrics, self.lineage, *by))
 
     @cached_property
     def archive(self) -> DataFrame:
-        return self._stamped(dayruns.archive(self.events, days=self.days))
+        return self._stamped(dayruns.archive(self.events, days=self.days, dated=self._dated))
 
     def store(self, folder: str) -> None:
         """Write lineage anew and the pending days of the four result tables; other days stay.
@@ -99,6 +115,7 @@ def analyse(
     benign: Sequence[str] = BENIGN_ERRORS,
     written: bool = False,
     at: dt.datetime | None = None,
+    attributed: bool = False,
 ) -> Analysis:
     """The analysis of parsed ``events`` for the days after the last of ``done_days``."""
-    return Analysis(events, lineage, done_days, today, marker, benign, written, at)
+    return Analysis(events, lineage, done_days, today, marker, benign, written, at, attributed)

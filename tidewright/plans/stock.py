@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import storage_sign
 from ..functions.dates import on_days
 from ..operators.skew import split_join
+from ..sources.bucketed import join_bucketed
 from .ledger import STOCK_KEYS
 
 Day = dt.date | None
@@ -29,10 +30,10 @@ def _changes(ledger: DataFrame, batches: DataFrame, stock: DataFrame, first: Day
         {"from_location_code": "location_code", "from_location_storage": "storage"}
     )
     # Price and cost meet first: both are far smaller than the ledger, which is shuffled once.
-    return split_join(moved, _valued(stock, batches), STOCK_KEYS)
+    return split_join(moved, valued(stock, batches), STOCK_KEYS)
 
 
-def _valued(stock: DataFrame, batches: DataFrame) -> DataFrame:
+def valued(stock: DataFrame, batches: DataFrame) -> DataFrame:
     """Stock keys with their price and the cost and supplier of their batch."""
     cost = batches.select("batch_no", "goods_code", "supplier_code", "cost_price")
     return stock.select(*STOCK_KEYS, "price", "flow_price").join(cost, ["batch_no", "goods_code"])
@@ -91,6 +92,27 @@ def stock_change_center(
     ).withColumn("origin_system", F.lit("YH"))
 
 
+def bucketed_facts(
+    ledger: DataFrame, batches: DataFrame, stock: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Ledger and valued stock as ``sources.bucketed`` stores them, on the stock keys."""
+    facts = ledger.withColumnsRenamed(
+        {"from_location_code": "location_code", "from_location_storage": "storage"}
+    )
+    return facts, valued(stock, batches)
+
+
+def stock_change_bucketed(facts: DataFrame, lookup: DataFrame, first: Day = None, last: Day = None) -> DataFrame:
+    """``stock_change_center`` from the two bucketed tables: the ledger is not moved."""
+    moved = facts.where(on_days(F.col("create_time"), first, last))
+    return join_bucketed(moved, lookup, STOCK_KEYS).select(
+        *_change_columns(),
+        F.col("update_time").alias("create_time"),
+        "stock_date",
+        "bill_code",
+    ).withColumn("origin_system", F.lit("YH"))
+
+
 def stock_change_combined(
     ledger: DataFrame, batches: DataFrame, stock: DataFrame, collected: DataFrame,
     orders: DataFrame, gifts: DataFrame, center_gifts: DataFrame, gift_lines: DataFrame,
@@ -250,7 +272,7 @@ def back_rolled_stock(
         F.sum("_change").over(so_far).alias("amount"),
     ).where(F.col("amount") != 0)
     return (
-        stretches.join(_valued(stock, batches), keys)
+        stretches.join(valued(stock, batches), keys)
         .select(
             F.explode(F.sequence("_from", "_to")).alias("date"),
             "batch_no",

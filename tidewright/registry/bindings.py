@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.loglines import START_PHRASES
 from ..session import tune
 
 MARKER = "[nightly]"
@@ -404,11 +405,13 @@ class Tables:
 
     @cached_property
     def log_lines(self) -> DataFrame:
-        """The events as one run log: dated step lines, markers, undated errors and noise."""
+        """The events as three run logs: dated step lines, markers, starts of pipelines, undated
+        errors and noise.  Lines keep the events' numbers, so those of a file have gaps."""
         stamp = "date_format(ts, 'yyyy/MM/dd HH:mm:ss')"
         step = "concat('rate_0400', user_id, '.0')"
+        started = "concat('conv_', greatest(user_id - 4, 0))"
         return self.read("events").selectExpr(
-            "'events.log' AS file",
+            "concat('run_', event_id % 3, '.log') AS file",
             "event_id + 1 AS line_no",
             f"""CASE
               WHEN event_type = 'error' AND value > 300 THEN concat('ERROR: worker ', user_id, ' lost')
@@ -421,6 +424,8 @@ class Tables:
                 concat({stamp}, ' - ', {step}, ' - start load - LOAD DATA ', event_id)
               WHEN event_type = 'view' AND value > 150 THEN
                 concat({stamp}, ' - main - start {MARKER}')
+              WHEN event_type = 'click' AND value < 20 THEN
+                concat({stamp}, ' - ', {started}, ' - {START_PHRASES[0]}  [', {started}, ']')
               ELSE concat({stamp}, ' - ', {step}, ' - linenr ', event_id) END AS value""",
         )
 

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..durable import shared_folder
+from ..durable import fresh_folder
 from ..functions import sqlnames
 from ..operators import dayruns
 from ..operators.days import days_between, days_to_analyse, pending_days
 from ..operators.lineage import lineage, reachable, terminal_hops
-from ..operators.loglines import drop_blank, error_lines, parse_events
+from ..operators.loglines import drop_blank, error_lines, parse_events, with_pipeline
+from ..plans.dailylog import LogStore
 from ..plans.loganalysis import analyse
 from ..sources.textlog import read_log
 from .bindings import MARKER, Tables
@@ -45,12 +45,12 @@ def _done(t: Tables):
 
 
 def log_parse(t: Tables):
-    return plain(_events(t).drop("file"))
+    return plain(_events(t))
 
 
 def log_text_numbering(t: Tables):
     """Write the log as text files, number the lines of each file, and chain the files."""
-    path = f"{shared_folder(t.spark)}/log-text-{uuid.uuid4().hex}"
+    path = fresh_folder(t.spark, "log-text")
     (
         t.log_lines.repartitionByRange("line_no")
         .sortWithinPartitions("line_no")
@@ -68,28 +68,28 @@ def log_text_numbering(t: Tables):
 
 
 def log_errors(t: Tables):
-    return error_lines(_events(t)).select("line_no", "raw")
+    return error_lines(_events(t)).select("file", "line_no", "raw")
 
 
 def log_day_window(t: Tables):
-    return plain(dayruns.day_windows(_events(t), MARKER).drop("file"))
+    return plain(dayruns.day_windows(_events(t), MARKER))
 
 
 def log_verdict(t: Tables):
-    return plain(_judged(t)[1].drop("file"))
+    return plain(_judged(t)[1])
 
 
 def log_error_tail(t: Tables):
     events, judged = _judged(t)
-    return plain(dayruns.error_tail(events, judged).drop("file"))
+    return plain(dayruns.error_tail(events, judged))
 
 
 def log_step_metrics(t: Tables):
-    return plain(dayruns.step_metrics(_events(t)).drop("file"))
+    return plain(dayruns.step_metrics(_events(t)))
 
 
 def log_archive(t: Tables):
-    return plain(dayruns.archive(_events(t)).drop("file", "ts"))
+    return plain(dayruns.archive(_events(t)).drop("ts"))
 
 
 def log_day_inventory(t: Tables):
@@ -144,18 +144,20 @@ def log_run_status(t: Tables):
 
 def log_run_archive(t: Tables):
     """Write the four results of the pending days twice and read the archive back."""
-    done = t.read("events").agg(F.date_add(F.to_date(F.min("ts")), 20).alias("date"))
-    folder = f"{shared_folder(t.spark)}/log-results-{uuid.uuid4().hex}"
+    done = t.read("events").agg(F.date_sub(F.to_date(F.min("ts")), 1).alias("date"))
+    folder = fresh_folder(t.spark, "log-results")
     terminal = _lineage(t).withColumnRenamed("file", "pipeline")
     for day in (TODAY, dt.date(2024, 2, 2)):
         analyse(_events(t), terminal, done, day, MARKER, at=ANALYSED).store(folder)
-    return plain(t.spark.read.parquet(f"{folder}/archive").select("log_date", "line_no", "detail", "analysis_time"))
+    stored = t.spark.read.parquet(f"{folder}/archive")
+    return plain(stored.select("file", "log_date", "line_no", "detail", "analysis_time"))
 
 
 def log_run_metrics(t: Tables):
     done = t.read("events").agg(F.date_sub(F.to_date(F.min("ts")), 1).alias("date"))
     terminal = _lineage(t).withColumnRenamed("file", "pipeline")
-    return plain(analyse(_events(t), terminal, done, TODAY, MARKER).run_metrics.drop("file"))
+    events = with_pipeline(_events(t))
+    return plain(analyse(events, terminal, done, TODAY, MARKER, attributed=True).run_metrics)
 
 
 def lineage_terminal_hops(t: Tables):
@@ -168,7 +170,7 @@ def lineage_from_files(t: Tables):
     Job c runs its transformation, a sentinel and job c + 1; each fifth job starts its chain
     again instead.  The entry job starts every second chain.
     """
-    folder = f"{shared_folder(t.spark)}/definitions-{uuid.uuid4().hex}"
+    folder = fresh_folder(t.spark, "definitions")
     turns = t.read("conversations")
     hop = "concat('<hop><from>rate_0400', conv_id + turn, '</from><to>rate_0400', conv_id + turn + 1,"
     hop += " '</to><enabled>', if(role <> 'system', 'Y', 'N'), '</enabled></hop>')"
@@ -209,8 +211,56 @@ def _rename_to_partition(spark, written: str, folder: str) -> None:
 
 
 def lineage_metrics_join(t: Tables):
+    """Metrics of each pipeline's own steps: a step name that several pipelines share counts only
+    for the one that was running."""
     terminal = _lineage(t).withColumnRenamed("file", "pipeline")
-    return plain(dayruns.join_lineage(dayruns.step_metrics(_events(t)), terminal).drop("file"))
+    metrics = dayruns.step_metrics(with_pipeline(_events(t)), also_by=["pipeline"])
+    return plain(dayruns.join_lineage(metrics, terminal, "pipeline"))
+
+
+def log_resumed(t: Tables):
+    """Take in daily rolled logs twice: first up to the noon of a day, then what has come since.
+
+    The second run finds files that have grown and files that are new; every event keeps the run
+    that took it in and the pipeline that was running, which may have started in the first run.
+    """
+    lines = t.log_lines.join(t.read("events").selectExpr("event_id + 1 AS line_no", "ts"), "line_no").select(
+        F.concat("file", F.lit("."), F.to_date("ts")).alias("log"), "line_no", "value", F.to_date("ts").alias("day"),
+        (F.hour("ts") < 12).alias("early"),
+    )
+    first = t.read("events").agg(F.min("ts")).first()[0].date()
+    middle = F.lit(first + dt.timedelta(days=10))
+    folder = fresh_folder(t.spark, "logs")
+    store = LogStore(t.spark, fresh_folder(t.spark, "log-store"))
+
+    def write(rows, to: str) -> None:
+        rows.select("log", "line_no", "value").repartition("log").sortWithinPartitions("line_no").select(
+            "log", "value"
+        ).write.mode("append").partitionBy("log").text(to)
+
+    write(lines.where((F.col("day") < middle) | ((F.col("day") == middle) & F.col("early"))), f"{folder}/logs")
+    store.take(f"{folder}/logs/log=*")
+    write(lines.where(F.col("day") > middle), f"{folder}/logs")
+    write(lines.where(F.col("day") == middle), f"{folder}/grown")
+    _replace_single_files(t.spark, f"{folder}/grown", f"{folder}/logs")
+    store.take(f"{folder}/logs/log=*")
+    return store.events.select(
+        F.regexp_extract("file", "log=([^/]*)", 1).alias("log"), "line_no", "run", "raw", "pipeline"
+    )
+
+
+def _replace_single_files(spark, grown: str, logs: str) -> None:
+    """Put the one file of each partition in the place of the file of the same partition."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(grown).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for new in files.globStatus(path(f"{grown}/log=*/part-*")):
+        part = new.getPath().getParent().getName()
+        olds = files.globStatus(path(f"{logs}/{part}/part-*"))
+        old = olds[0].getPath() if len(olds) else path(f"{logs}/{part}/part-0")
+        files.mkdirs(old.getParent())
+        if len(olds):
+            files.delete(old, False)
+        files.rename(new.getPath(), old)
 
 
 def lineage_closure(t: Tables):
@@ -228,12 +278,12 @@ QUERIES = {
         log_parse, log_text_numbering, log_errors, log_day_window, log_verdict, log_error_tail,
         log_step_metrics, log_archive, log_day_inventory, log_pending_days,
         log_newest_pending_days, log_sql_functions, log_days_to_analyse,
-        log_run_status, log_run_metrics, log_run_archive, lineage_terminal_hops, lineage_metrics_join,
+        log_run_status, log_run_metrics, log_run_archive, log_resumed, lineage_terminal_hops, lineage_metrics_join,
         lineage_closure, lineage_from_files,
     )
 }
 
-_METRICS = """m.day, m.step AS {step}, strftime(min_ts, '%Y-%m-%d %H:%M:%S') AS min_ts,
+_METRICS = """m.file, m.day, m.step AS {step}, strftime(min_ts, '%Y-%m-%d %H:%M:%S') AS min_ts,
   strftime(max_ts, '%Y-%m-%d %H:%M:%S') AS max_ts,
   CAST(epoch(max_ts) - epoch(min_ts) AS BIGINT) AS duration_seconds,
   (CAST(epoch(max_ts) - epoch(min_ts) AS BIGINT) // 86400) || '天'
@@ -249,29 +299,32 @@ _METRICS = _METRICS.replace("m.day", "strftime(m.day, '%Y-%m-%d') AS day")
 
 SQL = {
     "log_parse": with_views("log", body="""
-        SELECT line_no, CASE WHEN dated THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts, step,
-          CASE WHEN dated AND step <> 'main' THEN 0 END AS "copy",
-          CASE WHEN NOT dated THEN raw
-            ELSE substr(raw, 23 + length(CASE WHEN step = 'main' THEN 'main' ELSE step || '.0' END) + 3)
-          END AS detail, raw FROM log"""),
+        SELECT file, line_no, CASE WHEN dated THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts, step,
+          CASE WHEN contains(step_text, '.') THEN 0 END AS "copy", said AS detail, raw FROM log"""),
     "log_text_numbering": with_views("log", body="""
         SELECT row_number() OVER (ORDER BY event_id) AS line_no, raw FROM log"""),
     "log_errors": with_views("log", body="""
-        SELECT line_no, raw FROM log WHERE event_type = 'error' AND value > 300"""),
+        SELECT file, line_no, raw FROM log WHERE event_type = 'error' AND value > 300"""),
     "log_day_window": with_views("windows", body="""
-        SELECT strftime(day, '%Y-%m-%d') AS day, start_line, end_line FROM windows"""),
+        SELECT file, strftime(day, '%Y-%m-%d') AS day, start_line, end_line FROM windows"""),
     "log_verdict": with_views("verdict", body="""
-        SELECT strftime(day, '%Y-%m-%d') AS day, start_line, end_line, first_error, n_errors, status
+        SELECT file, strftime(day, '%Y-%m-%d') AS day, start_line, end_line, first_error, n_errors, status
         FROM verdict"""),
     "log_error_tail": with_views("verdict", body="""
-        SELECT strftime(v.day, '%Y-%m-%d') AS day, l.line_no, l.raw AS detail, v.status
-        FROM verdict v JOIN log l ON l.line_no BETWEEN v.first_error AND v.end_line"""),
+        SELECT l.file, strftime(v.day, '%Y-%m-%d') AS day, l.line_no, l.raw AS detail, v.status
+        FROM verdict v JOIN log l ON l.file = v.file AND l.line_no BETWEEN v.first_error AND v.end_line"""),
     "log_step_metrics": with_views("metrics", body="SELECT "
         + _METRICS.replace("{step}", "step") + " FROM metrics m"),
     "log_archive": with_views("log", body="""
-        SELECT strftime(w.day, '%Y-%m-%d') AS log_date, l.line_no, l.raw AS detail
-        FROM (SELECT day, min(line_no) AS a, max(line_no) AS b FROM log WHERE dated GROUP BY day) w
-        JOIN log l ON l.line_no BETWEEN w.a AND w.b"""),
+        SELECT l.file, strftime(w.day, '%Y-%m-%d') AS log_date, l.line_no, l.raw AS detail
+        FROM (SELECT file, day, min(line_no) AS a, max(line_no) AS b FROM log WHERE dated GROUP BY ALL) w
+        JOIN log l ON l.file = w.file AND l.line_no BETWEEN w.a AND w.b"""),
+    "log_resumed": with_views("log", body="""
+        SELECT file || '.' || strftime(day, '%Y-%m-%d') AS log,
+          row_number() OVER (PARTITION BY file, day ORDER BY event_id) AS line_no,
+          CASE WHEN day < d OR day = d AND hour(ts) < 12 THEN 0 ELSE 1 END AS run, raw,
+          last_value(started IGNORE NULLS) OVER (PARTITION BY file, day ORDER BY event_id) AS pipeline
+        FROM log, (SELECT min(CAST(ts AS DATE)) + 10 AS d FROM events)"""),
     "log_day_inventory": with_views("log", body="""
         SELECT DISTINCT strftime(day, '%Y-%m-%d') AS day FROM log WHERE dated"""),
     "log_pending_days": with_views("log", body="""
@@ -301,25 +354,28 @@ SQL = {
           (SELECT unnest(range(max(CAST(ts AS DATE)) - INTERVAL 2 DAY, TIMESTAMP '2024-02-01', INTERVAL 1 DAY)) AS d
            FROM events WHERE value > 300)""",
     "log_run_status": with_views("verdict", body="""
-        SELECT strftime(d.d, '%Y-%m-%d') AS day, v.first_error AS line_no, l.raw AS detail,
-          coalesce(v.status, 'not_executed') AS status, '2024-02-03 04:05:06' AS analysis_time
+        , v AS (SELECT day, max(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS failed,
+            min(CASE WHEN first_error IS NOT NULL THEN {'file': file, 'line': first_error} END) AS at FROM verdict GROUP BY day)
+        SELECT strftime(d.d, '%Y-%m-%d') AS day, v.at.line AS line_no, l.raw AS detail,
+          CASE v.failed WHEN 1 THEN 'failed' WHEN 0 THEN 'success' ELSE 'not_executed' END AS status,
+          '2024-02-03 04:05:06' AS analysis_time
         FROM (SELECT unnest(range(CAST(min(ts) AS DATE)::TIMESTAMP, TIMESTAMP '2024-02-03', INTERVAL 1 DAY)) AS d FROM events) d
-        LEFT JOIN verdict v ON v.day = CAST(d.d AS DATE) LEFT JOIN log l ON l.line_no = v.first_error"""),
+        LEFT JOIN v ON v.day = CAST(d.d AS DATE) LEFT JOIN log l ON l.file = v.at.file AND l.line_no = v.at.line"""),
     "log_run_archive": with_views("log", body="""
-        SELECT strftime(w.day, '%Y-%m-%d') AS log_date, l.line_no, l.raw AS detail, '2024-02-03 04:05:06' AS analysis_time
-        FROM (SELECT day, min(line_no) AS a, max(line_no) AS b FROM log WHERE dated GROUP BY day) w
-        JOIN log l ON l.line_no BETWEEN w.a AND w.b
-        WHERE w.day > (SELECT min(CAST(ts AS DATE)) + 20 FROM events)"""),
-    "log_run_metrics": with_views("verdict", "metrics", "ends", body="SELECT h.file AS pipeline, h.to_table, h.enabled, "
+        SELECT l.file, strftime(w.day, '%Y-%m-%d') AS log_date, l.line_no, l.raw AS detail, '2024-02-03 04:05:06' AS analysis_time
+        FROM (SELECT file, day, min(line_no) AS a, max(line_no) AS b FROM log WHERE dated GROUP BY ALL) w
+        JOIN log l ON l.file = w.file AND l.line_no BETWEEN w.a AND w.b"""),
+    "log_run_metrics": with_views("verdict", "pipeline_metrics", "ends", body="SELECT m.pipeline, h.to_table, h.enabled, "
         + _METRICS.replace("{step}", "from_table")
-        + " FROM metrics m JOIN verdict v ON v.day = m.day AND v.status = 'success' JOIN ends h ON h.from_table = m.step"),
+        + " FROM pipeline_metrics m JOIN verdict v ON v.file = m.file AND v.day = m.day AND v.status = 'success'"
+        " JOIN ends h ON h.file = m.pipeline AND h.from_table = m.step"),
     "lineage_terminal_hops": with_views("ends", body="SELECT file, from_table, to_table, enabled FROM ends"),
     "lineage_from_files": with_views("ends", body="""
         SELECT 'load ' || substr(file, 6) AS job_name, file || '.ktr' AS file, from_table, to_table, enabled
         FROM ends WHERE CAST(substr(file, 6) AS BIGINT) % 10 < 5"""),
-    "lineage_metrics_join": with_views("metrics", "ends", body="SELECT h.file AS pipeline, h.to_table, h.enabled, "
+    "lineage_metrics_join": with_views("pipeline_metrics", "ends", body="SELECT m.pipeline, h.to_table, h.enabled, "
         + _METRICS.replace("{step}", "from_table")
-        + " FROM metrics m JOIN ends h ON h.from_table = m.step"),
+        + " FROM pipeline_metrics m JOIN ends h ON h.file = m.pipeline AND h.from_table = m.step"),
     "lineage_closure": """
         SELECT 'conv_' || conv_id AS file, 'rate_0400' || (conv_id + turn) AS node, CAST(turn AS INTEGER) AS depth
         FROM conversations

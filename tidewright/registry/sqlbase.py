@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.loglines import START_PHRASES
 from .bindings import BILL_TYPES, MARKER, REGIONS, SEGMENTS, TRADES
 
 
@@ -183,34 +184,46 @@ VIEWS = {
         CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_discount AS DECIMAL(3,2)) AS discount,
         l_linestatus AS in_storage_code, l_returnflag AS out_storage_code FROM lineitem""",
     "log": f"""
-      SELECT event_id + 1 AS line_no, ts, CAST(ts AS DATE) AS day, event_id, user_id, event_type, value,
-        event_type <> 'error' AS dated,
-        CASE WHEN event_type = 'error' AND value > 300 THEN 'ERROR: worker ' || user_id || ' lost'
-          WHEN event_type = 'error' THEN '*ERROR* [org.osgi.service.cm.ManagedService, id=' || user_id || ']: x'
-          WHEN event_type = 'signup' THEN {_STAMP} || ' - ' || {_STEP} || ' - Finished processing (I='
-            || event_id || ', O=' || user_id || ', R=' || (event_id + 1) || ', W=' || (user_id + 1)
-            || ', U=0, E=0)'
-          WHEN event_type = 'purchase' THEN {_STAMP} || ' - ' || {_STEP} || ' - start load - LOAD DATA ' || event_id
-          WHEN event_type = 'view' AND value > 150 THEN {_STAMP} || ' - main - start {MARKER}'
-          ELSE {_STAMP} || ' - ' || {_STEP} || ' - linenr ' || event_id END AS raw,
-        CASE WHEN event_type = 'view' AND value > 150 THEN 'main'
-          WHEN event_type <> 'error' THEN 'rate_0400' || user_id END AS step,
-        event_type = 'view' AND value > 150 AS marked
-      FROM events""",
+      SELECT *, CASE WHEN dated THEN {_STAMP} || ' - ' || step_text || ' - ' || said ELSE said END AS raw,
+        split_part(step_text, '.', 1) AS step
+      FROM (
+        SELECT *, CASE WHEN NOT dated THEN NULL WHEN marked THEN 'main' WHEN started IS NOT NULL THEN started
+            ELSE {_STEP} END AS step_text,
+          CASE WHEN event_type = 'error' AND value > 300 THEN 'ERROR: worker ' || user_id || ' lost'
+            WHEN event_type = 'error' THEN '*ERROR* [org.osgi.service.cm.ManagedService, id=' || user_id || ']: x'
+            WHEN event_type = 'signup' THEN 'Finished processing (I=' || event_id || ', O=' || user_id
+              || ', R=' || (event_id + 1) || ', W=' || (user_id + 1) || ', U=0, E=0)'
+            WHEN event_type = 'purchase' THEN 'start load - LOAD DATA ' || event_id
+            WHEN marked THEN 'start {MARKER}'
+            WHEN started IS NOT NULL THEN '{START_PHRASES[0]}  [' || started || ']'
+            ELSE 'linenr ' || event_id END AS said
+        FROM (
+          SELECT 'run_' || (event_id % 3) || '.log' AS file, event_id + 1 AS line_no, ts,
+            CAST(ts AS DATE) AS day, event_id, user_id, event_type, value, event_type <> 'error' AS dated,
+            event_type = 'view' AND value > 150 AS marked,
+            CASE WHEN event_type = 'click' AND value < 20 THEN 'conv_' || greatest(user_id - 4, 0) END AS started
+          FROM events))""",
+    "running": """
+      SELECT *, last_value(started IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no) AS pipeline FROM log""",
     "windows": """
-      SELECT day, coalesce(min(CASE WHEN marked THEN line_no END), min(line_no)) AS start_line,
-        max(line_no) AS end_line FROM log WHERE dated GROUP BY day""",
+      SELECT file, day, coalesce(min(CASE WHEN marked THEN line_no END), min(line_no)) AS start_line,
+        max(line_no) AS end_line FROM log WHERE dated GROUP BY file, day""",
     "verdict": """
-      SELECT w.day, w.start_line, w.end_line, min(e.line_no) AS first_error, count(e.line_no) AS n_errors,
+      SELECT w.file, w.day, w.start_line, w.end_line, min(e.line_no) AS first_error, count(e.line_no) AS n_errors,
         CASE WHEN count(e.line_no) = 0 THEN 'success' ELSE 'failed' END AS status
-      FROM windows w LEFT JOIN (SELECT line_no FROM log WHERE event_type = 'error' AND value > 300) e
-        ON e.line_no BETWEEN w.start_line AND w.end_line
-      GROUP BY w.day, w.start_line, w.end_line""",
+      FROM windows w LEFT JOIN (SELECT file, line_no FROM log WHERE event_type = 'error' AND value > 300) e
+        ON e.file = w.file AND e.line_no BETWEEN w.start_line AND w.end_line
+      GROUP BY w.file, w.day, w.start_line, w.end_line""",
     "metrics": """
-      SELECT day, step, date_trunc('second', min(ts)) AS min_ts, date_trunc('second', max(ts)) AS max_ts,
+      SELECT file, day, step, date_trunc('second', min(ts)) AS min_ts, date_trunc('second', max(ts)) AS max_ts,
+        arg_max(event_type = 'signup', line_no) AS finished, arg_max(event_id, line_no) AS last_id,
+        any_value(user_id) AS user_id
+      FROM log WHERE dated GROUP BY file, day, step""",
+    "pipeline_metrics": """
+      SELECT file, day, pipeline, step, date_trunc('second', min(ts)) AS min_ts, date_trunc('second', max(ts)) AS max_ts,
         arg_max(event_type = 'signup', line_no) AS finished, arg_max(event_id, line_no) AS last_id,
         any_value(user_id) AS user_id
-      FROM log WHERE dated GROUP BY day, step""",
+      FROM running WHERE dated GROUP BY file, day, pipeline, step""",
     "hops": """
       SELECT 'conv_' || conv_id AS file, 'rate_0400' || (conv_id + turn) AS from_table,
         'rate_0400' || (conv_id + turn + 1) AS to_table, "role" <> 'system' AS enabled
@@ -226,6 +239,8 @@ _NEEDS = {
     "windows": ["log"],
     "verdict": ["log", "windows"],
     "metrics": ["log"],
+    "running": ["log"],
+    "pipeline_metrics": ["running"],
     "ends": ["hops"],
 }
 

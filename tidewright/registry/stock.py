@@ -16,6 +16,7 @@ FIRST, LAST = dt.date(2001, 8, 30), dt.date(2001, 9, 1)
 DAY = dt.date(2001, 6, 30)
 BATCH = "B2001"
 GIFT_LABEL = "中心赠送单"
+REGULAR = "O"
 
 
 def _changes(t: Tables):
@@ -34,7 +35,7 @@ def stock_change_center(t: Tables):
     return plain(stock.stock_change_center(t.ledger, t.batches, t.stock))
 
 
-def stock_change_combined(t: Tables):
+def _combined(t: Tables, first: dt.date | None = None, last: dt.date | None = None):
     line = t.read("lineitem")
     orders = line.groupBy(
         F.col("l_orderkey").alias("sale_order_code"), F.col("l_shipdate").alias("create_time")
@@ -45,14 +46,16 @@ def stock_change_combined(t: Tables):
     gift_lines = line.where("l_linenumber = 5").selectExpr(
         "l_orderkey AS sale_order_code", "l_partkey AS product_code", "l_shipdate AS create_time"
     )
-    return plain(
-        stock.stock_change_combined(
-            t.ledger, t.batches, t.stock, t.papers, orders, t.gifts, center_gifts, gift_lines,
-            GIFT_LABEL,
-        )
+    return stock.stock_change_combined(
+        t.ledger, t.batches, t.stock, t.papers, orders, t.gifts, center_gifts, gift_lines,
+        GIFT_LABEL, first, last,
     )
 
 
+def stock_change_combined(t: Tables):
+    return plain(_combined(t))
+
+
 def book_stock_change(t: Tables):
     return plain(stock.book_stock_change(_changes(t), t.products, t.storages))
 
@@ -101,16 +104,28 @@ def emphasis_with_stock(t: Tables):
     return plain(sales.emphasis_with_stock(sold, held))
 
 
+# The first day of the longest trailing window.
+SINCE = DAY - dt.timedelta(days=shortage.WINDOWS[0] - 1)
+
+
 def trailing_sales(t: Tables):
-    return plain(shortage.trailing_sales(_changes(t), DAY))
+    recent = stock.stock_change_erp(t.ledger, t.batches, t.stock, t.papers, SINCE, DAY)
+    return plain(shortage.trailing_sales(recent, DAY))
 
 
-def shortage_wide(t: Tables):
+def _wide(t: Tables, sold):
     bases = shortage.stock_bases(_daily(t, DAY, DAY), t.depots, DAY)
-    sold = shortage.trailing_sales(_changes(t), DAY)
-    return plain(
-        shortage.shortage_wide(sold, bases, t.depots, t.products, t.suppliers, DAY)
-    )
+    return plain(shortage.shortage_wide(sold, bases, t.depots, t.products, t.suppliers, DAY))
+
+
+def shortage_wide(t: Tables):
+    recent = stock.stock_change_erp(t.ledger, t.batches, t.stock, t.papers, SINCE, DAY)
+    return _wide(t, shortage.trailing_sales(recent, DAY))
+
+
+def shortage_regular(t: Tables):
+    """The wide table over sales of the regular type alone."""
+    return _wide(t, shortage.trailing_sales(_combined(t, SINCE, DAY), DAY, REGULAR))
 
 
 def station_circulation(t: Tables):
@@ -197,6 +212,7 @@ QUERIES = {
         stock_change_erp, stock_change_center, stock_change_combined, book_stock_change,
         fine_by_category, stock_backroll, stock_snapshot, latest_stock, supplier_stock,
         supplier_stock_now, emphasis_stock, emphasis_with_stock, trailing_sales, shortage_wide,
+        shortage_regular,
         station_circulation, supplier_in_out, supplier_reconciliation, supplier_sale, wholesale,
         give_aways, ledger_documents, ledger_sales, ledger_union, stock_of_batch,
         stock_old_batches, stock_rebuilt,
@@ -232,6 +248,9 @@ _TRAILING = "\n".join(
 )
 _SALES = f"""SELECT station_code, supplier_code, product_code{_TRAILING} FROM changes
   WHERE date BETWEEN DATE '{DAY - dt.timedelta(days=59)}' AND DATE '{DAY}' AND bill_type = 'SALE' GROUP BY 1, 2, 3"""
+_TYPED = _SALES.replace("FROM changes", f"""FROM changes JOIN (
+    SELECT l_orderkey AS k, l_shipdate AS t, min(l_linestatus) AS sale_type FROM lineitem GROUP BY 1, 2) e
+    ON bill_code = e.k AND create_time = e.t AND sale_type = '{REGULAR}'""")
 _DOCS = f"""
   , h AS (SELECT goods_code, min(cost_price) AS cost FROM batch WHERE batch_no = '{BATCH}' GROUP BY 1),
   x AS (
@@ -289,6 +308,35 @@ _LEDGER_COLUMNS = f"""bill_code, bill_type, bill_purpose, from_location_code, fr
 _FLOW = """CASE category_code_flow WHEN 'BOOKSTORE' THEN CAST(product_price * CAST('0.62' AS DECIMAL(3,2)) AS DECIMAL(18,4))
   WHEN 'LOGISTICS' THEN CAST(cost_price AS DECIMAL(18,4)) END"""
 
+_WIDE = with_views("changes", "daily", "depots", "products", "suppliers", **_ONE_DAY, body=f"""
+        , s AS ({{sales}}),
+        b AS (SELECT station_code, supplier_code, product_code,
+            sum(CASE WHEN category_code = 'BOOKSTORE' AND storage = 'NORMAL' THEN amount END) AS n,
+            sum(CASE WHEN category_code = 'BOOKSTORE' AND storage IN ('NORMAL','ON_STORAGE') THEN amount END) AS ns,
+            sum(CASE WHEN category_code = 'LOGISTICS' AND storage IN ('NORMAL','STORAGE') THEN amount END) AS l
+          FROM daily JOIN depots ON station_code = new_station_code WHERE amount <> 0 GROUP BY 1, 2, 3),
+        u AS (SELECT station_code, supplier_code, product_code, sale_amount_60d AS a, sale_amount_30d AS b, sale_amount_15d AS c,
+            sale_amount_7d AS d, 0 AS n, 0 AS ns FROM s
+          UNION ALL SELECT station_code, supplier_code, product_code, 0, 0, 0, 0, n, ns FROM b WHERE ns IS NOT NULL OR l IS NOT NULL),
+        m AS (SELECT station_code, supplier_code, product_code, coalesce(sum(a), 0) AS a, coalesce(sum(b), 0) AS b,
+            coalesce(sum(c), 0) AS c, coalesce(sum(d), 0) AS d, coalesce(sum(n), 0) AS n, coalesce(sum(ns), 0) AS ns FROM u GROUP BY 1, 2, 3),
+        q AS (SELECT supplier_code, product_code, count(*) AS k FROM s WHERE sale_amount_30d IS NOT NULL GROUP BY 1, 2),
+        e AS (SELECT supplier_code, product_code, logistic_code, count(*) AS k FROM (
+            SELECT supplier_code, product_code, station_code FROM s WHERE sale_amount_30d IS NOT NULL
+            UNION SELECT supplier_code, product_code, station_code FROM b WHERE ns IS NOT NULL)
+          JOIN depots ON station_code = new_station_code GROUP BY 1, 2, 3)
+        SELECT '{DAY}' AS date, m.station_code, m.supplier_code, m.product_code, CAST(m.a AS BIGINT) AS sale_amount_60d,
+          CAST(m.b AS BIGINT) AS sale_amount_30d, CAST(m.c AS BIGINT) AS sale_amount_15d, CAST(m.d AS BIGINT) AS sale_amount_7d,
+          {num('m.n', 'stock_amount_normal')}, {num('m.ns', 'stock_amount_normal_storage')},
+          {num('coalesce(g.l, 0)', 'stock_amount_logis')}, q.k AS sale_station_count, e.k AS exist_station_count,
+          new_station_name AS station_name, station_region_name, logistics_name, category_name AS station_type,
+          product_name, product_isbn, {num('product_price', 'product_price')}, category_two_name, f.supplier_name
+        FROM m JOIN depots c ON m.station_code = c.new_station_code
+        LEFT JOIN b g ON g.l IS NOT NULL AND c.logistic_code = g.station_code AND m.supplier_code = g.supplier_code AND m.product_code = g.product_code
+        LEFT JOIN q ON m.supplier_code = q.supplier_code AND m.product_code = q.product_code
+        LEFT JOIN e ON m.supplier_code = e.supplier_code AND m.product_code = e.product_code AND c.logistic_code = e.logistic_code
+        JOIN products p ON m.product_code = p.product_code LEFT JOIN suppliers f ON m.supplier_code = f.supplier_code""")
+
 SQL = {
     "stock_change_erp": with_views("changes", body=f"""
         SELECT {_CHANGE}, {_TIME} AS create_time, {_TIME} AS stock_date, bill_code, 'ERP' AS origin_system FROM changes"""),
@@ -373,34 +421,8 @@ SQL = {
           product_code, product_name, {num('local_amount', 'local_stock_amount')},
           {num('moving_amount', 'on_storage_stock_amount')} FROM ({_EMPHASIS_STOCK}) s"""),
     "trailing_sales": with_views("changes", body=_SALES),
-    "shortage_wide": with_views("changes", "daily", "depots", "products", "suppliers", **_ONE_DAY, body=f"""
-        , s AS ({_SALES}),
-        b AS (SELECT station_code, supplier_code, product_code,
-            sum(CASE WHEN category_code = 'BOOKSTORE' AND storage = 'NORMAL' THEN amount END) AS n,
-            sum(CASE WHEN category_code = 'BOOKSTORE' AND storage IN ('NORMAL','ON_STORAGE') THEN amount END) AS ns,
-            sum(CASE WHEN category_code = 'LOGISTICS' AND storage IN ('NORMAL','STORAGE') THEN amount END) AS l
-          FROM daily JOIN depots ON station_code = new_station_code WHERE amount <> 0 GROUP BY 1, 2, 3),
-        u AS (SELECT station_code, supplier_code, product_code, sale_amount_60d AS a, sale_amount_30d AS b, sale_amount_15d AS c,
-            sale_amount_7d AS d, 0 AS n, 0 AS ns FROM s
-          UNION ALL SELECT station_code, supplier_code, product_code, 0, 0, 0, 0, n, ns FROM b WHERE ns IS NOT NULL OR l IS NOT NULL),
-        m AS (SELECT station_code, supplier_code, product_code, coalesce(sum(a), 0) AS a, coalesce(sum(b), 0) AS b,
-            coalesce(sum(c), 0) AS c, coalesce(sum(d), 0) AS d, coalesce(sum(n), 0) AS n, coalesce(sum(ns), 0) AS ns FROM u GROUP BY 1, 2, 3),
-        q AS (SELECT supplier_code, product_code, count(*) AS k FROM s WHERE sale_amount_30d IS NOT NULL GROUP BY 1, 2),
-        e AS (SELECT supplier_code, product_code, logistic_code, count(*) AS k FROM (
-            SELECT supplier_code, product_code, station_code FROM s WHERE sale_amount_30d IS NOT NULL
-            UNION SELECT supplier_code, product_code, station_code FROM b WHERE ns IS NOT NULL)
-          JOIN depots ON station_code = new_station_code GROUP BY 1, 2, 3)
-        SELECT '{DAY}' AS date, m.station_code, m.supplier_code, m.product_code, CAST(m.a AS BIGINT) AS sale_amount_60d,
-          CAST(m.b AS BIGINT) AS sale_amount_30d, CAST(m.c AS BIGINT) AS sale_amount_15d, CAST(m.d AS BIGINT) AS sale_amount_7d,
-          {num('m.n', 'stock_amount_normal')}, {num('m.ns', 'stock_amount_normal_storage')},
-          {num('coalesce(g.l, 0)', 'stock_amount_logis')}, q.k AS sale_station_count, e.k AS exist_station_count,
-          new_station_name AS station_name, station_region_name, logistics_name, category_name AS station_type,
-          product_name, product_isbn, {num('product_price', 'product_price')}, category_two_name, f.supplier_name
-        FROM m JOIN depots c ON m.station_code = c.new_station_code
-        LEFT JOIN b g ON g.l IS NOT NULL AND c.logistic_code = g.station_code AND m.supplier_code = g.supplier_code AND m.product_code = g.product_code
-        LEFT JOIN q ON m.supplier_code = q.supplier_code AND m.product_code = q.product_code
-        LEFT JOIN e ON m.supplier_code = e.supplier_code AND m.product_code = e.product_code AND c.logistic_code = e.logistic_code
-        JOIN products p ON m.product_code = p.product_code LEFT JOIN suppliers f ON m.supplier_code = f.supplier_code"""),
+    "shortage_wide": _WIDE.replace("{sales}", _SALES),
+    "shortage_regular": _WIDE.replace("{sales}", _TYPED),
     "station_circulation": with_views("ledger", "batch", "products", body=f"""
         SELECT {day('a.create_time', 'create_time')}, bill_code, CASE bill_type WHEN 'DELIVERY' THEN '配送' ELSE '调剂' END AS bill_type_name,
           location_code AS from_location_code, location_name AS from_location_name, location_type AS from_station_type_name,
