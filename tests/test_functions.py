@@ -129,3 +129,32 @@ def test_sql_names(spark):
     assert tuple(row) == (
         dt.datetime(2020, 1, 2, 3, 4, 5), "2020/01/02", True, 65, 15, "b.ktr", 4, 0,
     )
+
+
+def test_sql_names_say_what_the_column_builders_say(spark):
+    """Both forms of every function on the same lines, odd ones included."""
+    stamps = ["2020/01/02 03:04:05", " 2020/01/02 03:04:05 ", "2020/13/02 03:04:05", "2020/1/2 3:4:5", "", None, "x y"]
+    finish = "{} (I=1, O=22, R=3 , W=4,U=5, E=600)"
+    details = [*(finish.format(w) for w in texts.FINISH_WORDS), finish.format("Done"), "Finished processing (I=1)", "", None,
+               "Finished processing (I=1, O=2, R=3, W=4, U=5, E=99999999999999999999)"]
+    paths = ["${x}/b.ktr", "b.ktr", "a/b/c", "/", "a/", " a/b ", None]
+    numbers = ["5", " 7", "x", "", None, "-3"]
+    rows = [
+        (stamps[i % len(stamps)], stamps[i // 7 % len(stamps)], details[i % len(details)], paths[i % len(paths)],
+         numbers[i % len(numbers)], numbers[i // 6 % len(numbers)])
+        for i in range(420)
+    ]
+    table = spark.createDataFrame(rows, "a string, b string, detail string, path string, x string, y string")
+    sqlnames.register(spark)
+    pairs = {
+        "log_ts(a)": dates.parse_ts(F.col("a")),
+        "log_day(a)": dates.day_text(F.col("a")),
+        "log_seconds(a, b)": dates.duration_seconds(dates.wall_time(F.trim("b")), dates.wall_time(F.trim("a"))),
+        "number_text_diff(x, y)": texts.number_text_diff(F.col("x"), F.col("y")),
+        "child_file(path)": texts.child_file(F.col("path")),
+    }
+    pairs |= {f"log_counter(detail, '{n}')": c for n, c in texts.counters(F.col("detail")).items()}
+    both = table.select(*[F.struct(F.expr(text).alias("sql"), column.alias("built")) for text, column in pairs.items()])
+    for row in both.collect():
+        for name, value in zip(pairs, row, strict=True):
+            assert value["sql"] == value["built"], name

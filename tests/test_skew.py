@@ -39,7 +39,10 @@ def folder(tmp_path_factory):
         "sale_monitor", "emphasis_sale", "card_recharge_consume", "card_denomination",
         "stock_change_erp", "stock_backroll", "trailing_sales", "station_circulation",
         "give_aways", "ledger_documents", "stock_rebuilt", "latest_price", "unified_details",
-        "log_step_metrics", "product_wide",
+        "log_step_metrics", "product_wide", "fine_by_category", "stock_change_combined",
+        "supplier_in_out", "supplier_reconciliation", "wholesale", "ledger_sales",
+        "trailing_sales_all_days", "stock_from_snapshot", "stock_change_bucketed", "exist_station_count",
+        "log_resumed", "lineage_metrics_join",
     ],
 )
 def test_hot_key(spark, folder, name):

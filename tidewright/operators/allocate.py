@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import split_join
-
 SHARE_TYPE = "decimal(19,12)"
 AMOUNT_TYPE = "decimal(18,4)"
 
@@ -21,13 +19,13 @@ def ratio(part: Column, whole: Column) -> Column:
 def shares(parts: DataFrame, order_key: str, weight: str) -> DataFrame:
     """Add ``share`` of each part in its order's total weight; a zero total gives null.
 
-    Totals are an aggregate joined back on the order, not a window: a window would put every
-    part of a busy order into one task, while the aggregate combines before it shuffles and the
-    join can be split.
+    ``parts`` is an aggregate with one row per order and category, so an order has no more rows
+    than there are categories and no order is hot, however many lines it has.  Totals are an
+    aggregate of it joined back; both sides come from the same shuffle of the parts.
     """
     totals = parts.groupBy(order_key).agg(F.sum(weight).alias("_total"))
     return (
-        split_join(parts, totals, [order_key])
+        parts.join(totals, order_key)
         .withColumn("share", ratio(F.col(weight), F.col("_total")).cast(SHARE_TYPE))
         .drop("_total")
     )
@@ -42,9 +40,13 @@ def spread(
     alias: str,
     how: str = "inner",
 ) -> DataFrame:
-    """Sum ``amount * share`` over the orders, at the grain ``keys``."""
+    """Sum ``amount * share`` over the orders, at the grain ``keys``.
+
+    Both sides are aggregates per order: an order meets as its payment methods, activities or the
+    like times its categories, which do not grow with its lines.
+    """
     return (
-        split_join(amounts, parts, [order_key], how)
+        amounts.join(parts, order_key, how)
         .groupBy(*keys)
         .agg(F.sum(F.col(amount).cast(AMOUNT_TYPE) * F.col("share")).alias(alias))
     )

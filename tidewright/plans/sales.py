@@ -116,9 +116,12 @@ def sale_by_category_and_order(
 
 def fine_by_category(
     changes: DataFrame, products: DataFrame, stations: DataFrame, orders: DataFrame,
-    first: Day = None, last: Day = None,
+    first: Day = None, last: Day = None, keys_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Retail documents of bookstores per bill and category in four valuations."""
+    """Retail documents of bookstores per bill and category in four valuations.
+
+    ``keys_of`` (product_code) is the scan behind ``changes``, to count hot products on.
+    """
     keys = ["date", "bill_code", "station_code"]
     amount = F.col("in_out_flag") * F.col("amount")
     shops = stations.where(F.col("category_code") == "BOOKSTORE").select(
@@ -126,7 +129,7 @@ def fine_by_category(
     )
     sold = changes.where((F.col("bill_type") == "SALE") & _days("date", first, last))
     sums = (
-        split_join(sold, products.drop("supplier_code"), ["product_code"])
+        split_join(sold, products.drop("supplier_code"), ["product_code"], keys_of=keys_of)
         .groupBy(*keys, "fina_category_name", *CATEGORIES)
         .agg(
             F.sum(-amount * F.col("price")).alias("sale_total_price"),
@@ -158,10 +161,12 @@ def _days(column: str, first: Day, last: Day) -> Column:
     return keep
 
 
-def _category_shares(details: DataFrame, products: DataFrame, *categories: str) -> DataFrame:
-    """Part of each category in the real money of its order."""
+def _category_shares(
+    lines: DataFrame, products: DataFrame, details: DataFrame, *categories: str
+) -> DataFrame:
+    """Part of each category in the real money of its order; hot products are counted on ``details``."""
     money = (
-        split_join(details, products, ["product_code"])
+        split_join(lines, products, ["product_code"], keys_of=details)
         .groupBy("sale_order_code", *categories)
         .agg(F.sum(F.col("sale_real_price") * F.col("sale_amount")).alias("_money"))
     )
@@ -183,7 +188,7 @@ def pay_by_category(
         .agg(F.sum(F.col("actual_money") * F.col("in_out_flag")).alias("_paid"))
     )
     bought = _only(details, wanted, first, last)
-    parts = _category_shares(bought, products, "fina_category_name", *CATEGORIES)
+    parts = _category_shares(bought, products, details, "fina_category_name", *CATEGORIES)
     keys = [
         "create_date", "sale_type_name", "fina_category_name", *CATEGORIES, "station_code",
         "pay_method_name",
@@ -279,7 +284,7 @@ def marketing_activities(
     )
     taken = split_join(tagged, taken, ["sale_order_code"])
     bought = _only(details, wanted, first, last)
-    parts = _category_shares(bought, products, "category_two_name")
+    parts = _category_shares(bought, products, details, "category_two_name")
     picked = spread(taken, parts, "sale_order_code", "_taken", keys, "take_price")
     both = sold.unionByName(picked, allowMissingColumns=True)
     measures = ["sale_amount", "total_price", "real_price", "take_price"]

@@ -310,9 +310,12 @@ def wholesale(
 
 def give_aways(
     changes: DataFrame, stations: DataFrame, products: DataFrame, gifts: DataFrame,
-    first: Day = None, last: Day = None,
+    first: Day = None, last: Day = None, keys_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Give-aways per day, reason, direction, station and finance class in four valuations."""
+    """Give-aways per day, reason, direction, station and finance class in four valuations.
+
+    ``keys_of`` (offset_bill_code) is the scan behind ``changes``, to count hot documents on.
+    """
     keep = F.col("bill_type") == "PRESENT"
     if first is not None:
         keep = keep & (F.col("date") >= F.lit(first))
@@ -322,7 +325,7 @@ def give_aways(
     amount = F.col("amount") * flag * flag
     reasons = gift_reasons(gifts).withColumnRenamed("code", "offset_bill_code")
     sums = (
-        split_join(changes.where(keep), reasons, ["offset_bill_code"], "left")
+        split_join(changes.where(keep), reasons, ["offset_bill_code"], "left", keys_of=keys_of)
         .groupBy(
             "date",
             F.coalesce("present_reason", F.lit(OTHER_GIFT)).alias("discount_reasons"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from .sqlbase import with_views
 
 TODAY = dt.date(2024, 1, 31)
 ANALYSED = dt.datetime(2024, 2, 3, 4, 5, 6)
+FLOWS = 16
 
 
 def _events(t: Tables):
@@ -165,44 +167,43 @@ def lineage_terminal_hops(t: Tables):
 
 
 def lineage_from_files(t: Tables):
-    """Write conversations as pipeline definitions, nest their jobs, and read the lineage.
+    """Write all conversations as hops of pipeline definitions, nest their jobs, and read the lineage.
 
-    Job c runs its transformation, a sentinel and job c + 1; each fifth job starts its chain
-    again instead.  The entry job starts every second chain.
+    There are FLOWS transformations, each with the hops of every FLOWS-th conversation.  Job k runs
+    transformation k, a sentinel and job k + 1, and the last job the first again.  The entry job
+    starts the first job and a sentinel; further definitions are reached by nothing.
     """
     folder = fresh_folder(t.spark, "definitions")
-    turns = t.read("conversations")
-    hop = "concat('<hop><from>rate_0400', conv_id + turn, '</from><to>rate_0400', conv_id + turn + 1,"
-    hop += " '</to><enabled>', if(role <> 'system', 'Y', 'N'), '</enabled></hop>')"
-    flows = turns.groupBy("conv_id").agg(F.array_join(F.sort_array(F.collect_list(F.expr(hop))), "").alias("hops"))
+    turn = "concat('c', conv_id, '_', {})"
+    hop = f"concat('<hop><from>', {turn.format('turn')}, '</from><to>', {turn.format('turn + 1')}, '</to><enabled>',"
+    hop += " if(role <> 'system', 'Y', 'N'), '</enabled></hop>')"
+    flows = t.read("conversations").groupBy((F.col("conv_id") % FLOWS).alias("k")).agg(
+        F.array_join(F.sort_array(F.collect_list(F.expr(hop))), "").alias("hops")
+    )
     entry = "<entry><name>{}</name><filename>${{dir}}/{}</filename></entry>"
-    jobs = flows.selectExpr("conv_id", "if(conv_id % 5 = 4, conv_id - 4, conv_id + 1) AS child")
-    one = "<job><name>j</name><entries><entry><name>START</name></entry>"
+    one, end = "<job><name>j</name><entries><entry><name>START</name></entry>", "</entries></job>"
+    sentinel = entry.format("end_job_all_succeed", "job_all_succeed.ktr")
+    steps = entry.format("load {k}", "flow_{k}.ktr") + sentinel + entry.format("next", "job_{n}.kjb")
+    jobs = t.spark.range(FLOWS).selectExpr(
+        "concat('job_', id, '.kjb') AS name",
+        f"replace(replace('{one}{steps}{end}', '{{k}}', id), '{{n}}', (id + 1) % {FLOWS}) AS value",
+    )
+    transformation = "concat('<transformation><order>', hops, '</order></transformation>') AS value"
     definitions = [
-        flows.selectExpr(
-            "concat('conv_', conv_id, '.ktr') AS name",
-            "concat('<transformation><order>', hops, '</order></transformation>') AS value",
-        ),
-        jobs.selectExpr(
-            "concat('job_', conv_id, '.kjb') AS name",
-            f"concat('{one}', '<entry><name>load ', conv_id, '</name><filename>${{dir}}/conv_', conv_id, '.ktr</filename></entry>',"
-            f" '{entry.format('end_job_all_succeed', 'job_all_succeed.ktr')}',"
-            " '<entry><name>next</name><filename>${dir}/job_', child, '.kjb</filename></entry></entries></job>') AS value",
-        ),
-        flows.where("conv_id % 10 = 0").groupBy().agg(
-            F.array_join(F.collect_list(F.expr(
-                "concat('<entry><name>go</name><filename>${dir}/job_', conv_id, '.kjb</filename></entry>')"
-            )), "").alias("starts")
-        ).selectExpr("'main.kjb' AS name", f"concat('{one}', starts, '</entries></job>') AS value"),
-    ]
-    rows = definitions[0].unionByName(definitions[1]).unionByName(definitions[2])
+        flows.selectExpr("concat('flow_', k, '.ktr') AS name", transformation),
+        flows.where("k < 2").selectExpr("concat('lost_', k, '.ktr') AS name", transformation),
+        jobs,
+        jobs.where("name = 'job_0.kjb'").selectExpr("'lost.kjb' AS name", "replace(value, 'flow_', 'lost_') AS value"),
+        t.spark.range(1).selectExpr("'main.kjb' AS name", f"'{one}{entry.format('go', 'job_0.kjb')}{sentinel}{end}' AS value"),
+    ]
+    rows = functools.reduce(lambda a, b: a.unionByName(b), definitions)
     rows.repartition("name").write.partitionBy("name").text(f"{folder}/written")
     _rename_to_partition(t.spark, f"{folder}/written", folder)
     return lineage(t.spark, folder, "main.kjb")
 
 
 def _rename_to_partition(spark, written: str, folder: str) -> None:
-    """Give each single file of a partition the partition's value as its name."""
+    """Give each single file of a partition, of which there are a fixed number, the partition's value as its name."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(written).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     for found in files.globStatus(path(f"{written}/name=*/part-*")):
@@ -218,12 +219,8 @@ def lineage_metrics_join(t: Tables):
     return plain(dayruns.join_lineage(metrics, terminal, "pipeline"))
 
 
-def log_resumed(t: Tables):
-    """Take in daily rolled logs twice: first up to the noon of a day, then what has come since.
-
-    The second run finds files that have grown and files that are new; every event keeps the run
-    that took it in and the pipeline that was running, which may have started in the first run.
-    """
+def _resumed(t: Tables) -> LogStore:
+    """Take in daily rolled logs twice: first up to the noon of a day, then what has come since."""
     lines = t.log_lines.join(t.read("events").selectExpr("event_id + 1 AS line_no", "ts"), "line_no").select(
         F.concat("file", F.lit("."), F.to_date("ts")).alias("log"), "line_no", "value", F.to_date("ts").alias("day"),
         (F.hour("ts") < 12).alias("early"),
@@ -244,11 +241,31 @@ def log_resumed(t: Tables):
     write(lines.where(F.col("day") == middle), f"{folder}/grown")
     _replace_single_files(t.spark, f"{folder}/grown", f"{folder}/logs")
     store.take(f"{folder}/logs/log=*")
-    return store.events.select(
-        F.regexp_extract("file", "log=([^/]*)", 1).alias("log"), "line_no", "run", "raw", "pipeline"
+    return store
+
+
+_ROLLED = "log=([^/]*)"
+
+
+def log_resumed(t: Tables):
+    """Events of both runs.
+
+    The second run finds files that have grown and files that are new; every event keeps the run
+    that took it in and the pipeline that was running, which may have started in the first run.
+    """
+    return _resumed(t).events.select(
+        F.regexp_extract("file", _ROLLED, 1).alias("log"), "line_no", "run", "raw", "pipeline"
     )
 
 
+def log_daily_metrics(t: Tables):
+    """The metrics of good days from the store alone: the logs themselves are not read again."""
+    done = t.read("events").agg(F.date_sub(F.to_date(F.min("ts")), 1).alias("date"))
+    terminal = _lineage(t).withColumnRenamed("file", "pipeline")
+    got = analyse(_resumed(t).events, terminal, done, TODAY, MARKER, written=True, attributed=True)
+    return plain(got.run_metrics.withColumn("file", F.regexp_extract("file", _ROLLED, 1)))
+
+
 def _replace_single_files(spark, grown: str, logs: str) -> None:
     """Put the one file of each partition in the place of the file of the same partition."""
     path = spark._jvm.org.apache.hadoop.fs.Path
@@ -278,7 +295,7 @@ QUERIES = {
         log_parse, log_text_numbering, log_errors, log_day_window, log_verdict, log_error_tail,
         log_step_metrics, log_archive, log_day_inventory, log_pending_days,
         log_newest_pending_days, log_sql_functions, log_days_to_analyse,
-        log_run_status, log_run_metrics, log_run_archive, log_resumed, lineage_terminal_hops, lineage_metrics_join,
+        log_run_status, log_run_metrics, log_run_archive, log_resumed, log_daily_metrics, lineage_terminal_hops, lineage_metrics_join,
         lineage_closure, lineage_from_files,
     )
 }
@@ -353,6 +370,15 @@ SQL = {
         SELECT strftime(d, '%Y-%m-%d') AS date FROM
           (SELECT unnest(range(max(CAST(ts AS DATE)) - INTERVAL 2 DAY, TIMESTAMP '2024-02-01', INTERVAL 1 DAY)) AS d
            FROM events WHERE value > 300)""",
+    "log_daily_metrics": with_views("log", "verdict", "ends", body="""
+        , r AS (SELECT *, last_value(started IGNORE NULLS) OVER (PARTITION BY file, day ORDER BY line_no) AS pipeline FROM log),
+        p AS (SELECT file, day, pipeline, step, date_trunc('second', min(ts)) AS min_ts, date_trunc('second', max(ts)) AS max_ts,
+            arg_max(event_type = 'signup', line_no) AS finished, arg_max(event_id, line_no) AS last_id,
+            any_value(user_id) AS user_id FROM r WHERE dated GROUP BY file, day, pipeline, step)
+        SELECT m.pipeline, h.to_table, h.enabled, """
+        + _METRICS.replace("{step}", "from_table").replace("m.file,", "m.file || '.' || strftime(m.day, '%Y-%m-%d') AS file,")
+        + " FROM p m JOIN verdict v ON v.file = m.file AND v.day = m.day AND v.status = 'success'"
+        " JOIN ends h ON h.file = m.pipeline AND h.from_table = m.step"),
     "log_run_status": with_views("verdict", body="""
         , v AS (SELECT day, max(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS failed,
             min(CASE WHEN first_error IS NOT NULL THEN {'file': file, 'line': first_error} END) AS at FROM verdict GROUP BY day)
@@ -370,9 +396,11 @@ SQL = {
         + " FROM pipeline_metrics m JOIN verdict v ON v.file = m.file AND v.day = m.day AND v.status = 'success'"
         " JOIN ends h ON h.file = m.pipeline AND h.from_table = m.step"),
     "lineage_terminal_hops": with_views("ends", body="SELECT file, from_table, to_table, enabled FROM ends"),
-    "lineage_from_files": with_views("ends", body="""
-        SELECT 'load ' || substr(file, 6) AS job_name, file || '.ktr' AS file, from_table, to_table, enabled
-        FROM ends WHERE CAST(substr(file, 6) AS BIGINT) % 10 < 5"""),
+    "lineage_from_files": f"""
+        SELECT 'load ' || conv_id % {FLOWS} AS job_name, 'flow_' || conv_id % {FLOWS} || '.ktr' AS file,
+          'c' || conv_id || '_' || max(turn) AS from_table, 'c' || conv_id || '_' || (max(turn) + 1) AS to_table,
+          arg_max("role", turn) <> 'system' AS enabled
+        FROM conversations GROUP BY conv_id""",
     "lineage_metrics_join": with_views("pipeline_metrics", "ends", body="SELECT m.pipeline, h.to_table, h.enabled, "
         + _METRICS.replace("{step}", "from_table")
         + " FROM pipeline_metrics m JOIN ends h ON h.file = m.pipeline AND h.from_table = m.step"),

@@ -61,7 +61,8 @@ def book_stock_change(t: Tables):
 
 
 def fine_by_category(t: Tables):
-    return plain(sales.fine_by_category(_changes(t), t.products, t.depots, t.orders))
+    scanned = t.ledger.select(F.col("goods_code").alias("product_code"))
+    return plain(sales.fine_by_category(_changes(t), t.products, t.depots, t.orders, keys_of=scanned))
 
 
 def stock_backroll(t: Tables):
@@ -149,7 +150,8 @@ def wholesale(t: Tables):
 
 
 def give_aways(t: Tables):
-    return plain(suppliers.give_aways(_changes(t), t.depots, t.products, t.gifts))
+    scanned = t.ledger.select(F.col("bill_code").alias("offset_bill_code"))
+    return plain(suppliers.give_aways(_changes(t), t.depots, t.products, t.gifts, keys_of=scanned))
 
 
 def _documents(t: Tables):

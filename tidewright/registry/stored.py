@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..durable import fresh_folder, materialise
 from ..operators import dayruns
 from ..operators.bitmaps import daily_bitmaps, distinct_over
-from ..operators.lineage import reachable_by_doubling
+from ..operators.lineage import reachable_by_doubling, terminal_hops
 from ..operators.loglines import drop_blank, parse_events
 from ..plans import sales, shortage, stock, stockdays
 from ..sources.bucketed import buckets_for, store_bucketed
@@ -18,6 +18,7 @@ from ..sources.daytable import DayTable
 from ..sources.footers import newer_than_stored
 from ..sources.merge import merge_days
 from ..sources.staged import Refused, StagedTable
+from ..sources.tables import full_refresh
 from .bindings import Tables
 from .common import plain
 from .sqlbase import day, num, with_views
@@ -143,6 +144,14 @@ def audited_load(t: Tables):
     return table.audits().drop("at").crossJoin(F.broadcast(published))
 
 
+def lineage_refresh(t: Tables):
+    """The lineage table, loaded whole twice; the second load leaves nothing of the first."""
+    folder = f"{fresh_folder(t.spark, 'lineage')}/lineage"
+    full_refresh(t.hops, folder)
+    full_refresh(terminal_hops(t.hops), folder)
+    return t.spark.read.parquet(folder)
+
+
 def lineage_chain(t: Tables):
     """Events as chains of steps with a way back in each, and all steps reached from the first."""
     step = t.read("events").select(F.col("event_id").alias("parent"))
@@ -172,7 +181,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         trailing_sales_all_days, stock_backroll_month, stock_from_snapshot, stock_change_bucketed,
-        archive_of_pending_days, hwm_from_footers, emphasis_merge, audited_load, lineage_chain,
+        archive_of_pending_days, hwm_from_footers, emphasis_merge, audited_load, lineage_refresh, lineage_chain,
         exist_station_count,
     )
 }
@@ -228,6 +237,7 @@ SQL = {
             (1, "l_quantity > 10", "true", "true"),
             (2, "l_quantity > 45", "false", "true"),
         )) + ") SELECT *, (SELECT rows_written FROM a WHERE version = 1) AS rows_in_table FROM a",
+    "lineage_refresh": with_views("ends", body="SELECT file, from_table, to_table, enabled FROM ends"),
     "lineage_chain": f"""
         SELECT event_id AS node, CAST(event_id % {CHAIN} AS INTEGER) AS depth FROM events""",
     "exist_station_count": with_views("changes", body="""

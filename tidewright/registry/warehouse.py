@@ -111,7 +111,8 @@ def month_to_date_of_day(t: Tables):
 
 def passenger_flow(t: Tables):
     events = t.read("events")
-    old, new = events.where("event_type = 'view'"), events.where("event_type = 'signup'")
+    newer = "event_type IN ('signup', 'error')"
+    old, new = events.where(f"NOT {newer}"), events.where(newer)
     nation = t.read("customer")
     return plain(
         consumption.passenger_flow(
@@ -488,10 +489,10 @@ SQL = {
         FROM u WHERE d BETWEEN DATE '2000-03-01' AND DATE '2000-03-20' GROUP BY s, c""",
     "passenger_flow": f"""
         SELECT {day('ts', 'create_time')}, user_id AS station_code, CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) AS passenger_flow
-        FROM events JOIN customer ON c_custkey = user_id WHERE event_type = 'view' AND value > 1
+        FROM events JOIN customer ON c_custkey = user_id WHERE event_type NOT IN ('signup', 'error') AND value > 1
         UNION ALL
         SELECT {day('ts', 'create_time')}, user_id, CASE WHEN value > 20 THEN CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) END
-        FROM events WHERE event_type = 'signup' AND value > 5""",
+        FROM events WHERE event_type IN ('signup', 'error') AND value > 5""",
     "product_wide": f"""
         WITH w AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 5 = 0 THEN 'Anon'
           ELSE s_name END AS author_name FROM supplier),

@@ -25,7 +25,7 @@ _READ_AHEAD = 1 << 20
 
 
 @dataclass
-class Block(InputPartition):
+class Block:
     """Bytes ``start`` to ``end`` of a file; the lines that begin there belong to it."""
 
     file: str
@@ -34,14 +34,31 @@ class Block(InputPartition):
     first: int  # where the file's new bytes begin: a line starts there
 
 
+@dataclass
+class _Task(InputPartition):
+    blocks: list[Block]
+
+
 class _BlockReader(DataSourceReader):
-    def __init__(self, blocks: list[Block], batch_bytes: int) -> None:
-        self.blocks, self.batch_bytes = blocks, batch_bytes
+    def __init__(self, blocks: list[Block], task_bytes: int, batch_bytes: int) -> None:
+        self.blocks, self.task_bytes, self.batch_bytes = blocks, task_bytes, batch_bytes
 
     def partitions(self) -> Sequence[InputPartition]:
-        return self.blocks
-
-    def read(self, block: Block) -> Iterator:
+        """Small blocks share a task."""
+        tasks, size = [_Task([])], 0
+        for block in self.blocks:
+            if size + block.end - block.start > self.task_bytes and tasks[-1].blocks:
+                tasks.append(_Task([]))
+                size = 0
+            tasks[-1].blocks.append(block)
+            size += block.end - block.start
+        return tasks
+
+    def read(self, task: _Task) -> Iterator:
+        for block in task.blocks:
+            yield from self._lines(block)
+
+    def _lines(self, block: Block) -> Iterator:
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -94,7 +111,7 @@ class _Blocks(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         blocks = [Block(*b) for b in json.loads(self.options["blocks"])]
-        return _BlockReader(blocks, int(self.options["batch_bytes"]))
+        return _BlockReader(blocks, int(self.options["task_bytes"]), int(self.options["batch_bytes"]))
 
 
 def _sizes(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, int]:
@@ -181,7 +198,7 @@ class LogIndex:
         self.spark.dataSource.register(_Blocks)
         read = (
             self.spark.read.format(_Blocks.name()).option("blocks", json.dumps(blocks))
-            .option("batch_bytes", str(batch_bytes)).load()
+            .option("task_bytes", str(block_bytes)).option("batch_bytes", str(batch_bytes)).load()
             if blocks
             else self.spark.createDataFrame([], _LINES)
         )
