@@ -152,6 +152,53 @@ def test_token_files_have_the_chosen_layout(spark, docs_of, odd_rows, tmp_path):
     assert columns["doc_id"].has_column_index and columns["doc_id"].has_offset_index
 
 
+def scanned_rows(df) -> list[int]:
+    """Rows that each Parquet scan of an executed plan gave."""
+    df.collect()
+    left, found = [df._jdf.queryExecution().executedPlan()], []
+    while left:
+        node = left.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            left.append(node.executedPlan())
+        elif "QueryStage" in name:
+            left.append(node.plan())
+        elif name.startswith("Scan parquet"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_chosen_documents_are_read_by_page(spark, docs_of, word_library, tmp_path):
+    folder, rows = str(tmp_path / "ids"), [(i, f"word{i} and {i % 7}") for i in range(6000)]
+    tokenfiles.write_token_files(docs_of(rows), folder, WORD, end_id=1, by_words=True, page_rows=100)
+    every = {r.doc_id: (r.start, r.ids) for r in tokenfiles.read_token_files(spark, folder).collect()}
+    chosen = tokenfiles.read_token_files(spark, folder, [17, 4321, 99999])
+    assert {r.doc_id: (r.start, r.ids) for r in chosen.collect()} == {i: every[i] for i in (17, 4321)}
+    assert min(scanned_rows(chosen)) <= 400  # of the scan of ids; the one of the counts reads all
+
+
+def test_token_files_of_null_and_equal_ids_and_clashing_columns(spark, docs_of, word_library, tmp_path):
+    folder, rows = str(tmp_path / "ids"), [(None, "b c"), (3, "x"), (3, "x"), (3, None), (None, "a"), (1, "y")]
+    docs = docs_of(rows).selectExpr("*", "1 as part", "2 as ids", "3 as local_start", "4 as n_tokens", "5 as _before")
+    tokenfiles.write_token_files(docs, folder, WORD, end_id=1, by_words=True)
+    got = tokenfiles.with_checksums(tokenfiles.read_token_files(spark, folder)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, 1, 3, 3, 3]
+    ends = [0, *np.cumsum([r.n_tokens for r in got]).tolist()]
+    assert [r.start for r in got] == ends[:-1] and all(r.n_tokens == len(r.ids) for r in got)
+    texts = sorted((r.doc_id or 0, r.ids) for r in got)
+    assert texts == sorted((i or 0, [*word_library.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in rows)
+
+
+def test_counts_of_clashing_columns_and_round_trips_of_odd_ids(docs_of, odd_rows, word_library, byte_library, tmp_path):
+    docs = docs_of([*odd_rows, odd_rows[3], (None, "x"), (None, None)]).selectExpr("*", "1 as digest", "2 as version", "3 as n_tokens", "4 as _id")
+    got = tokencounts.token_counts(docs, WORD, str(tmp_path / "cache"), by_words=True).collect()
+    assert len(got) == len(odd_rows) + 3
+    assert sorted(r.n_tokens for r in got if r.doc_id is None) == [0, len(word_library.encode("x", add_special_tokens=False).ids)]
+    trips = bpe.round_trip(docs, BYTE).collect()
+    assert len(trips) == len(odd_rows) + 3 and sorted(r.n_tokens for r in trips if r.doc_id is None) == [0, 1]
+
+
 def test_round_trip(docs_of, odd_rows, byte_library):
     docs = docs_of(odd_rows).withColumnRenamed("lang", "ids").withColumnRenamed("n_chars", "decoded")
     got = {r.doc_id: r for r in bpe.round_trip(docs, BYTE).collect()}

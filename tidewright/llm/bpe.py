@@ -5,7 +5,8 @@ its own bytes and no merge could cross the border of two neighbours before it is
 right edge of a token is a chain of pieces, each alive until a merge of known rank absorbs it; so
 is the left edge of the next token.  A border is safe unless some merge of a right-edge piece with
 a left-edge piece ranks before both are absorbed.  That is looked up for all borders of a batch at
-once.  Words with an unsafe border are merged exactly, lowest rank first, leftmost among equals.
+once.  Words with an unsafe border are merged exactly, lowest rank first, leftmost among equals, many
+at a time.
 """
 
 from __future__ import annotations
@@ -18,21 +19,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from .merging import OTHER, Pairs, buffers, byte_letters, kinds_of, piece_starts
 from .support import small_batches, text_of
-from .tokens import MEMO_BYTES, Memo, resident, utf8
+from .tokens import MEMO_BYTES, Memo, release, resident, spans, utf8
 
 _NEVER = np.int64(1) << 40
-
-
-def byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in vocabularies of this kind."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+_ROWS = 4096
+#: Bytes of the longest word that is a row among others.
+SHORT = 64
 
 
 class Merges:
@@ -55,6 +54,10 @@ class Merges:
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], np.arange(len(keys), dtype=np.int64)[order]
 
+        pairs = np.array(list(self.rank), dtype=np.int64).reshape(-1, 2)
+        self.pairs = Pairs(pairs[:, 0], pairs[:, 1], np.array([t for _, t in self.rank.values()], dtype=np.int32))
+        self.of_byte = np.array([self.ids[c] for _, c in sorted(byte_letters().items())], dtype=np.int32)
+
         left, right, made = [-1] * size, [-1] * size, [0] * size
         for (a, b), (r, t) in self.rank.items():
             if left[t] < 0:
@@ -65,7 +68,6 @@ class Merges:
         # A token stands for its own bytes if its halves do and nothing crosses their border first.
         self.sound = np.zeros(size, dtype=bool)
         self.sound[[t for s, t in self.ids.items() if len(s) == 1]] = True
-        pairs = np.array(list(self.rank), dtype=np.int64).reshape(-1, 2)
         safe = self.safe(pairs[:, 0], pairs[:, 1], np.arange(len(pairs), dtype=np.int64))
         for ((a, b), (r, t)), ok in zip(self.rank.items(), safe, strict=True):
             if ok and made[t] == r and self.sound[a] and self.sound[b]:
@@ -75,9 +77,24 @@ class Merges:
         self.bytes: list[bytes] = [b""] * size
         for token, t in self.ids.items():
             self.bytes[t] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        self._grow({self.bytes[t]: t for token, t in self.ids.items() if all(c in letters for c in token)})
         for token, t in self.special.items():
             self.bytes[t] = token.encode()
 
+    def _grow(self, tokens: dict[bytes, int]) -> None:
+        """The tree of all tokens by their bytes; node 0 is its root."""
+        nodes, parent, byte = {b"": 0}, [], []
+        for token in tokens:
+            for end in range(1, len(token) + 1):
+                if token[:end] not in nodes:
+                    nodes[token[:end]] = len(nodes)
+                    parent.append(nodes[token[: end - 1]])
+                    byte.append(token[end - 1])
+        self.tree = Pairs(np.array(parent), np.array(byte), np.arange(1, len(nodes)))
+        self.token_at = np.full(len(nodes), -1, dtype=np.int32)
+        for token, t in tokens.items():
+            self.token_at[nodes[token]] = t
+
     @staticmethod
     def _edges(inner: list[int], made: list[int], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each token the chain of pieces at one edge: where it starts, pieces, when each is absorbed."""
@@ -166,27 +183,92 @@ class Merges:
             offer(i)
         return [t for t in token if t >= 0]
 
-    def words(self, words: list[str]) -> tuple[list[list[int]], int]:
-        """Ids of each word in byte letters, and how many words had to be merged exactly."""
-        proposed = [self.propose(w) for w in words]
-        sizes = np.array([len(p) for p in proposed], dtype=np.int64)
-        flat = np.array([t for p in proposed for t in p], dtype=np.int64)
-        owner = np.repeat(np.arange(len(words)), sizes)
-        good = np.ones(len(words), dtype=bool)
-        good[owner[~self.sound[flat]]] = False
-        inside = np.flatnonzero(owner[1:] == owner[:-1]) if len(owner) else np.empty(0, dtype=np.int64)
+    def proposals(self, letters: np.ndarray) -> np.ndarray:
+        """Greedy longest matches of many words at once: rows of bytes, -1 behind each, to rows of tokens.
+
+        All words walk the tree together, a byte a step; a word that can go no farther takes the last
+        token it passed and starts again behind it.
+        """
+        n, width = letters.shape
+        out = np.full((n, width), -1, dtype=np.int32)
+        padded = np.concatenate([letters, np.full((n, 1), -1, dtype=letters.dtype)], axis=1)
+        rows, place, taken = np.arange(n), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        node, token, end = np.zeros(n, dtype=np.int32), np.full(n, -1, dtype=np.int32), np.zeros(n, dtype=np.int64)
+        while len(rows):
+            letter = padded[rows, place]
+            step = self.tree.ranks(node, letter)
+            on = step < self.tree.never
+            node = np.where(on, self.tree.made[np.where(on, step, 0)], 0)
+            place = place + on
+            found = np.where(on, self.token_at[node], -1)
+            token, end = np.where(found >= 0, found, token), np.where(found >= 0, place, end)
+            stuck = np.flatnonzero(~on)
+            out[rows[stuck], taken[stuck]] = token[stuck]
+            taken[stuck] += 1
+            place[stuck], token[stuck] = end[stuck], -1
+            left = on.copy()
+            left[stuck] = padded[rows[stuck], place[stuck]] >= 0
+            if not left.all():
+                rows, place, taken, node, token, end = (x[left] for x in (rows, place, taken, node, token, end))
+        return out
+
+    def matrix(self, letters: np.ndarray) -> tuple[np.ndarray, int]:
+        """Tokens of words that are rows of bytes, -1 behind each, and how many had to be merged exactly."""
+        tokens = self.proposals(letters)
+        held = tokens >= 0
+        good = (self.sound[np.where(held, tokens, 0)] | ~held).all(axis=1)
+        inside = np.flatnonzero((held[:, 1:] & held[:, :-1]).ravel())
         if len(inside):
-            pairs, back = np.unique((flat[inside] << 32) | flat[inside + 1], return_inverse=True)
+            flat = np.stack([tokens[:, :-1].ravel()[inside], tokens[:, 1:].ravel()[inside]]).astype(np.int64)
+            pairs, back = np.unique((flat[0] << 32) | flat[1], return_inverse=True)
             safe = self.safe(pairs >> 32, pairs & 0xFFFFFFFF)[back]
-            good[owner[inside[~safe]]] = False
+            good[inside[~safe] // (tokens.shape[1] - 1)] = False
         failed = np.flatnonzero(~good)
-        for k in failed:
-            proposed[k] = self.exact(words[k])
-        return proposed, len(failed)
+        if len(failed):
+            own = letters[failed]
+            tokens[failed] = self.pairs.merge(np.where(own >= 0, self.of_byte[np.maximum(own, 0)], np.int32(-1)))
+        return tokens, len(failed)
+
+    def short_words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids of words of at most SHORT bytes, one after the other, how many each has, and how many were merged exactly."""
+        places, data = buffers(words)
+        starts, sizes = places[:-1], np.diff(places)
+        counts, failed = np.zeros(len(words), dtype=np.int64), 0
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for low, high in ((1, 3), (4, 5), (6, 7), (8, 10), (11, 14), (15, 24), (25, SHORT)):
+            every = np.flatnonzero((sizes >= low) & (sizes <= high))
+            for at in np.split(every, range(_ROWS, len(every), _ROWS)):
+                if not len(at):
+                    continue
+                columns = np.arange(high)
+                inside = columns[None, :] < sizes[at][:, None]
+                letters = data[np.minimum(starts[at][:, None] + columns[None, :], len(data) - 1)].astype(np.int16)
+                tokens, n = self.matrix(np.where(inside, letters, np.int16(-1)))
+                failed += n
+                counts[at] = (tokens >= 0).sum(axis=1)
+                found.append((at, tokens[tokens >= 0]))
+        ends = np.cumsum(counts)
+        ids = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<u4")
+        for at, values in found:
+            ids[spans((ends - counts)[at], counts[at])] = values
+        return ids, counts, failed
+
+    def long_word(self, word: str) -> tuple[list[int], bool]:
+        """Ids of one word in byte letters, and whether it had to be merged exactly."""
+        proposed = np.array(self.propose(word), dtype=np.int64)
+        if self.sound[proposed].all() and self.safe(proposed[:-1], proposed[1:]).all():
+            return proposed.tolist(), False
+        return self.exact(word), True
 
 
 class ByteCodec:
-    """Encodes and decodes whole texts; pieces between single spaces are remembered."""
+    """Encodes and decodes whole texts; pieces between single spaces are remembered.
+
+    A space is the last of its gap or the first of at most two: in both cases the pattern that splits
+    words starts a new word there, so the pieces between spaces can be encoded apart.  Arrow cuts and
+    numbers them, Python sees the distinct ones of a batch.  Texts with longer gaps, or with the
+    string of a special token, are encoded one by one.
+    """
 
     def __init__(self, path: str, budget: int = MEMO_BYTES) -> None:
         from tokenizers import pre_tokenizers
@@ -194,52 +276,148 @@ class ByteCodec:
         self.merges = Merges(path)
         self.memo = Memo(budget)
         self._split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
-        # Every white space of the library is one here too; a text with a longer gap goes the slow way.
+        # Every white space of the library is one here too.
         self._long_gap = re.compile(r"\s{3}").search
         self._specials = re.compile("(" + "|".join(map(re.escape, sorted(self.merges.special, key=len, reverse=True))) + ")")
+        sizes = np.array([len(x) for x in self.merges.bytes], dtype=np.int64)
+        self._spelled, self._sizes = np.frombuffer(b"".join(self.merges.bytes), dtype=np.uint8), sizes
+        self._starts = np.cumsum(sizes) - sizes
+        self._bytes = {c: b for b, c in byte_letters().items()}
         self.exactly_merged = 0
 
-    def _pieces(self, text: str) -> list[str]:
-        """Pieces that can be encoded apart.
-
-        A space is the last of its gap or the first of at most two: in both cases the pattern that
-        splits words starts a new word there.  Texts with longer gaps stay whole.
-        """
-        if self._long_gap(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + x for x in rest]
-
     def _coded(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that the library's pattern cuts into words."""
         split = [[w for w, _ in self._split(p)] for p in pieces]
         distinct = list({w for words in split for w in words})
-        ids, failed = self.merges.words(distinct)
-        self.exactly_merged += failed
-        known = dict(zip(distinct, (np.array(x, dtype="<u4").tobytes() for x in ids), strict=True))
+        plain = [bytes(self._bytes[c] for c in w) for w in distinct]
+        short = [k for k, w in enumerate(plain) if len(w) <= SHORT]
+        known = {}
+        if short:
+            ids, counts, failed = self.merges.short_words(pa.array([plain[k] for k in short], pa.binary()).view(pa.string()))
+            self.exactly_merged += failed
+            known |= {distinct[k]: x.tobytes() for k, x in zip(short, np.split(ids, np.cumsum(counts)[:-1]), strict=True)}
+        for word, body in zip(distinct, plain, strict=True):
+            if len(body) > SHORT:
+                ids, exact = self.merges.long_word(word)
+                self.exactly_merged += exact
+                known[word] = np.array(ids, dtype="<u4").tobytes()
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each UTF-8 text as little-endian unsigned 32-bit integers.
+    def _distinct(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, one after the other, and how many each has.
 
-        The strings of special tokens inside a text become those tokens, as the library has it.
+        Pieces in letters below U+0180 are cut into words here, all at once; the others are cut by the
+        library and remembered.
         """
-        special = self.merges.special
-        plan: list[list[tuple[bytes, list[str]]]] = []
-        for raw in texts:
-            text = raw.decode("utf-8", "replace")
-            parts = self._specials.split(text) if special and any(s in text for s in special) else [text]
-            plan.append([
-                (np.array([special[p]], dtype="<u4").tobytes(), []) if p in special else (b"", self._pieces(p)) for p in parts
-            ])
-        known = self.memo.fill({p for parts in plan for _, pieces in parts for p in pieces}, self._coded)
-        return [b"".join(lead + b"".join(map(known.__getitem__, pieces)) for lead, pieces in parts) for parts in plan]
+        places, data = buffers(pieces)
+        odd = np.concatenate([[0], np.cumsum((kinds_of(data) == OTHER) & (data != ord(" ")))])
+        known = (odd[places[1:]] == odd[places[:-1]]) & (np.diff(places) <= SHORT)
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        ids = np.empty(0, dtype="<u4")
+        if known.any():
+            places, data = buffers(pieces.filter(pa.array(known)))
+            starts = piece_starts(data, kinds_of(data), places[:-1][np.diff(places) > 0], lone_numbers=False)
+            offsets = np.append(starts, len(data)).astype(np.int32)
+            words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+            at = words.indices.to_numpy()
+            each, sizes, failed = self.merges.short_words(words.dictionary)
+            self.exactly_merged += failed
+            ends = np.concatenate([[0], np.cumsum(sizes[at])])
+            counts[known] = np.diff(ends[np.searchsorted(starts, places)])
+            ids = each[spans((np.cumsum(sizes) - sizes)[at], sizes[at])]
+        if known.all():
+            return ids, counts
+        names = pieces.filter(pa.array(~known)).view(pa.binary()).to_pylist()
+        names = [x.decode("utf-8", "replace") for x in names]
+        found = self.memo.fill(set(names), self._coded)
+        coded = [found[n] for n in names]
+        sizes = counts.copy()
+        sizes[~known] = [len(x) // 4 for x in coded]
+        starts = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), dtype="<u4")
+        out[spans(starts[known], sizes[known])] = ids
+        out[spans(starts[~known], sizes[~known])] = np.frombuffer(b"".join(coded), dtype="<u4")
+        return out, sizes
+
+    def _whole(self, text: str) -> bytes:
+        """Ids of one text; the strings of special tokens become those tokens, as the library has it."""
+        special, out = self.merges.special, []
+        for part in self._specials.split(text) if special else [text]:
+            if part in special:
+                out.append(np.array([special[part]], dtype="<u4").tobytes())
+            elif part:
+                out += self._coded([part])
+        return b"".join(out)
+
+    def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that can be cut at every space, one after the other, and how many each has."""
+        cut = pc.split_pattern(texts, " ")
+        words = cut.flatten().dictionary_encode()
+        names, at = words.dictionary, words.indices.to_numpy()
+        places = cut.offsets.to_numpy().astype(np.int64)
+        places -= places[0]
+        # The first piece of a text has no space before it, the others have one.
+        spaced = np.ones(len(at), dtype=np.int64)
+        spaced[places[:-1]] = 0
+        used = np.zeros((2, len(names)), dtype=bool)
+        used[spaced, at] = True
+        bare, behind = np.flatnonzero(used[0]), np.flatnonzero(used[1])
+        pieces = [names.take(pa.array(bare)), pc.binary_join_element_wise(" ", names.take(pa.array(behind)), "")]
+        ids, sizes = self._distinct(pa.concat_arrays([x.cast(pa.string()) for x in pieces]))
+        number = np.zeros((2, len(names)), dtype=np.int64)
+        number[0, bare], number[1, behind] = np.arange(len(bare)), len(bare) + np.arange(len(behind))
+        each = number[spaced, at]
+        ends = np.concatenate([[0], np.cumsum(sizes[each])])
+        return ids[spans((np.cumsum(sizes) - sizes)[each], sizes[each])], ends[places[1:]] - ends[places[:-1]]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a string column, one text after the other, and how many each text has."""
+        texts = texts.fill_null("")
+        whole = [
+            k for k, x in enumerate(texts.view(pa.binary()).to_pylist())
+            if self._long_gap(x.decode("utf-8", "replace")) or any(s.encode() in x for s in self.merges.special)
+        ]
+        if not whole:
+            return self._by_pieces(texts) if len(texts) else (np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64))
+        alone = np.zeros(len(texts), dtype=bool)
+        alone[whole] = True
+        coded = [self._whole(texts[k].as_buffer().to_pybytes().decode("utf-8", "replace")) for k in whole]
+        rest = texts.filter(pa.array(~alone))
+        ids, sizes = self._by_pieces(rest) if len(rest) else (np.empty(0, dtype="<u4"), np.empty(0, dtype=np.int64))
+        counts = np.zeros(len(texts), dtype=np.int64)
+        counts[alone], counts[~alone] = [len(x) // 4 for x in coded], sizes
+        starts = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), dtype="<u4")
+        out[spans(starts[~alone], sizes)] = ids
+        out[spans(starts[alone], counts[alone])] = np.frombuffer(b"".join(coded), dtype="<u4")
+        return out, counts
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each UTF-8 text as little-endian unsigned 32-bit integers."""
+        ids, counts = self.encode_column(pa.array(texts, pa.binary()).view(pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
+
+    def spell(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes that the ids of each text stand for, special tokens kept; what is no UTF-8 becomes U+FFFD."""
+        ids = ids.astype(np.int64)
+        sizes = self._sizes[ids]
+        body = self._spelled[spans(self._starts[ids], sizes)].tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [_proper(body[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def decode(self, ids: list[bytes]) -> list[str]:
         """Texts of ids, special tokens kept; bytes that are no UTF-8 become U+FFFD."""
-        table = self.merges.bytes
-        return [
-            b"".join(map(table.__getitem__, np.frombuffer(x, dtype="<u4").tolist())).decode("utf-8", "replace") for x in ids
-        ]
+        each = [np.frombuffer(x, dtype="<u4") for x in ids]
+        counts = np.array([len(x) for x in each], dtype=np.int64)
+        return [x.decode() for x in self.spell(np.concatenate([np.empty(0, dtype="<u4"), *each]), counts)]
+
+
+def _proper(text: bytes) -> bytes:
+    try:
+        text.decode()
+    except UnicodeDecodeError:
+        return text.decode("utf-8", "replace").encode()
+    return text
 
 
 def codec(path: str) -> ByteCodec:
@@ -293,13 +471,15 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer)
         for batch in batches:
-            ids = own.encode(utf8(batch.column(1)))
-            texts = own.decode(ids)
+            ids, counts = own.encode_column(batch.column(1))
+            ends = 4 * np.concatenate([[0], np.cumsum(counts)])
+            body = memoryview(ids.tobytes())
+            coded = [hashlib.sha256(body[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            spelled = [hashlib.sha256(x).hexdigest() for x in own.spell(ids, counts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                 pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())],
+                [batch.column(0), pa.array(counts), pa.array(coded, pa.string()), pa.array(spelled, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        release()
 
     return read.mapInArrow(run, f"doc_id {kind.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -30,6 +30,7 @@ from ..durable import materialise
 from ..operators.skew import split_join
 from .graph import components
 from .support import small_batches, text_of
+from .tokens import release
 
 ROWS = 5
 MISS = 1e-8
@@ -140,6 +141,7 @@ def _sketched(docs: DataFrame, width: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), counts, pa.array(digests, pa.binary()), lists(keys)], names=["doc_id", "n", "digest", "keys"]
             )
+        release()
 
     return docs.mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>")
 
@@ -149,6 +151,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             sets = shingle_sets(batch.column(1), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), lists(sets)], names=["doc_id", "shingles"])
+        release()
 
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
@@ -219,6 +222,7 @@ def _blocks_linked(rows: DataFrame, percent: int) -> DataFrame:
                 held.append((label[r], asks[r], values[places[r] : places[r + 1]].copy()))
             yield _edges(found)
         yield _edges(close())
+        release()
 
     def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
         a, b = ([x[k] for x in found] for k in (0, 1))
@@ -238,7 +242,7 @@ def near_duplicates(
     are one document to links: what one of its texts is linked with, all are.  A row with a null id
     belongs to the documents whose shingle set it has, and stays only if those have no id either.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, size=2 << 20)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text).alias("text"))
     all_docs = materialise(_sketched(read, width, percent), "sketches")
     classes = all_docs.where(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("rep"))

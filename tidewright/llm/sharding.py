@@ -13,17 +13,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import numbered, ship, text_of
+from ..shipping import ship
+from .minhash import mixed
+from .support import numbered, text_of
 
 ROUNDS = 6
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _half_bits(n: int) -> int:
     return max(1, (max(n - 1, 1).bit_length() + 1) // 2)
 
@@ -37,7 +33,7 @@ def _network(x: np.ndarray, n: int, keys: list[np.uint64]) -> np.ndarray:
     mask = (np.uint64(1) << bits) - np.uint64(1)
     left, right = x >> bits, x & mask
     for key in keys:
-        left, right = right, left ^ (_mixed(right + key) & mask)
+        left, right = right, left ^ (mixed(right + key) & mask)
     return (right << bits) | left
 
 

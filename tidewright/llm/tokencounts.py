@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..durable import materialise
 from ..operators.skew import split_join
 from .support import BLANKS, small_batches, text_of
-from .tokens import encoder, tokenizer_version
+from .tokens import encoder, release, tokenizer_version
 
 _CACHE = "digest binary, version string, n_tokens long"
 
@@ -67,6 +67,7 @@ def token_counts(
         codec = encoder(tokenizer, by_words)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codec.count_column(batch.column(1)))], names=["digest", "n_tokens"])
+        release()
 
     counted = texts.mapInArrow(count, "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .support import running_starts, small_batches, text_of
-from .tokens import encoder
+from .tokens import encoder, release
 
 _FILE = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
 
@@ -69,6 +69,7 @@ def write_token_files(
                 names=["doc_id", "part", "local_start", "n_tokens", "ids"],
             )
             start += int(ends[-1]) if len(ends) else 0
+        release()
 
     by_dictionary = {"parquet.enable.dictionary": "false", "parquet.enable.dictionary#ids.list.element": "true"}
     ordered.mapInArrow(coded, _FILE).write.mode("error").options(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import os
 from collections.abc import Callable, Hashable
@@ -78,6 +80,13 @@ def resident(key: Hashable, build: Callable[[], Any]) -> Any:
     return _RESIDENT[key]
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task, as the worker lives on."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _plain(word: bytes) -> bytes:
     """Lower-cased where the tokenizer would do just that, so that more words are known.
 

@@ -1,8 +1,7 @@
 """Exact byte-pair merging of many words at once, for vocabularies with word ends.
 
-All words of a call are rows of one matrix of tokens.  Every step merges the lowest-ranked pair of
-each row, the leftmost among equals, as the merges of one word after the other would.  Words in
-letters whose lower case and composition could depend on the library's tables are left to it.
+Words are cut into pieces and those merged as rows of matrices.  Words in letters whose lower case
+and composition could depend on the library's tables are left to it.
 """
 
 from __future__ import annotations
@@ -12,9 +11,8 @@ import json
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 
-from .bpe import byte_letters
+from .merging import OTHER, Pairs, buffers, byte_letters, kinds_of, piece_starts
 from .tokens import spans
 
 #: What the pre-tokenizer of these files cuts out, in its own order; everything else is dropped.
@@ -22,78 +20,6 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Bytes of the longest word that is merged here.
 _WIDEST = 64
 _ROWS = 4096
-_OTHER, _LETTER, _NUMBER, _SIGN = range(4)
-
-
-def _kinds() -> np.ndarray:
-    """Kind of the letters below U+0180; those that compose, or change their number in lower case, are other."""
-    kinds = np.full(0x180, _OTHER, dtype=np.uint8)
-    for c in [*range(0x21, 0x7F), *range(0xA1, 0x180)]:
-        if c not in (0x130, 0x149):
-            kinds[c] = _LETTER if regex.match(r"\p{L}", chr(c)) else _NUMBER if regex.match(r"\p{N}", chr(c)) else _SIGN
-    return kinds
-
-
-KINDS = _kinds()
-
-
-def _buffers(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the texts in their bytes, one more than there are texts, and the bytes."""
-    _, offsets, body = texts.buffers()
-    places = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    return places - places[0], np.frombuffer(body or b"", dtype=np.uint8)[places[0] : places[-1]]
-
-
-def kinds_of(data: np.ndarray) -> np.ndarray:
-    """Kind of the letter that each byte of UTF-8 belongs to."""
-    kinds = np.where(data < 0x80, KINDS[np.minimum(data, 0x7F)], _OTHER)
-    lead = np.flatnonzero((data >= 0xC2) & (data <= 0xC5))
-    code = ((data[lead] & 0x1F).astype(np.int64) << 6) | (data[lead + 1] & 0x3F)
-    kinds[lead] = kinds[lead + 1] = KINDS[code]
-    return kinds
-
-
-def piece_starts(data: np.ndarray, kinds: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Where the pieces of ``PATTERN`` begin in lower-cased words without blanks that begin at ``words``."""
-    first = (data & 0xC0) != 0x80
-    starts = first & (kinds == _NUMBER)
-    starts[1:] |= kinds[1:] != kinds[:-1]
-    starts[words] = True
-    # An apostrophe before one of a few endings belongs to it, if no other sign stands before it.
-    at = np.flatnonzero((data == ord("'")) & starts)
-    padded = np.concatenate([data, [0, 0, 0]])
-    word_end = np.append(words, len(data))[np.searchsorted(words, at, side="right")]
-    one, two = padded[at + 1], padded[at + 2]
-    short = np.isin(one, [ord(c) for c in "stmd"]) & (at + 1 < word_end)
-    pairs = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
-    long = pairs & (at + 2 < word_end)
-    for found, size in ((at[short], 1), (at[long], 2)):
-        starts[found + 1] = False
-        behind = found + 1 + size
-        starts[behind[behind < len(data)]] = True
-    return np.flatnonzero(starts)
-
-
-_SLOT_BITS = np.uint64(20)
-
-
-def _slots(keys: np.ndarray, factor: int) -> np.ndarray:
-    return (keys.view(np.uint64) * np.uint64(factor)) >> (np.uint64(64) - _SLOT_BITS)
-
-
-def _hashed(keys: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Tables of places by hash, each with those keys that found no slot in the ones before."""
-    tables, left, factor = [], np.arange(len(keys)), 0x9E3779B97F4A7C15
-    while len(left):
-        table = np.zeros(1 << int(_SLOT_BITS), dtype=np.int32)
-        slots = _slots(keys[left], factor)
-        table[slots] = left
-        tables.append((factor, table))
-        left = left[table[slots] != left]
-        factor = (factor * 0xD6E8FEB86659FD93 + 2) % 2**64 | 1
-    return tables
-
-
 class WordMerges:
     """Pieces and merges of a file whose pre-tokenizer drops white space and marks ends of words."""
 
@@ -109,8 +35,7 @@ class WordMerges:
         first = np.array([vocabulary[a] for a, _ in pairs], dtype=np.int64)
         second = np.array([vocabulary[b] for _, b in pairs], dtype=np.int64)
         made = np.array([vocabulary[a + b] for a, b in pairs], dtype=np.int32)
-        self.keys, self.made, self.never = (first << 32) | second, made, np.int32(len(pairs))
-        self._tables = _hashed(self.keys)
+        self.pairs = Pairs(first, second, made)
 
     @staticmethod
     def supports(path: str) -> bool:
@@ -128,51 +53,9 @@ class WordMerges:
             and bool(data["model"].get("end_of_word_suffix"))
         )
 
-    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank of each pair, ``never`` if it has none; a pair's rank is its place among the keys."""
-        key = (a.astype(np.int64) << 32) | b
-        out = np.full(key.shape, self.never, dtype=np.int32)
-        for factor, table in self._tables:
-            found = table[_slots(key, factor)]
-            hit = self.keys[found] == key
-            out[hit] = found[hit]
-        return out
-
-    def _merge(self, tokens: np.ndarray) -> np.ndarray:
-        """Merge rows of a matrix in which -1 stands behind the last token of a row."""
-        width = tokens.shape[1]
-        if width < 2:
-            return tokens
-        ranks = self._ranks(tokens[:, :-1], tokens[:, 1:])
-        rows, step = np.arange(len(tokens)), np.arange(width)
-        work_t, work_r = tokens, ranks
-        done = tokens.copy()
-        while len(rows):
-            at = work_r.argmin(axis=1)
-            own = np.arange(len(rows))
-            rank = work_r[own, at]
-            live = rank < self.never
-            if not live.all():
-                done[rows[~live]] = work_t[~live]
-                rows, work_t, work_r, at, rank = rows[live], work_t[live], work_r[live], at[live], rank[live]
-                if not len(rows):
-                    break
-                own = np.arange(len(rows))
-            work_t[own, at] = self.made[rank]
-            shift = np.minimum(step[None, :] + (step[None, :] > at[:, None]), width - 1)
-            work_t = np.take_along_axis(work_t, shift, axis=1)
-            work_t[:, -1] = -1
-            work_r = np.take_along_axis(work_r, np.minimum(step[None, :-1] + (step[None, :-1] > at[:, None]), width - 2), axis=1)
-            work_r[:, -1] = self.never
-            left = np.flatnonzero(at > 0)
-            work_r[left, at[left] - 1] = self._ranks(work_t[left, at[left] - 1], work_t[left, at[left]])
-            right = np.flatnonzero(at < width - 1)
-            work_r[right, at[right]] = self._ranks(work_t[right, at[right]], work_t[right, at[right] + 1])
-        return done
-
     def _merged(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct pieces, one after the other, and how many each has."""
-        places, flat = _buffers(pieces)
+        places, flat = buffers(pieces)
         starts, sizes = places[:-1], np.diff(places)
         counts = np.zeros(len(pieces), dtype=np.int64)
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -185,7 +68,7 @@ class WordMerges:
                 letters = flat[np.minimum(starts[at][:, None] + columns[None, :], len(flat) - 1)]
                 tokens = np.where(inside, self.inner[letters], np.int32(-1))
                 tokens[rows, sizes[at] - 1] = self.last[letters[rows, sizes[at] - 1]]
-                merged = self._merge(tokens)
+                merged = self.pairs.merge(tokens)
                 counts[at] = (merged >= 0).sum(axis=1)
                 found.append((at, merged[merged >= 0]))
         ends = np.cumsum(counts)
@@ -201,15 +84,15 @@ class WordMerges:
         """
         short = pc.and_(pc.less_equal(pc.binary_length(words), _WIDEST), pc.invert(pc.match_substring(words, "<|")))
         known = short.to_numpy(zero_copy_only=False).copy()
-        places, data = _buffers(words)
-        odd = np.concatenate([[0], np.cumsum(kinds_of(data) == _OTHER)])
+        places, data = buffers(words)
+        odd = np.concatenate([[0], np.cumsum(kinds_of(data) == OTHER)])
         known &= odd[places[1:]] == odd[places[:-1]]
         counts = np.zeros(len(words), dtype=np.int64)
         if not known.any():
             return np.empty(0, dtype="<u4"), counts, known
-        places, data = _buffers(pc.utf8_lower(words.filter(pa.array(known))))
+        places, data = buffers(pc.utf8_lower(words.filter(pa.array(known))))
         filled = np.flatnonzero(places[1:] > places[:-1])
-        starts = piece_starts(data, kinds_of(data), places[filled])
+        starts = piece_starts(data, kinds_of(data), places[filled], lone_numbers=True)
         offsets = np.append(starts, len(data)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
         at = pieces.indices.to_numpy()
