@@ -19,16 +19,16 @@ _PARTITION_BITS = 33
 
 
 #: Bytes of one batch that is handed to Python.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
-def small_batches(spark: SparkSession, rows: int = 4096) -> None:
+def small_batches(spark: SparkSession, rows: int = 4096, size: int = BATCH_BYTES) -> None:
     """Hand texts to Python in batches of limited bytes and rows, so that long texts do not add up.
 
     A text longer than the limit is a batch of its own.
     """
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
@@ -53,11 +53,11 @@ def running_starts(sizes: DataFrame, part: str, size: str, name: str) -> DataFra
 
 
 def with_row_key(docs: DataFrame, id_col: str = "doc_id", key: str = "_key") -> DataFrame:
-    """Add ``key``, a whole number of its own for every row: the id where no other row has it.
+    """Add ``key``, a whole number of its own for every row, in the order of the ids.
 
-    Rows whose id is null or repeats, mostly none, are numbered past the largest id, in the order of
-    their ids.  Rows are told apart by file and place in it; what does not come from Parquet files
-    is written to some first.
+    It is the id itself where every row has one and none repeats.  Else all rows are numbered by
+    their ids, null ones last, and equal ids by their place.  Rows are told apart by file and place
+    in it; what does not come from Parquet files is written to some first.
     """
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place")]
     docs = docs.drop(key, "_file", "_place")
@@ -67,16 +67,12 @@ def with_row_key(docs: DataFrame, id_col: str = "doc_id", key: str = "_key") ->
         located = materialise(docs, "keyed-rows").select("*", *place)
     own = F.col(id_col).cast("long")
     counts = located.groupBy(own.alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = materialise(counts.where("_n > 1 OR _id IS NULL").select("_id"), "repeated-ids")
-    top = located.agg(F.coalesce(F.max(own), F.lit(-1))).first()[0]
-    if repeated.isEmpty():
+    if counts.where("_n > 1 OR _id IS NULL").isEmpty():
         return located.withColumn(key, own).drop("_file", "_place")
-    rows = located.select(own.alias("_own"), "_file", "_place").join(
-        repeated, F.col("_own").eqNullSafe(F.col("_id")), "left_semi"
-    )
-    fresh, _ = numbered(rows, ["_own", "_file", "_place"], "fresh-ids")
-    found = located.join(fresh.select("_file", "_place", "row"), ["_file", "_place"], "left")
-    return found.withColumn(key, F.coalesce(F.col("row") + top + 1, own)).drop("_file", "_place", "row")
+    rows = located.select(own.isNull().alias("_none"), own.alias("_own"), "_file", "_place")
+    fresh, _ = numbered(rows, ["_none", "_own", "_file", "_place"], "fresh-ids")
+    found = located.join(fresh.select("_file", "_place", F.col("row").alias(key)), ["_file", "_place"])
+    return found.drop("_file", "_place")
 
 
 def numbered(df: DataFrame, order_by: Sequence[str], label: str) -> tuple[DataFrame, int]:
