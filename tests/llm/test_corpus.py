@@ -78,6 +78,55 @@ def test_shards(docs_of, odd_rows):
     assert sharding.shard_rows(docs_of(rows).limit(0), shards=8).collect() == []
 
 
+def test_shards_are_the_permuted_places_of_the_sorted_rows(docs_of, odd_rows):
+    import zlib
+
+    rows = [*odd_rows, (None, "x"), (None, None)]
+    got = sharding.shard_rows(docs_of(rows).selectExpr("*", "1 as row", "2 as shard", "3 as size"), shards=3, seed=9).collect()
+    keyed = [(i is not None, i or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for i, t in rows]
+    places = sharding.permute(np.arange(len(rows)), len(rows), 9)
+    want = {k: (n, p % 3, p // 3) for n, (k, p) in enumerate(zip(sorted(keyed), places.tolist(), strict=True))}
+    assert {(r.doc_id is not None, r.doc_id or 0, r.text_crc32, r["size"]): (r.row, r.shard, r.slot) for r in got} == want
+
+
+@pytest.mark.parametrize("group", [[(10, 0.5), (7, 0.25), (3, 0.9), (40, 0.1), (7, 0.6)], [(5, 0.5)], [(4, 0.5), (4, 0.5)]])
+def test_folding_a_group_equals_a_plain_fold(spark, group):
+    """Units meet in order; the random numbers are asked of Spark, the rest is done again in Python."""
+    seeds = 300
+    units = [((k + 1, 100 + k), float(s), p) for k, (s, p) in enumerate(group)]
+    table = spark.range(seeds).select(
+        F.col("id").cast("int").alias("seed"),
+        F.array(*[F.struct(F.struct(F.lit(k[0]).cast("long").alias("a"), F.lit(k[1]).cast("long").alias("b")).alias("k"),
+                           F.lit(s).alias("s"), F.lit(p).alias("p")) for k, s, p in units]).alias("units"),
+    )
+    chances = {
+        (r.seed, r.i, r.j): r.c
+        for r in table.select("seed", F.posexplode("units").alias("i", "u"), "units")
+        .select("seed", "i", "u", F.posexplode("units").alias("j", "v"))
+        .select("seed", "i", "j", mixing._chance(F.col("seed"), 2, F.col("u.k"), F.col("v.k")).alias("c"))
+        .collect()
+    }
+    got = table.select("seed", mixing._fold(F.col("units"), F.col("seed"), 2).alias("f")).collect()
+    sums = np.zeros(len(units))
+    for r in got:
+        held, p, ends = 0, units[0][2], {}
+        for j in range(1, len(units)):
+            (_, s, _), (_, t, q) = units[held], units[j]
+            up, down = min((1 - p) * s, q * t), min(p * s, (1 - q) * t)
+            moved = up if chances[r.seed, held, j] * (up + down) < down else -down
+            x, y = (0.0 if v < 1e-9 else 1.0 if v > 1 - 1e-9 else v for v in (p + moved / s, q - moved / t))
+            if x in (0.0, 1.0):
+                ends[held], held, p = x, j, y
+            else:
+                ends[j], p = y, x
+        assert {u.k.a - 1: u.p for u in r.f.done} == pytest.approx(ends)
+        assert (r.f.held.k.a - 1, r.f.held.p) == (held, pytest.approx(p))
+        assert sum(units[k][1] * v for k, v in {**ends, held: p}.items()) == pytest.approx(sum(s * p for _, s, p in units))
+        sums += [{**ends, held: p}[k] for k in range(len(units))]
+    expected = np.array([p for _, _, p in units])
+    assert (np.abs(sums / seeds - expected) < 4 * np.sqrt(expected * (1 - expected) / seeds) + 1e-9).all()
+
+
 @pytest.mark.parametrize("weights", [(1.0, 2.0, 3.0), (1.0, 50.0)])
 def test_targets_equal_sharing_round_after_round(spark, weights):
     sizes = {"a": 10, "b": 0, "": 500, "é": 70, "Z": 3000, None: 20, "b2": 8}
@@ -134,6 +183,56 @@ def test_quality(spark, docs_of):
     assert quality.accepted(docs.limit(0), model).collect() == []
 
 
+def plain_statistics(text):
+    """The statistics of a text without Spark."""
+    import math
+
+    import regex
+
+    text = text or ""
+    words = [w for w in regex.split(r"[\x20\x09-\x0D]+", text) if w]
+    lines = [x for x in regex.split(r"[ \t\n\x0b\f\r]*\n[ \t\n\x0b\f\r]*", text) if x]
+    blank = r"[ \t\n\x0b\f\r]"
+
+    def share(part, of):
+        return part / of if of else 0.0
+
+    def count(pattern):
+        return len(regex.findall(pattern, text))
+
+    return {
+        "log_words": math.log1p(len(words)), "word_length": share(len(text), len(words)),
+        "upper_share": share(count(r"\p{Lu}"), len(text)), "digit_share": share(count("[0-9]"), len(text)),
+        "symbol_share": share(count(r"[#$%&*|<>{}\[\]=_~^\\@/+]"), len(words)),
+        "odd_word_share": share(count(rf"(?:^|{blank})[^\p{{L}}\p{{N}} \t\n\x0b\f\r]+(?={blank}|$)"), len(words)),
+        "stop_share": share(count(rf"[.?](?:{blank}|$)"), len(words)), "comma_share": share(count(","), len(words)),
+        "distinct_share": share(len(set(words)), len(words)), "line_words": share(len(words), len(lines)),
+        "distinct_lines": share(len(set(lines)), len(lines)), "exclaim_share": share(count("!"), len(words)),
+    }
+
+
+def test_scores_are_those_of_the_rules(spark, docs_of, odd_rows):
+    import math
+
+    docs, labels = labelled_corpus(docs_of, spark)
+    model = quality.learn(docs, labels)
+    assert model.rules
+    rows = [*odd_rows, (501, "One, two! 3 $$ *** ###\nline two.\nline two.\n"), (502, "A B C ?"), (503, "*** ***")]
+    for r in quality.scored(docs_of(rows).unionByName(docs), model).collect():
+        known = plain_statistics(r.text)
+        total = model.constant
+        for rule, weight in zip(model.rules, model.weights, strict=True):
+            total += weight * all((known[n] <= v) if at_most else (known[n] > v) for n, at_most, v in rule)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total))), r.doc_id
+
+
+def test_a_sample_smaller_than_the_labels(spark, docs_of):
+    docs, labels = labelled_corpus(docs_of, spark)
+    small = quality.learn(docs, labels, sample=60)
+    again = quality.learn(docs.repartition(7), labels.repartition(5), sample=60)
+    assert small == again and small.rules
+
+
 def test_no_filter_on_the_prediction_reaches_the_scan(spark, docs_of):
     docs, labels = labelled_corpus(docs_of, spark)
     plan = quality.accepted(docs, quality.learn(docs, labels)).select("doc_id", "text")

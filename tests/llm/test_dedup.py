@@ -123,3 +123,33 @@ def test_lattice_points_are_nearest_and_recall_is_high():
     p, q = lattice.cells(a), lattice.cells(b)
     meet = (p == q[:, :, :1]).any(axis=2) | (q == p[:, :, :1]).any(axis=2)
     assert meet.any(axis=1).mean() > 0.95
+
+
+def test_chunks_are_found_again_behind_a_change(docs_of):
+    """Texts that differ at their start, or in one word, share nearly all their chunks."""
+    import random
+
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    text = [rng.choice(words) for _ in range(4000)]
+    changed = [*text[:2000], "other", *text[2001:]]
+    rows = [(1, " ".join(text)), (2, "twelve more " + " ".join(text)), (3, " ".join(changed))]
+    got = {r.doc_id: [c.name for c in r.chunks] for r in exactdedup.recipes(docs_of(rows)).collect()}
+    assert 30 < len(got[1]) < 75
+    assert len(set(got[1]) & set(got[2])) >= len(got[1]) - 2 and len(set(got[1]) & set(got[3])) >= len(got[1]) - 3
+
+
+def test_cut_letters_in_texts_do_not_make_texts_equal(docs_of):
+    """Letters that mark cuts inside: all these texts differ."""
+    texts = ["a b", "a\x01 b", "a \x01b", "a\x01\x02 b", "a\x02 b", "a\x02\x01 b", "\x01", "\x01\x02", "\x02", "a\x01", "a"]
+    big = [" ".join(["word", t, "next"] * 60) for t in texts]
+    got = exactdedup.exact_duplicates(docs_of(list(enumerate(texts + big)))).collect()
+    assert all(r.kept and r.group_size == 1 for r in got) and len(got) == 2 * len(texts)
+
+
+def test_copies_of_columns_with_clashing_names(docs_of, odd_rows):
+    docs = docs_of([*odd_rows, (1, "x"), (None, "x"), (None, "One")])
+    clash = docs.selectExpr("*", "1 as names", "2 as recipe", "3 as chunks", "4 as normal", "5 as _doubt")
+    plain = exactdedup.exact_duplicates(docs).collect()
+    assert sorted(map(str, exactdedup.exact_duplicates(clash).collect())) == sorted(map(str, plain))
+    assert exactdedup.exact_duplicates(clash.limit(0)).collect() == []
