@@ -62,8 +62,11 @@ def join_bucketed(
     return facts.hint("merge").join(lookup, [*keys, SLICE], how).drop(SLICE)
 
 
-def buckets_for(spark: SparkSession, path: str, bytes_per_bucket: int = 256 << 20) -> int:
-    """Buckets so that each holds about ``bytes_per_bucket`` of the files under ``path``."""
+def buckets_for(spark: SparkSession, path: str, bytes_per_bucket: int = 16 << 20) -> int:
+    """Buckets so that each holds about ``bytes_per_bucket`` of the files under ``path``.
+
+    One task sorts a bucket, and rows take many times their size in the file when they are sorted.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     return max(1, -(-files.getContentSummary(folder).getLength() // bytes_per_bucket))
