@@ -7,9 +7,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import materialise
 from ..functions.codes import hour_band
 from ..functions.dates import on_days
 from ..operators.allocate import AMOUNT_TYPE, SHARE_TYPE, ratio, shares, spread
+from ..operators.numbering import surrogate_ids
 from ..operators.skew import split_join
 
 Day = dt.date | None
@@ -33,9 +35,13 @@ def _orders(orders: DataFrame, first: Day, last: Day, *columns: str) -> DataFram
     )
 
 
+def _some(first: Day, last: Day) -> bool:
+    return not (first is None and last is None)
+
+
 def _only(rows: DataFrame, wanted: DataFrame, first: Day, last: Day) -> DataFrame:
     """Rows of the wanted orders; without a day filter all of them, and no join is needed."""
-    if first is None and last is None:
+    if not _some(first, last):
         return rows
     return split_join(rows, wanted.select("sale_order_code"), ["sale_order_code"], "left_semi")
 
@@ -44,9 +50,40 @@ def _lines(details: DataFrame, orders: DataFrame) -> DataFrame:
     return split_join(details, orders, ["sale_order_code"])
 
 
-def _bought(details: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines with their order and product."""
-    return split_join(_lines(details, orders), products, ["product_code"], keys_of=details)
+def _bought(details: DataFrame, orders: DataFrame, products: DataFrame, some_days: bool) -> DataFrame:
+    """Order lines with their order and product.
+
+    A run of days leaves few lines, so these meet their orders first.  Of all days, lines meet their
+    products first: they then lie by order, and sums per order need no further shuffle.
+    """
+    if some_days:
+        return split_join(_lines(details, orders), products, ["product_code"], keys_of=details)
+    made = split_join(details, products, ["product_code"])
+    return split_join(made, orders, ["sale_order_code"], keys_of=details)
+
+
+def _classes(products: DataFrame, *categories: str) -> tuple[DataFrame, DataFrame]:
+    """(product_code, ``_class``) and (``_class``, categories): combinations of categories, numbered.
+
+    Rows carry the number through their shuffles; the names, one row per combination, are joined to
+    the sums.  Null is a name like any other here.
+    """
+    none = products.sparkSession.createDataFrame([], "_class long")
+    names = materialise(
+        surrogate_ids(products.select(*categories).distinct(), categories, none, "_class"), "classes"
+    )
+    same = F.lit(True)
+    for c in categories:
+        same = same & F.col(f"p.{c}").eqNullSafe(F.col(f"n.{c}"))
+    return products.alias("p").join(names.alias("n"), same).select("p.product_code", "n._class"), names
+
+
+def _with_place_and_goods(sums: DataFrame, place: DataFrame, goods: DataFrame) -> DataFrame:
+    """Sums with the columns of their station and product; the wider products come last, so that no
+    shuffle moves them once for every row."""
+    first = ["station_code", "product_code"]
+    rest = [c for f in (sums, goods, place) for c in f.columns if c not in first]
+    return sums.join(place, "station_code").join(goods, "product_code").select(*first, *rest)
 
 
 def sale_by_category(
@@ -58,7 +95,7 @@ def sale_by_category(
     )
     amount = F.col("sale_amount") * F.col("in_out_flag")
     return (
-        _bought(details, wanted, products)
+        _bought(details, wanted, products, _some(first, last))
         .groupBy(
             F.col("create_date").alias("create_time"),
             "sale_type_name",
@@ -92,26 +129,35 @@ def sale_by_category_and_order(
         "sale_type_name",
         F.col("member_type").alias("is_member"),
     )
-    keys = [
-        "date", "sale_order_code", "in_out_flag", "station_code", "sale_type", "sale_type_name",
-        "is_member", *CATEGORY_CODES, *CATEGORIES,
-    ]
-    sums = (
-        _bought(details, wanted, products)
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.col("sale_amount") * F.col("in_out_flag")).alias("sale_amount"),
-            F.sum(F.col("sale_money") * F.col("in_out_flag")).alias("sale_totalmoney"),
-            F.sum(F.col("sale_real_money") * F.col("in_out_flag")).alias("sale_realmoney"),
-        )
-    )
     place = stations.select(
         F.col("new_station_code").alias("station_code"),
         F.col("new_station_name").alias("station_name"),
         "station_region_code",
         "station_region_name",
     )
-    return sums.join(place, "station_code")
+    # Orders are fewer than their sums, so the station meets the order.  A place that is listed
+    # more than once gives that many rows, after the sums.
+    counted = place.groupBy(*place.columns).agg(F.count(F.lit(1)).alias("_places"))
+    placed = split_join(wanted, counted, ["station_code"])
+    codes, names = _classes(products, *CATEGORY_CODES, *CATEGORIES)
+    keys = [
+        "date", "sale_order_code", "in_out_flag", "station_code", "sale_type", "sale_type_name",
+        "is_member",
+    ]
+    places = [c for c in place.columns if c != "station_code"]
+    measures = {
+        "sale_amount": "sale_amount", "sale_money": "sale_totalmoney", "sale_real_money": "sale_realmoney"
+    }
+    sums = (
+        _bought(details, placed, codes, _some(first, last))
+        .groupBy(*keys, *places, "_places", "_class")
+        .agg(*[F.sum(F.col(c) * F.col("in_out_flag")).alias(name) for c, name in measures.items()])
+        .withColumn("_place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_places"))))
+    )
+    rest = [k for k in keys if k != "station_code"]
+    return sums.join(names, "_class").select(
+        "station_code", *rest, *CATEGORY_CODES, *CATEGORIES, *measures.values(), *places
+    )
 
 
 def fine_by_category(
@@ -188,15 +234,17 @@ def pay_by_category(
         .agg(F.sum(F.col("actual_money") * F.col("in_out_flag")).alias("_paid"))
     )
     bought = _only(details, wanted, first, last)
-    parts = _category_shares(bought, products, details, "fina_category_name", *CATEGORIES)
-    keys = [
-        "create_date", "sale_type_name", "fina_category_name", *CATEGORIES, "station_code",
-        "pay_method_name",
-    ]
+    codes, names = _classes(products, "fina_category_name", *CATEGORIES)
+    parts = _category_shares(bought, codes, details, "_class")
+    keys = ["create_date", "sale_type_name", "_class", "station_code", "pay_method_name"]
     return (
         spread(paid, parts, "sale_order_code", "_paid", keys, "pay_money")
         .where(F.col("pay_money") != 0)
-        .withColumnRenamed("create_date", "create_time")
+        .join(names, "_class")
+        .select(
+            F.col("create_date").alias("create_time"), "sale_type_name", "fina_category_name",
+            *CATEGORIES, "station_code", "pay_method_name", "pay_money",
+        )
     )
 
 
@@ -239,11 +287,7 @@ def money_section(
         "product_code", "product_isbn", "product_name", "product_price", *CATEGORIES,
         *CATEGORY_CODES, "supplier_code", "supplier_name",
     )
-    return (
-        sums.join(goods, "product_code")
-        .join(place, "station_code")
-        .withColumnRenamed("create_date", "create_time")
-    )
+    return _with_place_and_goods(sums, place, goods).withColumnRenamed("create_date", "create_time")
 
 
 def marketing_activities(
@@ -257,7 +301,7 @@ def marketing_activities(
     flag = F.col("in_out_flag")
     # Per order and category first, so an order with several activities repeats few rows.
     per_order = (
-        _bought(details, wanted, products)
+        _bought(details, wanted, products, _some(first, last))
         .groupBy("sale_order_code", "create_date", "category_two_name", "station_code")
         .agg(
             F.sum(F.col("sale_amount") * flag).alias("_amount"),
@@ -365,16 +409,14 @@ def product_sale_detailed(
         *CATEGORY_CODES, "supplier_code", "supplier_name",
     )
     count = F.col("in_out_flag_count")
-    return (
+    rated = (
         sold.join(bills, ["create_date", "station_code"], "left")
         .join(visitors, ["create_date", "station_code"], "left")
         .withColumn("purchase_ratio", ratio(count, F.col("_bills")))
         .withColumn("deal_ratio", ratio(count, F.col("info_value")))
         .drop("_bills", "info_value")
-        .join(goods, "product_code")
-        .join(place, "station_code")
-        .withColumnRenamed("create_date", "dates")
     )
+    return _with_place_and_goods(rated, place, goods).withColumnRenamed("create_date", "dates")
 
 
 def category_vs_task(
@@ -393,7 +435,7 @@ def category_vs_task(
     wanted = _orders(orders, first, last, "station_code", "in_out_flag")
     money = F.col("sale_real_price") * F.col("sale_amount") * F.col("in_out_flag")
     sold = (
-        _bought(details, wanted, products)
+        _bought(details, wanted, products, _some(first, last))
         .groupBy("create_date", "station_code", kind.alias("type"))
         .agg(F.sum(money).alias("real_money"))
         .withColumnRenamed("create_date", "create_time")
