@@ -18,6 +18,8 @@ PRODUCT_NAMES = (
     "fina_category_name", "category_two_name", "category_three_name", "category_four_name",
     "category_five_name", "product_isbn", "product_name", "product_price",
 )
+_AMOUNT = "decimal(18,2)"
+BATCH_KEYS = ["batch_no", "goods_code"]
 # Fixed value: the bay of goods on their way.
 IN_TRANSIT = "ON_STORAGE"
 # Fixed value: reason of goods given away with a sale.

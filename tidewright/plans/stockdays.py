@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,9 +13,10 @@ from ..functions.codes import storage_sign
 from ..functions.dates import on_days
 from .ledger import STOCK_KEYS
 from .shortage import KEYS, SALES, WINDOWS
-from .stock import valued
+from .stock import BATCH_KEYS
 
 _AMOUNT = "decimal(18,2)"
+_DAYS = "days"
 
 
 def _moved(ledger: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:
@@ -39,8 +41,8 @@ def _stretches(base: DataFrame, moved: DataFrame, at: dt.date, first: dt.date, l
     """(keys, ``from``, ``to``, ``amount``): stock is ``amount`` at the end of each of these days.
 
     ``base`` is the stock at the end of ``at``, ``moved`` what was gained between it and the days
-    asked for: all after it, or all up to it.  A key has one row per day at most, and only those
-    pass the window.
+    asked for: all after it, or all up to it.  A key has one row in ``base`` and one per day in
+    ``moved`` at most, and only those pass the window.
     """
     keys, zero = list(STOCK_KEYS), F.lit(0).cast(_AMOUNT)
     day = Window.partitionBy(*keys).orderBy("day")
@@ -56,7 +58,7 @@ def _stretches(base: DataFrame, moved: DataFrame, at: dt.date, first: dt.date, l
     else:
         end = base.select(*keys, F.lit(at + dt.timedelta(days=1)).alias("day"), (-F.col("amount")).alias("gain"))
         # What a day gained is undone for the days before it; behind the last gain stands the base.
-        steps = moved.unionByName(end).groupBy(*keys, "day").agg(F.sum("gain").alias("gain"))
+        steps = moved.unionByName(end)
         later = day.rowsBetween(Window.currentRow, Window.unboundedFollowing)
         rows = steps.select(
             *keys,
@@ -69,10 +71,9 @@ def _stretches(base: DataFrame, moved: DataFrame, at: dt.date, first: dt.date, l
 
 
 def current(stock: DataFrame) -> DataFrame:
-    """The stock now, where there is any."""
-    return stock.where("available_amount > 0").select(
-        *STOCK_KEYS, F.col("available_amount").cast(_AMOUNT).alias("amount")
-    )
+    """The stock now, where there is any, one row per key."""
+    amount = F.col("available_amount").cast(_AMOUNT)
+    return stock.where("available_amount > 0").groupBy(*STOCK_KEYS).agg(F.sum(amount).alias("amount"))
 
 
 def write_snapshots(
@@ -82,26 +83,44 @@ def write_snapshots(
 
     All snapshots come from the stock at the end of ``today`` and one read of the ledger back to the
     first of them.  Snapshots of other days stay as they are.
+
+    Stock that does not change from one snapshot to the next is stored once, with the first and the
+    last of the days at which it holds, so the rows grow with the changes and not with the days.
+    The rows of a call lie in a folder of their own, and the partition of a day names that folder;
+    it is written last, so a failed call changes no snapshot.  Folders that no day names any more
+    are left where they are.
     """
+    spark = ledger.sparkSession
     first, last = min(days), max(days)
     moved = _moved(ledger, first + dt.timedelta(days=1), today)
     held = _stretches(current(stock), moved, today, first, last)
     wanted = F.filter(F.array(*map(F.lit, sorted(days))), lambda d: d.between(F.col("from"), F.col("to")))
+    rows = f"rows-{uuid.uuid4().hex}"
+    held.select(
+        *STOCK_KEYS, "amount", F.array_min(wanted).alias("since"), F.array_max(wanted).alias("until")
+    ).where(F.col("since").isNotNull()).write.parquet(f"{folder}/{rows}")
     (
-        held.select(*STOCK_KEYS, "amount", F.explode(wanted).alias("snapshot_day"))
-        .hint("rebalance", F.col("snapshot_day"))
+        spark.range(1)
+        .select(F.lit(rows).alias("rows"), F.explode(F.array(*map(F.lit, sorted(days)))).alias("snapshot_day"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_day")
-        .parquet(folder)
+        .parquet(f"{folder}/{_DAYS}")
     )
 
 
+def read_snapshot(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
+    """(keys, ``amount``) of the snapshot of a day."""
+    rows = spark.read.schema("rows string").parquet(f"{folder}/{_DAYS}/snapshot_day={day}").first()["rows"]
+    held = spark.read.parquet(f"{folder}/{rows}")
+    return held.where(F.lit(day).between(F.col("since"), F.col("until"))).select(*STOCK_KEYS, "amount")
+
+
 def snapshot_days(spark: SparkSession, folder: str) -> list[dt.date]:
     """Days that have a snapshot, from the names of the partitions."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    found = files.globStatus(path(f"{folder}/snapshot_day=*")) or []
+    found = files.globStatus(path(f"{folder}/{_DAYS}/snapshot_day=*")) or []
     return sorted(dt.date.fromisoformat(f.getPath().getName().partition("=")[2]) for f in found)
 
 
@@ -124,11 +143,21 @@ def stock_stretches(
     if not usable:
         raise ValueError("no snapshot before the first or after the last day")
     at = nearest(usable, first, last)
-    base = spark.read.parquet(folder).where(F.col("snapshot_day") == F.lit(at)).drop("snapshot_day")
+    base = read_snapshot(spark, folder, at)
     since, until = (at, last) if at < first else (first, at)
     return _stretches(base, _moved(ledger, since + dt.timedelta(days=1), until), at, first, last)
 
 
+def valued_stretches(
+    folder: str, ledger: DataFrame, stock: DataFrame, batches: DataFrame, first: dt.date, last: dt.date
+) -> DataFrame:
+    """Valued stock from ``first`` to ``last`` as stretches of days; stock meets what is held first."""
+    prices = stock.select(*STOCK_KEYS, "price", "flow_price")
+    cost = batches.select(*BATCH_KEYS, "supplier_code", "cost_price")
+    held = stock_stretches(folder, ledger, first, last).join(prices, list(STOCK_KEYS)).join(cost, BATCH_KEYS)
+    return held.withColumnsRenamed({"goods_code": "product_code", "location_code": "station_code"})
+
+
 def stock_from_snapshot(
     folder: str, ledger: DataFrame, stock: DataFrame, batches: DataFrame, first: dt.date, last: dt.date
 ) -> DataFrame:
@@ -136,13 +165,13 @@ def stock_from_snapshot(
 
     Long stretches become many rows, so they are dealt over all tasks before they are written out.
     """
-    held = stock_stretches(folder, ledger, first, last).join(valued(stock, batches), list(STOCK_KEYS))
+    held = valued_stretches(folder, ledger, stock, batches, first, last)
     return held.hint("rebalance").select(
         F.explode(F.sequence("from", "to")).alias("date"),
         "batch_no",
         "supplier_code",
-        F.col("goods_code").alias("product_code"),
-        F.col("location_code").alias("station_code"),
+        "product_code",
+        "station_code",
         "storage",
         "amount",
         "price",
