@@ -89,3 +89,20 @@ def test_unchanged_stock_is_stored_once_for_many_days(spark, tmp_path):
     assert amounts(days[3]) == amounts(D(2020, 4, 15)) == {1: 46, 2: 70}
     assert {d: amounts(d) for d in days if d != days[3]} == {d: v for d, v in before.items() if d != days[3]}
     assert stockdays.snapshot_days(spark, folder) == sorted([*days, D(2020, 4, 15)])
+
+
+def test_filtered_changes_do_not_move_valued_stock(spark, facts, no_broadcast):
+    ledger, held, batches, *_ = facts
+    got = stock.stock_change_center(ledger, batches, per_key(held)).where("bill_type = 'SALE'")
+    found = shuffles(got)
+    # ledger and stock to their key, the rows found and the batches to the batch
+    assert len(found) == 4 and found.count("batch_no, goods_code") == 2
+
+
+def test_shortage_days_are_those_of_the_change_rows(facts, no_broadcast):
+    ledger, held, batches, *_ = facts
+    changes = stock.stock_change_center(ledger, batches, held)
+    day = D(2020, 1, 30)
+    bounded = stock.stock_change_center(ledger, batches, held, day - dt.timedelta(days=59), day)
+    got, want = (sorted(map(str, shortage.trailing_sales(c, day).collect())) for c in (bounded, changes))
+    assert got == want and got

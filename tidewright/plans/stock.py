@@ -31,14 +31,27 @@ def _changes(ledger: DataFrame, batches: DataFrame, stock: DataFrame, first: Day
     moved = ledger.where(on_days(F.col("create_time"), first, last)).withColumnsRenamed(
         {"from_location_code": "location_code", "from_location_storage": "storage"}
     )
-    # Price and cost meet first: both are far smaller than the ledger, which is shuffled once.
-    return split_join(moved, valued(stock, batches), STOCK_KEYS)
+    return _with_values(moved, batches, stock, moved)
+
+
+def _with_values(moved: DataFrame, batches: DataFrame, stock: DataFrame, keys_of: DataFrame) -> DataFrame:
+    """Rows at stock keys with the price of their stock and the cost and supplier of their batch.
+
+    Stock may have as many rows as the ledger, of which often only a few days or one kind are
+    wanted, so stock is moved to its keys only and the rows go on to the batches.
+    """
+    prices = stock.select(*STOCK_KEYS, "price", "flow_price")
+    priced = split_join(moved, prices, STOCK_KEYS, keys_of=keys_of)
+    return split_join(priced, _costs(batches), BATCH_KEYS, keys_of=keys_of)
+
+
+def _costs(batches: DataFrame) -> DataFrame:
+    return batches.select(*BATCH_KEYS, "supplier_code", "cost_price")
 
 
 def valued(stock: DataFrame, batches: DataFrame) -> DataFrame:
     """Stock keys with their price and the cost and supplier of their batch."""
-    cost = batches.select("batch_no", "goods_code", "supplier_code", "cost_price")
-    return stock.select(*STOCK_KEYS, "price", "flow_price").join(cost, ["batch_no", "goods_code"])
+    return stock.select(*STOCK_KEYS, "price", "flow_price").join(_costs(batches), BATCH_KEYS)
 
 
 def _change_columns():
