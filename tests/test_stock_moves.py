@@ -66,6 +66,42 @@ def per_key(held):
     )
 
 
+def test_back_rolled_stock_with_odd_keys(facts):
+    ledger, held, batches, moves, stock_rows, batch_rows = facts
+    first, last = D(2020, 1, 20), D(2020, 1, 24)
+    want = []
+    for b, g, s, bay, price, flow, _ in stock_rows:
+        if None in (g, s, bay):
+            continue
+        now = sum(r[6] for r in stock_rows if r[:4] == (b, g, s, bay) and (r[6] or 0) > 0)
+        for offset in range(5):
+            day = first + dt.timedelta(days=offset)
+            later = sum((1 if m[4] == "IN_STORAGE" else -1) * m[7] for m in moves if m[:4] == (b, g, s, bay) and m[11].date() > day)
+            want += [
+                (day, b, supplier, g, s, bay, now - later, price, flow, cost)
+                for x, y, supplier, cost in batch_rows if (x, y) == (b, g) and now != later
+            ]
+    for by in ((), ("product_code",)):
+        got = stock.back_rolled_stock(held, ledger, batches, first, last, by=by)
+        assert got.schema["amount"].dataType.simpleString() == "decimal(38,2)"
+        assert sorted((*r[:6], int(r["amount"]), *r[7:]) for r in got.collect()) == sorted(want)
+
+
+def test_stock_is_moved_once_and_days_are_written_last(spark, facts, no_broadcast):
+    ledger, held, batches, *_ = facts
+    products = spark.createDataFrame([(1, "c", "new"), (2, "c", "old")], "product_code long, category_two_name string, product_state string")
+    place = spark.createDataFrame([(1, 5, "five"), (2, 5, "five")], "new_station_code long, logistic_code long, logistics_name string")
+    names = spark.createDataFrame([(7, "seven")], "supplier_code long, supplier_name string")
+    daily = stock.back_rolled_stock(per_key(held), ledger, batches, D(2020, 1, 20), D(2020, 1, 24), by=["product_code"])
+    found = shuffles(daily)
+    # movements to key and day, then to their key; stock to its key; both to the batch, then by product
+    assert len(found) == 6 and found.count("batch_no, goods_code") == 2
+    sums = daily.groupBy("date", "station_code", "product_code").agg(F.sum("amount"))
+    assert shuffles(sums) == found  # (day, station, product) are not moved again
+    got = suppliers.supplier_stock(daily, products, place, names)
+    assert not [x for x in shuffles(got) if x.startswith("date, station_code")]
+
+
 def test_unchanged_stock_is_stored_once_for_many_days(spark, tmp_path):
     days = [D(2020, m, 1) for m in range(1, 13)]
     ledger = spark.createDataFrame([("B1", 1, 1, "NORMAL", "IN_STORAGE", 4, noon(D(2020, 5, 5)))], (

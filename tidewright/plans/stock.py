@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -244,62 +245,82 @@ def book_stock_change(
 
 def back_rolled_stock(
     stock: DataFrame, ledger: DataFrame, batches: DataFrame, first: dt.date, last: dt.date,
-    today: Day = None,
+    today: Day = None, by: Sequence[str] = (),
 ) -> DataFrame:
     """Stock at the end of each day from ``first`` to ``last``, non-zero rows only.
 
     Stock of a day is the current stock with all later movements undone.  Movements collapse to
-    one row per key and day; a window over those (a key has at most one row per day) gives the
-    stock from one change to the next, and each stretch is then written out day by day.  All days
-    come from one read of the ledger.
+    one row per key and day; a window over those (a key has at most one row per day) gives what
+    is undone from one change to the next, and each stretch is then written out day by day.  All
+    days come from one read of the ledger.
+
+    Most stock has not moved since, so the movements go to the stock, which is read once; only
+    what is not zero goes on to the batches.  Columns in ``by``, which a caller groups or joins by
+    afterwards, deal the stretches before they become many rows.
     """
     keys = list(STOCK_KEYS)
     after = last + dt.timedelta(days=1)
     upper = None if today is None else today - dt.timedelta(days=1)
     undone = F.col("amount") * -storage_sign(F.col("bill_purpose"))
-    moved = (
+    # Every key that moved also has a day after the last one, where nothing is undone yet.
+    days = F.array(
+        F.struct(F.least(F.to_date("create_time"), F.lit(after)).alias("_day"), undone.cast(_AMOUNT).alias("_change")),
+        F.struct(F.lit(after).alias("_day"), F.lit(0).cast(_AMOUNT).alias("_change")),
+    )
+    changes = (
         ledger.where(on_days(F.col("create_time"), first + dt.timedelta(days=1), upper))
         .select(
             "batch_no",
             "goods_code",
             F.col("from_location_code").alias("location_code"),
             F.col("from_location_storage").alias("storage"),
-            F.least(F.to_date("create_time"), F.lit(after)).alias("_day"),
-            undone.cast("decimal(18,2)").alias("_change"),
+            F.inline(days),
         )
-    )
-    now = stock.where("available_amount > 0").select(
-        *keys,
-        F.lit(after).alias("_day"),
-        F.col("available_amount").cast("decimal(18,2)").alias("_change"),
-    )
-    changes = (
-        moved.unionByName(now).groupBy(*keys, "_day").agg(F.sum("_change").alias("_change"))
+        .groupBy(*keys, "_day")
+        .agg(F.sum("_change").alias("_change"))
     )
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("_day"))
     so_far = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Between two changes the stock is the sum of the later ones; before the earliest change the
-    # stretch begins with the first day asked for.
+    # Between two changes the later ones are undone; before the earliest change the stretch begins
+    # with the first day asked for.
     stretches = changes.select(
         *keys,
         F.coalesce(F.lead("_day").over(newest_first), F.lit(first)).alias("_from"),
         F.date_sub("_day", 1).alias("_to"),
-        F.sum("_change").over(so_far).alias("amount"),
-    ).where(F.col("amount") != 0)
-    return (
-        stretches.join(valued(stock, batches), keys)
+        F.sum("_change").over(so_far).alias("_undone"),
+    )
+    # A key has one amount however many rows of stock it has.
+    available = F.when(F.col("available_amount") > 0, F.col("available_amount")).cast(_AMOUNT)
+    now = stock.where(F.col("location_code").isNotNull() & F.col("storage").isNotNull()).select(
+        *keys, "price", "flow_price", F.sum(available).over(Window.partitionBy(*keys)).alias("_now")
+    )
+    zero = F.lit(0).cast(_AMOUNT)
+    amount = F.coalesce("_now", zero) + F.coalesce("_undone", zero)
+    held = (
+        now.join(stretches, keys, "left")
         .select(
-            F.explode(F.sequence("_from", "_to")).alias("date"),
-            "batch_no",
-            "supplier_code",
-            F.col("goods_code").alias("product_code"),
-            F.col("location_code").alias("station_code"),
-            "storage",
-            "amount",
-            "price",
-            "flow_price",
-            "cost_price",
+            *keys, "price", "flow_price",
+            F.coalesce("_from", F.lit(first)).alias("_from"),
+            F.coalesce("_to", F.lit(last)).alias("_to"),
+            amount.cast("decimal(38,2)").alias("amount"),
         )
+        .where(F.col("amount") != 0)
+        .join(_costs(batches), BATCH_KEYS)
+        .withColumnsRenamed({"goods_code": "product_code", "location_code": "station_code"})
+    )
+    if by:
+        held = held.repartition(*by)
+    return held.select(
+        F.explode(F.sequence("_from", "_to")).alias("date"),
+        "batch_no",
+        "supplier_code",
+        "product_code",
+        "station_code",
+        "storage",
+        "amount",
+        "price",
+        "flow_price",
+        "cost_price",
     )
 
 

@@ -23,8 +23,8 @@ def _changes(t: Tables):
     return stock.stock_change_erp(t.ledger, t.batches, t.stock, t.papers)
 
 
-def _daily(t: Tables, first: dt.date = FIRST, last: dt.date = LAST):
-    return stock.back_rolled_stock(t.stock, t.ledger, t.batches, first, last)
+def _daily(t: Tables, first: dt.date = FIRST, last: dt.date = LAST, by: tuple[str, ...] = ("product_code",)):
+    return stock.back_rolled_stock(t.stock, t.ledger, t.batches, first, last, by=by)
 
 
 def stock_change_erp(t: Tables):
@@ -66,7 +66,7 @@ def fine_by_category(t: Tables):
 
 
 def stock_backroll(t: Tables):
-    return plain(_daily(t))
+    return plain(_daily(t, by=()))
 
 
 def stock_snapshot(t: Tables):
