@@ -127,6 +127,52 @@ def test_unchanged_stock_is_stored_once_for_many_days(spark, tmp_path):
     assert stockdays.snapshot_days(spark, folder) == sorted([*days, D(2020, 4, 15)])
 
 
+def combined(spark, folder, ledger, held, batches, *span):
+    """The job on stored tables, so that filters show at the scans."""
+    lines = ledger.select("bill_code", "create_time").where("bill_code < 4").distinct()
+    tables = {
+        "ledger": ledger, "stock": per_key(held), "batches": batches,
+        "papers": lines.selectExpr("bill_code", "create_time", "bill_code % 2 AS origin_bill_code"),
+        "orders": spark.createDataFrame([(0, "x"), (1, "y")], "sale_order_code long, sale_type string").join(
+            ledger.select("create_time").distinct()),
+        "gifts": spark.createDataFrame([(0, None, "a"), (1, 0, None), (2, 9, None)], "code long, related_bill_code long, describe_des string"),
+        "center": lines.where("bill_code = 2"),
+        "lines": ledger.selectExpr("bill_code % 2 AS sale_order_code", "goods_code AS product_code", "create_time").where("product_code = 1"),
+    }
+    for name, table in tables.items():
+        table.write.mode("ignore").parquet(f"{folder}/{name}")
+        tables[name] = spark.read.parquet(f"{folder}/{name}")
+    t = tables
+    return stock.stock_change_combined(
+        t["ledger"], t["batches"], t["stock"], t["papers"], t["orders"], t["gifts"], t["center"], t["lines"], "given", *span
+    )
+
+
+def test_change_rows_are_not_computed_to_count_keys(spark, tmp_path, facts, no_broadcast, monkeypatch):
+    counted = []
+    keep = skew._count_hot
+
+    def count(df, keys):
+        counted.append(df.select(*keys)._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, keys)
+
+    monkeypatch.setattr(skew, "_FOUND", {})
+    monkeypatch.setattr(skew, "_count_hot", count)
+    rows = combined(spark, f"file://{tmp_path}", *facts[:3]).collect()
+    assert counted and not [x for x in counted if "cost_price" in x]
+    assert len(rows) > 20 and {r["present_reason"] for r in rows} == {"a", "given", stock.SALE_GIFT, None}
+
+
+def test_documents_of_other_days_stay_out(spark, tmp_path, facts):
+    folder, (first, last) = f"file://{tmp_path}", (D(2020, 1, 10), D(2020, 1, 14))
+    whole, span = combined(spark, folder, *facts[:3]), combined(spark, folder, *facts[:3], first, last)
+    want = whole.where(F.col("date").between(F.lit(first), F.lit(last)))
+    assert sorted(map(str, span.collect())) == sorted(map(str, want.collect()))
+    plan = span._jdf.queryExecution().optimizedPlan().toString()
+    bounded = [x for x in plan.splitlines() if "Filter" in x and "2020-01-10" in x]
+    assert len(bounded) == 5  # ledger, papers, orders, center gifts, gift lines
+
+
 def test_filtered_changes_do_not_move_valued_stock(spark, facts, no_broadcast):
     ledger, held, batches, *_ = facts
     got = stock.stock_change_center(ledger, batches, per_key(held)).where("bill_type = 'SALE'")

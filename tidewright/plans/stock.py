@@ -139,18 +139,14 @@ def stock_change_combined(
     ``gifts`` is (code, related_bill_code, describe_des, create_time), ``center_gifts`` the bill
     codes and times of the older system, ``gift_lines`` the orders and products given away.
     """
-    rows = _changes(ledger, batches, stock, first, last).select(
-        *_change_columns(),
-        F.when(F.col("origin_system") == "YH", F.col("update_time"))
-        .otherwise(F.col("create_time"))
-        .alias("create_time"),
-    )
-    papers = collected.select(
+    # Documents are found by day, so those of other days stay out of the joins.
+    wanted = on_days(F.col("create_time"), first, last)
+    papers = collected.where(wanted).select(
         F.col("bill_code").alias("offset_bill_code"),
         F.to_date("create_time").alias("date"),
         F.col("origin_bill_code").alias("bill_code"),
     )
-    sold = orders.select(
+    sold = orders.where(wanted).select(
         F.col("sale_order_code").alias("bill_code"),
         F.to_date("create_time").alias("date"),
         "sale_type",
@@ -158,32 +154,52 @@ def stock_change_combined(
     own = gift_reasons(gifts).select(
         F.col("code").alias("offset_bill_code"), F.col("present_reason").alias("_own")
     )
-    center = center_gifts.select(
+    center = center_gifts.where(wanted).select(
         F.col("bill_code").alias("offset_bill_code"),
         F.to_date("create_time").alias("date"),
         F.lit(center_gift_label).alias("_center"),
     ).distinct()
-    with_sale = gift_lines.select(
+    with_sale = gift_lines.where(wanted).select(
         F.col("sale_order_code").alias("bill_code"),
         F.to_date("create_time").alias("date"),
         "product_code",
         F.lit(SALE_GIFT).alias("_sale"),
     ).distinct()
     # Everything known per document is put together first, so the many ledger rows of a document
-    # meet it in one join whose hot keys can be seen in the ledger.
+    # meet it in one join whose hot keys can be seen in the ledger.  Rows without a document drop
+    # out there, before they are moved to their stock.
     documents = (
         papers.join(sold, ["bill_code", "date"], "left")
         .join(own, "offset_bill_code", "left")
         .join(center, ["offset_bill_code", "date"], "left")
     )
-    scanned = ledger.where(on_days(F.col("create_time"), first, last)).select(
+    moved = ledger.where(wanted).withColumnsRenamed(
+        {"from_location_code": "location_code", "from_location_storage": "storage"}
+    )
+    scanned = moved.select(
         F.col("bill_code").alias("offset_bill_code"), F.to_date("create_time").alias("date")
     )
+    papered = split_join(
+        moved.withColumnRenamed("bill_code", "offset_bill_code").withColumn("date", F.to_date("create_time")),
+        documents, ["offset_bill_code", "date"], keys_of=scanned,
+    ).withColumnsRenamed({"bill_code": "_bill", "offset_bill_code": "bill_code"})
+    found = ["sale_type", "_own", "_center"]
+    rows = _with_values(papered, batches, stock, moved).select(
+        *_change_columns(),
+        F.when(F.col("origin_system") == "YH", F.col("update_time"))
+        .otherwise(F.col("create_time"))
+        .alias("create_time"),
+        F.col("_bill").alias("bill_code"),
+        *found,
+    )
+    # Where a gift line may be hot is seen without stock and batches.
+    sale_keys = moved.select(
+        F.col("bill_code").alias("offset_bill_code"),
+        F.to_date("create_time").alias("date"),
+        F.col("goods_code").alias("product_code"),
+    ).join(papers, ["offset_bill_code", "date"])
     return (
-        split_join(
-            split_join(rows, documents, ["offset_bill_code", "date"], keys_of=scanned),
-            with_sale, ["bill_code", "date", "product_code"], "left",
-        )
+        split_join(rows, with_sale, ["bill_code", "date", "product_code"], "left", keys_of=sale_keys)
         .withColumn("present_reason", F.coalesce("_own", "_center", "_sale"))
         .drop("_own", "_center", "_sale")
     )
