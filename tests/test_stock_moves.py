@@ -181,6 +181,19 @@ def test_filtered_changes_do_not_move_valued_stock(spark, facts, no_broadcast):
     assert len(found) == 4 and found.count("batch_no, goods_code") == 2
 
 
+def test_changes_go_straight_to_their_product(spark, facts, no_broadcast):
+    ledger, held, batches, *_ = facts
+    products = spark.createDataFrame([(1, *"abcdefgh"), (2, *"abcdefgh"), (2, *"abcdefgh")], ["product_code", *stock.PRODUCT_NAMES])
+    bays = spark.createDataFrame([("NORMAL", "n")], "storage_code string, storage_name string")
+    changes = stock.stock_change_center(ledger, batches, held).drop("bill_code")
+    scanned = ledger.select(F.col("goods_code").alias("product_code"))
+    plainly = stock.book_stock_change(changes, products, bays)
+    straight = stock.book_stock_change(changes, products, bays, keys_of=scanned)
+    assert sorted(map(str, straight.collect())) == sorted(map(str, plainly.collect()))
+    assert [x for x in shuffles(plainly) if x.startswith("date")]
+    assert not [x for x in shuffles(straight) if x.startswith("date")]
+
+
 def test_shortage_days_are_those_of_the_change_rows(facts, no_broadcast):
     ledger, held, batches, *_ = facts
     changes = stock.stock_change_center(ledger, batches, held)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import storage_sign
 from ..functions.dates import on_days
-from ..operators.skew import split_join
+from ..operators.skew import hot_hashes, split_join
 from ..sources.bucketed import join_bucketed
 from .ledger import STOCK_KEYS
 
@@ -224,12 +224,13 @@ def gift_reasons(gifts: DataFrame) -> DataFrame:
 
 def book_stock_change(
     changes: DataFrame, products: DataFrame, storages: DataFrame, first: Day = None,
-    last: Day = None,
+    last: Day = None, keys_of: DataFrame | None = None,
 ) -> DataFrame:
     """Money, amount and cost moved per day, station, bay and product.
 
     Rows collapse to (day, station, bay, product) before any dimension is joined, so a product
-    that moves all the time meets the joins as few rows.
+    that moves all the time meets the joins as few rows.  Where ``keys_of``, the scan the changes
+    came from, has no such product, rows go straight to the task that sums and names them.
     """
     sign = -F.col("in_out_flag")
     amount = F.col("amount") * sign
@@ -238,9 +239,11 @@ def book_stock_change(
         keep = keep & (F.col("date") >= F.lit(first))
     if last is not None:
         keep = keep & (F.col("date") <= F.lit(last))
+    rows = changes.where(keep)
+    if keys_of is not None and not hot_hashes(keys_of, ["product_code"]):
+        rows = rows.repartition("product_code")
     sums = (
-        changes.where(keep)
-        .groupBy("date", "station_code", "storage", "product_code")
+        rows.groupBy("date", "station_code", "storage", "product_code")
         .agg(
             F.sum(amount * F.col("price")).alias("change_money"),
             F.sum(amount).alias("change_amount"),

@@ -57,7 +57,8 @@ def stock_change_combined(t: Tables):
 
 
 def book_stock_change(t: Tables):
-    return plain(stock.book_stock_change(_changes(t), t.products, t.storages))
+    scanned = t.ledger.select(F.col("goods_code").alias("product_code"))
+    return plain(stock.book_stock_change(_changes(t), t.products, t.storages, keys_of=scanned))
 
 
 def fine_by_category(t: Tables):
