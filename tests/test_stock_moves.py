@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Row
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tidewright.operators import skew
 from tidewright.plans import shortage, stock, stockdays, suppliers
+from tidewright.registry import stored
+from tidewright.registry.common import plain
 
 D = dt.date
 LEDGER = (
@@ -102,6 +105,27 @@ def test_stock_is_moved_once_and_days_are_written_last(spark, facts, no_broadcas
     assert not [x for x in shuffles(got) if x.startswith("date, station_code")]
 
 
+@pytest.mark.parametrize("least", [2, 100])
+def test_days_of_a_month_are_written_after_all_moves(facts, no_broadcast, monkeypatch, least):
+    ledger, held, batches, *_ = facts
+    batches = batches.withColumn("cost_price", F.when(F.col("cost_price") >= least, F.col("cost_price")))
+    month = D(2020, 1, 20), D(2020, 1, 24)
+    monkeypatch.setattr(stored, "MONTH", month)
+    got = stored.stock_backroll_month(SimpleNamespace(stock=held, ledger=ledger, batches=batches))
+    assert not [x for x in shuffles(got) if re.search(r"\bdate\b", x)]
+    amount = F.col("amount")
+    want = plain(
+        stock.back_rolled_stock(held, ledger, batches, *month).groupBy("date", "station_code", "storage").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(amount).alias("amount"),
+            F.sum(amount * F.col("price")).alias("money"), F.sum(amount * F.col("cost_price")).alias("cost"),
+        )
+    )
+    assert got.schema.simpleString() == want.schema.simpleString()
+    rows = sorted(map(str, got.collect()))
+    assert rows == sorted(map(str, want.collect())) and len(rows) > 5
+    assert ("cost=None" in rows[0]) == (least == 100)  # nothing to add up
+
+
 def test_unchanged_stock_is_stored_once_for_many_days(spark, tmp_path):
     days = [D(2020, m, 1) for m in range(1, 13)]
     ledger = spark.createDataFrame([("B1", 1, 1, "NORMAL", "IN_STORAGE", 4, noon(D(2020, 5, 5)))], (

@@ -264,7 +264,7 @@ def book_stock_change(
 
 def back_rolled_stock(
     stock: DataFrame, ledger: DataFrame, batches: DataFrame, first: dt.date, last: dt.date,
-    today: Day = None, by: Sequence[str] = (),
+    today: Day = None, by: Sequence[str] = (), stretches: bool = False,
 ) -> DataFrame:
     """Stock at the end of each day from ``first`` to ``last``, non-zero rows only.
 
@@ -275,7 +275,8 @@ def back_rolled_stock(
 
     Most stock has not moved since, so the movements go to the stock, which is read once; only
     what is not zero goes on to the batches.  Columns in ``by``, which a caller groups or joins by
-    afterwards, deal the stretches before they become many rows.
+    afterwards, deal the stretches before they become many rows.  With ``stretches`` they are not
+    written out: a row holds from ``from`` to ``to`` instead of at ``date``.
     """
     keys = list(STOCK_KEYS)
     after = last + dt.timedelta(days=1)
@@ -302,7 +303,7 @@ def back_rolled_stock(
     so_far = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Between two changes the later ones are undone; before the earliest change the stretch begins
     # with the first day asked for.
-    stretches = changes.select(
+    rolled = changes.select(
         *keys,
         F.coalesce(F.lead("_day").over(newest_first), F.lit(first)).alias("_from"),
         F.date_sub("_day", 1).alias("_to"),
@@ -316,7 +317,7 @@ def back_rolled_stock(
     zero = F.lit(0).cast(_AMOUNT)
     amount = F.coalesce("_now", zero) + F.coalesce("_undone", zero)
     held = (
-        now.join(stretches, keys, "left")
+        now.join(rolled, keys, "left")
         .select(
             *keys, "price", "flow_price",
             F.coalesce("_from", F.lit(first)).alias("_from"),
@@ -329,8 +330,11 @@ def back_rolled_stock(
     )
     if by:
         held = held.repartition(*by)
+    days = [F.explode(F.sequence("_from", "_to")).alias("date")]
+    if stretches:
+        days = [F.col("_from").alias("from"), F.col("_to").alias("to")]
     return held.select(
-        F.explode(F.sequence("_from", "_to")).alias("date"),
+        *days,
         "batch_no",
         "supplier_code",
         "product_code",
