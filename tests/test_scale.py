@@ -99,6 +99,56 @@ def test_payments_are_summed_by_the_number_of_a_class(spark, shop):
     assert [g[1] for g in got] == pytest.approx([w[1] for w in want])
 
 
+def test_pairs_of_lines_and_payments_are_not_moved(spark, shop):
+    orders, details, products, stations = shop
+    orders = orders.withColumn("real_money", F.col("sale_order_code").cast("decimal(12,2)") - 2)  # order 2 has none
+    goods = products.selectExpr(
+        "*", "concat('I', product_code) AS product_isbn", "'p' AS product_name", "CAST(1 AS DECIMAL(12,2)) AS product_price",
+        "3L AS supplier_code", "'s' AS supplier_name",
+    )
+    payments = spark.createDataFrame(
+        [(1, 1, 13.0), (1, 2, 5.0), (1, 3, 2.0), (1, 9, 4.0), (2, 2, 5.0), (None, 1, 7.0), (1, 4, None)],
+        "sale_order_code long, pay_method_code long, m double",
+    ).selectExpr("sale_order_code", "pay_method_code", "CAST(m AS DECIMAL(14,4)) AS actual_money")
+    methods = spark.createDataFrame(
+        [(1, "cash"), (2, "card"), (3, "cash"), (4, None)], "pay_method_code long, pay_method_name string"
+    )
+    more = orders.where("sale_order_code = 1").withColumn("sale_order_code", F.lit(7).cast("long"))  # not paid
+    orders = orders.unionByName(more)
+    details = details.unionByName(details.where("sale_order_code = 1").withColumn("sale_order_code", F.lit(7).cast("long")))
+
+    def build():
+        return sales.money_section(orders, details, payments, methods, goods, stations)
+
+    found = _no_broadcast(spark, build)
+    assert not [x for x in found if "create_date" in x]
+    assert len([x for x in found if x.startswith("product_code#") and "," not in x.rpartition(",")[0]]) == 2
+    keys = ["create_date", "sale_type_name", "station_code", "product_code"]
+    share = F.try_divide(F.col("money").cast("double"), F.col("real_money").cast("double")).cast("decimal(19,12)")
+    lines = details.join(
+        orders.select("sale_order_code", F.to_date("create_time").alias("create_date"), *keys[1:3], "real_money"), "sale_order_code"
+    ).groupBy("sale_order_code", *keys, "real_money").agg(F.sum(F.col("sale_real_price") * F.col("sale_amount")).alias("money"))
+    paid = payments.join(methods, "pay_method_code").groupBy("sale_order_code", "pay_method_name").agg(F.sum("actual_money").alias("paid"))
+    sums = lines.join(paid, "sale_order_code", "left").groupBy(*keys, "pay_method_name").agg(
+        F.sum(share * F.col("paid").cast("decimal(18,4)")).alias("receivables_money")
+    )
+    place = stations.withColumnsRenamed({"new_station_code": "station_code", "new_station_name": "station_name"})
+    want = sums.join(place, "station_code").join(goods.drop("fina_category_name"), "product_code").withColumnRenamed("create_date", "create_time")
+    rows = sorted(map(str, want.select(*sorted(want.columns)).collect()))
+    assert len(rows) > 20 and "pay_method_name=None" in "".join(rows)
+
+    def got():
+        df = build()
+        return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+    assert got() == rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert got() == rows  # every key counts as hot in so few rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 def test_goods_are_joined_last(spark, shop):
     orders, details, _, stations = shop
     sums = orders.selectExpr("station_code", "sale_order_code AS product_code", "2 AS n")

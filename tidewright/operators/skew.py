@@ -82,3 +82,27 @@ def split_join(
         "_slice", F.explode(F.when(is_hot, every).otherwise(F.array(zero)))
     )
     return dealt.join(repeated, [*keys, "_slice"], how).drop("_slice")
+
+
+def deal_groups(
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], group: Sequence[str], keys_of: DataFrame
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Facts dealt by ``keys``, for sums by ``keys`` and ``group`` that are joined to ``lookup`` next.
+
+    Neither the sums nor the join move a row again.  Rows of hot keys are dealt over SLICES by their
+    group, which so stays whole, and their lookup rows are repeated once per slice.  Returns both
+    sides and the columns they meet on; these belong to the keys of the sums.
+    """
+    hot = hot_hashes(keys_of, keys)
+    if not hot:
+        return facts.repartition(*keys), lookup, list(keys)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    zero = F.lit(0).cast("long")
+    place = F.pmod(F.xxhash64(*group), F.lit(SLICES))
+    every = F.sequence(zero, F.lit(SLICES - 1).cast("long"))
+    on = [*keys, "_slice"]
+    return (
+        facts.withColumn("_slice", F.when(is_hot, place).otherwise(zero)).repartition(*on),
+        lookup.withColumn("_slice", F.explode(F.when(is_hot, every).otherwise(F.array(zero)))),
+        on,
+    )

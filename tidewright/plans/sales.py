@@ -12,7 +12,7 @@ from ..functions.codes import hour_band
 from ..functions.dates import on_days
 from ..operators.allocate import AMOUNT_TYPE, SHARE_TYPE, ratio, shares, spread
 from ..operators.numbering import surrogate_ids
-from ..operators.skew import split_join
+from ..operators.skew import deal_groups, hot_hashes, split_join
 
 Day = dt.date | None
 CATEGORIES = (
@@ -78,6 +78,32 @@ def _classes(products: DataFrame, *categories: str) -> tuple[DataFrame, DataFram
     return products.alias("p").join(names.alias("n"), same).select("p.product_code", "n._class"), names
 
 
+def _placed(orders: DataFrame, place: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Orders with the columns of their station, and the names of these.
+
+    Orders are fewer than what is summed of them, so the station meets the order.  A place that is
+    listed more than once is to give that many rows, ``_places``, after the sums.
+    """
+    counted = place.groupBy(*place.columns).agg(F.count(F.lit(1)).alias("_places"))
+    columns = [c for c in place.columns if c != "station_code"]
+    return split_join(orders, counted, ["station_code"]), [*columns, "_places"]
+
+
+def _each_place(sums: DataFrame) -> DataFrame:
+    """One row for each time a place is listed."""
+    times = F.sequence(F.lit(1).cast("long"), F.col("_places"))
+    return sums.withColumn("_place", F.explode(times)).drop("_place", "_places")
+
+
+def _by_order(rows: DataFrame, scan: DataFrame) -> DataFrame:
+    """Rows dealt by order, so that no sum of an order's rows moves them again.
+
+    Where the scan behind them has an order with too many rows for a task, they stay where they are
+    and collapse to the sums before these move.
+    """
+    return rows if hot_hashes(scan, ["sale_order_code"]) else rows.repartition("sale_order_code")
+
+
 def _with_place_and_goods(sums: DataFrame, place: DataFrame, goods: DataFrame) -> DataFrame:
     """Sums with the columns of their station and product; the wider products come last, so that no
     shuffle moves them once for every row."""
@@ -135,28 +161,23 @@ def sale_by_category_and_order(
         "station_region_code",
         "station_region_name",
     )
-    # Orders are fewer than their sums, so the station meets the order.  A place that is listed
-    # more than once gives that many rows, after the sums.
-    counted = place.groupBy(*place.columns).agg(F.count(F.lit(1)).alias("_places"))
-    placed = split_join(wanted, counted, ["station_code"])
+    placed, places = _placed(wanted, place)
     codes, names = _classes(products, *CATEGORY_CODES, *CATEGORIES)
     keys = [
         "date", "sale_order_code", "in_out_flag", "station_code", "sale_type", "sale_type_name",
         "is_member",
     ]
-    places = [c for c in place.columns if c != "station_code"]
     measures = {
         "sale_amount": "sale_amount", "sale_money": "sale_totalmoney", "sale_real_money": "sale_realmoney"
     }
     sums = (
         _bought(details, placed, codes, _some(first, last))
-        .groupBy(*keys, *places, "_places", "_class")
+        .groupBy(*keys, *places, "_class")
         .agg(*[F.sum(F.col(c) * F.col("in_out_flag")).alias(name) for c, name in measures.items()])
-        .withColumn("_place", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_places"))))
     )
     rest = [k for k in keys if k != "station_code"]
-    return sums.join(names, "_class").select(
-        "station_code", *rest, *CATEGORY_CODES, *CATEGORIES, *measures.values(), *places
+    return _each_place(sums).join(names, "_class").select(
+        "station_code", *rest, *CATEGORY_CODES, *CATEGORIES, *measures.values(), *[c for c in places if c != "_places"]
     )
 
 
@@ -255,39 +276,52 @@ def money_section(
     """Receipts per station, product and payment method, by each product's part in its order.
 
     Lines and payments are summed per order before they meet: pairing every line with every
-    payment of an order gives the same sums at the product of the two counts.
+    payment of an order gives the same sums at the product of the two counts.  The payments of an
+    order, one per method, go along with its lines as an array, and the pairs are formed where they
+    are summed and named, so no shuffle moves them.
     """
     wanted = _orders(orders, first, last, "sale_type_name", "station_code", "real_money")
-    keys = ["create_date", "sale_type_name", "station_code", "product_code"]
+    place = stations.select(
+        F.col("new_station_code").alias("station_code"),
+        F.col("new_station_name").alias("station_name"),
+        "station_region_code",
+        "station_region_name",
+    )
+    goods = products.select(
+        "product_code", "product_isbn", "product_name", "product_price", *CATEGORIES,
+        *CATEGORY_CODES, "supplier_code", "supplier_name",
+    )
+    placed, places = _placed(wanted, place)
+    by_order = ["create_date", "sale_type_name", "station_code"]
     parts = (
-        _lines(details, wanted)
-        .groupBy("sale_order_code", *keys, "real_money")
+        _lines(details, placed)
+        .groupBy("sale_order_code", *by_order, "product_code", *places, "real_money")
         .agg(F.sum(F.col("sale_real_price") * F.col("sale_amount")).alias("_money"))
         .withColumn("share", ratio(F.col("_money"), F.col("real_money")).cast(SHARE_TYPE))
         .drop("_money", "real_money")
     )
     received = (
-        _only(payments, wanted, first, last)
+        _by_order(_only(payments, wanted, first, last), payments)
         .join(pay_methods.select("pay_method_code", "pay_method_name"), "pay_method_code")
         .groupBy("sale_order_code", "pay_method_name")
-        .agg(F.sum("actual_money").alias("_paid"))
+        .agg(F.sum("actual_money").cast(AMOUNT_TYPE).alias("_paid"))
+        .groupBy("sale_order_code")
+        .agg(F.collect_list(F.struct("pay_method_name", "_paid")).alias("_received"))
+        .select("sale_order_code", "_received.pay_method_name", "_received._paid")
     )
+    rows = split_join(parts, received, ["sale_order_code"], "left", keys_of=details).drop("sale_order_code")
+    rows, goods, on = deal_groups(rows, goods, ["product_code"], by_order, details)
     sums = (
-        split_join(parts, received, ["sale_order_code"], "left", keys_of=details)
-        .groupBy(*keys, "pay_method_name")
-        .agg(F.sum(F.col("share") * F.col("_paid").cast(AMOUNT_TYPE)).alias("receivables_money"))
+        rows.select(*by_order, *on, *places, "share", F.inline_outer(F.arrays_zip("pay_method_name", "_paid")))
+        .groupBy(*by_order, *on, *places, "pay_method_name")
+        .agg(F.sum(F.col("share") * F.col("_paid")).alias("receivables_money"))
     )
-    place = stations.select(
-        F.col("new_station_code").alias("station_code"),
-        F.col("new_station_name").alias("station_name"),
-        "station_region_code",
-        "station_region_name",
-    )
-    goods = products.select(
-        "product_code", "product_isbn", "product_name", "product_price", *CATEGORIES,
-        *CATEGORY_CODES, "supplier_code", "supplier_name",
+    rest = [c for c in [*by_order, "pay_method_name", "receivables_money", *goods.columns, *places] if c not in ("station_code", *on)]
+    return (
+        _each_place(sums.join(goods, on))
+        .select("station_code", "product_code", *[c for c in rest if c != "_places"])
+        .withColumnRenamed("create_date", "create_time")
     )
-    return _with_place_and_goods(sums, place, goods).withColumnRenamed("create_date", "create_time")
 
 
 def marketing_activities(
