@@ -187,6 +187,35 @@ def test_change_rows_are_not_computed_to_count_keys(spark, tmp_path, facts, no_b
     assert len(rows) > 20 and {r["present_reason"] for r in rows} == {"a", "given", stock.SALE_GIFT, None}
 
 
+def test_gift_lines_are_known_before_rows_are_moved(spark, tmp_path, facts, no_broadcast):
+    folder = f"file://{tmp_path}"
+    got = combined(spark, folder, *facts[:3])
+    assert not [x for x in shuffles(got) if "product_code" in x]
+    for name in ("ledger", "stock", "batches", "papers", "orders", "gifts", "center", "lines"):
+        spark.read.parquet(f"{folder}/{name}").createOrReplaceTempView(f"plain_{name}")
+    want = spark.sql(f"""
+        SELECT p.origin_bill_code AS bill_code, to_date(l.create_time) AS date, l.goods_code AS product_code, l.batch_no,
+          b.supplier_code, l.from_location_code AS station_code, l.from_location_storage AS storage, l.amount,
+          CASE l.bill_purpose WHEN 'IN_STORAGE' THEN 1 WHEN 'OUT_STORAGE' THEN -1 END AS in_out_flag, s.price,
+          coalesce(l.inflow_price, l.outflow_price) AS real_price, s.flow_price, b.cost_price, l.bill_type,
+          l.bill_code AS offset_bill_code,
+          CASE WHEN l.origin_system = 'YH' THEN l.update_time ELSE l.create_time END AS create_time, o.sale_type,
+          coalesce(nvl2(g.describe_des, g.describe_des, h.describe_des), c.given, w.given) AS present_reason
+        FROM plain_ledger l
+        JOIN plain_papers p ON p.bill_code = l.bill_code AND to_date(p.create_time) = to_date(l.create_time)
+        JOIN plain_stock s ON s.batch_no = l.batch_no AND s.goods_code = l.goods_code
+          AND s.location_code = l.from_location_code AND s.storage = l.from_location_storage
+        JOIN plain_batches b ON b.batch_no = l.batch_no AND b.goods_code = l.goods_code
+        LEFT JOIN plain_orders o ON o.sale_order_code = p.origin_bill_code AND to_date(o.create_time) = to_date(l.create_time)
+        LEFT JOIN plain_gifts g ON g.code = l.bill_code LEFT JOIN plain_gifts h ON h.code = g.related_bill_code
+        LEFT JOIN (SELECT DISTINCT bill_code, to_date(create_time) AS d, 'given' AS given FROM plain_center) c
+          ON c.bill_code = l.bill_code AND c.d = to_date(l.create_time)
+        LEFT JOIN (SELECT DISTINCT sale_order_code AS o, to_date(create_time) AS d, product_code, '{stock.SALE_GIFT}' AS given FROM plain_lines) w
+          ON w.o = p.origin_bill_code AND w.d = to_date(l.create_time) AND w.product_code = l.goods_code""")
+    rows = sorted(map(str, got.collect()))
+    assert got.columns == want.columns and rows == sorted(map(str, want.collect())) and len(rows) > 20
+
+
 def test_documents_of_other_days_stay_out(spark, tmp_path, facts):
     folder, (first, last) = f"file://{tmp_path}", (D(2020, 1, 10), D(2020, 1, 14))
     whole, span = combined(spark, folder, *facts[:3]), combined(spark, folder, *facts[:3], first, last)

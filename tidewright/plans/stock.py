@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import storage_sign
@@ -27,12 +27,19 @@ IN_TRANSIT = "ON_STORAGE"
 SALE_GIFT = "零售赠送"
 
 
-def _changes(ledger: DataFrame, batches: DataFrame, stock: DataFrame, first: Day, last: Day):
-    """Ledger rows with batch cost and stock price, at the names of the change table."""
-    moved = ledger.where(on_days(F.col("create_time"), first, last)).withColumnsRenamed(
+def _at_stock_keys(ledger: DataFrame, first: Day, last: Day) -> DataFrame:
+    """Ledger rows of the wanted days at the names of the stock keys."""
+    return ledger.where(on_days(F.col("create_time"), first, last)).withColumnsRenamed(
         {"from_location_code": "location_code", "from_location_storage": "storage"}
     )
-    return _with_values(moved, batches, stock, moved)
+
+
+def _changes(
+    ledger: DataFrame, batches: DataFrame, stock: DataFrame, first: Day, last: Day, *more: Column | str
+) -> DataFrame:
+    """Change rows with batch cost and stock price, and what else of the ledger is wanted."""
+    moved = _at_stock_keys(ledger, first, last)
+    return _with_values(moved.select(*_row_columns(), *more), batches, stock, moved)
 
 
 def _with_values(moved: DataFrame, batches: DataFrame, stock: DataFrame, keys_of: DataFrame) -> DataFrame:
@@ -55,22 +62,35 @@ def valued(stock: DataFrame, batches: DataFrame) -> DataFrame:
     return stock.select(*STOCK_KEYS, "price", "flow_price").join(_costs(batches), BATCH_KEYS)
 
 
-def _change_columns():
+def _row_columns() -> list[Column | str]:
+    """What a change row takes from the ledger, as narrow as it is moved."""
     return [
         F.to_date("create_time").alias("date"),
+        *STOCK_KEYS,
+        "amount",
+        storage_sign(F.col("bill_purpose")).alias("in_out_flag"),
+        F.coalesce("inflow_price", "outflow_price").alias("real_price"),
+        "bill_type",
+        F.col("bill_code").alias("offset_bill_code"),
+    ]
+
+
+def _change_columns() -> list[Column | str]:
+    return [
+        "date",
         "batch_no",
         "supplier_code",
         F.col("goods_code").alias("product_code"),
         F.col("location_code").alias("station_code"),
         "storage",
         "amount",
-        storage_sign(F.col("bill_purpose")).alias("in_out_flag"),
+        "in_out_flag",
         "price",
-        F.coalesce("inflow_price", "outflow_price").alias("real_price"),
+        "real_price",
         "flow_price",
         "cost_price",
         "bill_type",
-        F.col("bill_code").alias("offset_bill_code"),
+        "offset_bill_code",
     ]
 
 
@@ -79,7 +99,7 @@ def stock_change_erp(
     first: Day = None, last: Day = None,
 ) -> DataFrame:
     """Change rows whose sale order is found through the collection document of the same day."""
-    rows = _changes(ledger, batches, stock, first, last).select(
+    rows = _changes(ledger, batches, stock, first, last, "create_time").select(
         *_change_columns(), "create_time", F.col("create_time").alias("stock_date")
     )
     papers = collected.select(
@@ -100,11 +120,11 @@ def stock_change_center(
     first: Day = None, last: Day = None,
 ) -> DataFrame:
     """Change rows of the older system: times come from the update, the bill is its own."""
-    return _changes(ledger, batches, stock, first, last).select(
+    return _changes(ledger, batches, stock, first, last, "update_time", "stock_date").select(
         *_change_columns(),
         F.col("update_time").alias("create_time"),
         "stock_date",
-        "bill_code",
+        F.col("offset_bill_code").alias("bill_code"),
     ).withColumn("origin_system", F.lit("YH"))
 
 
@@ -121,11 +141,13 @@ def bucketed_facts(
 def stock_change_bucketed(facts: DataFrame, lookup: DataFrame, first: Day = None, last: Day = None) -> DataFrame:
     """``stock_change_center`` from the two bucketed tables: the ledger is not moved."""
     moved = facts.where(on_days(F.col("create_time"), first, last))
-    return join_bucketed(moved, lookup, STOCK_KEYS).select(
+    values = ["supplier_code", "price", "flow_price", "cost_price"]
+    found = join_bucketed(moved, lookup, STOCK_KEYS).select(*_row_columns(), "update_time", "stock_date", *values)
+    return found.select(
         *_change_columns(),
         F.col("update_time").alias("create_time"),
         "stock_date",
-        "bill_code",
+        F.col("offset_bill_code").alias("bill_code"),
     ).withColumn("origin_system", F.lit("YH"))
 
 
@@ -157,52 +179,42 @@ def stock_change_combined(
     center = center_gifts.where(wanted).select(
         F.col("bill_code").alias("offset_bill_code"),
         F.to_date("create_time").alias("date"),
-        F.lit(center_gift_label).alias("_center"),
-    ).distinct()
+    ).distinct().withColumn("_center", F.lit(center_gift_label))
     with_sale = gift_lines.where(wanted).select(
         F.col("sale_order_code").alias("bill_code"),
         F.to_date("create_time").alias("date"),
         "product_code",
-        F.lit(SALE_GIFT).alias("_sale"),
-    ).distinct()
-    # Everything known per document is put together first, so the many ledger rows of a document
-    # meet it in one join whose hot keys can be seen in the ledger.  Rows without a document drop
-    # out there, before they are moved to their stock.
+    ).groupBy("bill_code", "date").agg(F.collect_set("product_code").alias("_given"))
+    # Everything known per document is put together first, also the products given away with its
+    # sale, so the many ledger rows of a document meet it in one join whose hot keys can be seen in
+    # the ledger.  Rows without a document drop out there, before they are moved to their stock.
     documents = (
         papers.join(sold, ["bill_code", "date"], "left")
+        .join(with_sale, ["bill_code", "date"], "left")
         .join(own, "offset_bill_code", "left")
         .join(center, ["offset_bill_code", "date"], "left")
+        .withColumn("_reason", F.coalesce("_own", "_center"))
+        .drop("_own", "_center")
     )
-    moved = ledger.where(wanted).withColumnsRenamed(
-        {"from_location_code": "location_code", "from_location_storage": "storage"}
-    )
+    moved = _at_stock_keys(ledger, first, last)
     scanned = moved.select(
         F.col("bill_code").alias("offset_bill_code"), F.to_date("create_time").alias("date")
     )
-    papered = split_join(
-        moved.withColumnRenamed("bill_code", "offset_bill_code").withColumn("date", F.to_date("create_time")),
-        documents, ["offset_bill_code", "date"], keys_of=scanned,
-    ).withColumnsRenamed({"bill_code": "_bill", "offset_bill_code": "bill_code"})
-    found = ["sale_type", "_own", "_center"]
-    rows = _with_values(papered, batches, stock, moved).select(
-        *_change_columns(),
-        F.when(F.col("origin_system") == "YH", F.col("update_time"))
-        .otherwise(F.col("create_time"))
-        .alias("create_time"),
-        F.col("_bill").alias("bill_code"),
-        *found,
+    time = F.when(F.col("origin_system") == "YH", F.col("update_time")).otherwise(F.col("create_time"))
+    given = F.when(F.array_contains("_given", F.col("goods_code")), F.lit(SALE_GIFT))
+    papered = (
+        split_join(
+            moved.select(*_row_columns(), time.alias("create_time")),
+            documents, ["offset_bill_code", "date"], keys_of=scanned,
+        )
+        .withColumn("present_reason", F.coalesce("_reason", given))
+        .drop("_reason", "_given")
     )
-    # Where a gift line may be hot is seen without stock and batches.
-    sale_keys = moved.select(
-        F.col("bill_code").alias("offset_bill_code"),
-        F.to_date("create_time").alias("date"),
-        F.col("goods_code").alias("product_code"),
-    ).join(papers, ["offset_bill_code", "date"])
-    return (
-        split_join(rows, with_sale, ["bill_code", "date", "product_code"], "left", keys_of=sale_keys)
-        .withColumn("present_reason", F.coalesce("_own", "_center", "_sale"))
-        .drop("_own", "_center", "_sale")
+    rows = _with_values(papered, batches, stock, moved).select(
+        "bill_code", *_change_columns(), "create_time", "sale_type", "present_reason"
     )
+    keys = ["bill_code", "date", "product_code"]
+    return rows.select(*keys, *[c for c in rows.columns if c not in keys])
 
 
 def gift_reasons(gifts: DataFrame) -> DataFrame:
