@@ -84,6 +84,15 @@ def split_join(
     return dealt.join(repeated, [*keys, "_slice"], how).drop("_slice")
 
 
+def deal(rows: DataFrame, keys: Sequence[str], keys_of: DataFrame) -> DataFrame:
+    """Rows dealt by ``keys``, so that sums by these and more columns move none of them again.
+
+    Where the scan ``keys_of`` has a key with too many rows for a task, they stay where they are and
+    collapse to their sums before these move.
+    """
+    return rows if hot_hashes(keys_of, keys) else rows.repartition(*keys)
+
+
 def deal_groups(
     facts: DataFrame, lookup: DataFrame, keys: Sequence[str], group: Sequence[str], keys_of: DataFrame
 ) -> tuple[DataFrame, DataFrame, list[str]]:

@@ -12,7 +12,7 @@ from ..functions.codes import hour_band
 from ..functions.dates import on_days
 from ..operators.allocate import AMOUNT_TYPE, SHARE_TYPE, ratio, shares, spread
 from ..operators.numbering import surrogate_ids
-from ..operators.skew import deal_groups, hot_hashes, split_join
+from ..operators.skew import deal, deal_groups, split_join
 
 Day = dt.date | None
 CATEGORIES = (
@@ -95,15 +95,6 @@ def _each_place(sums: DataFrame) -> DataFrame:
     return sums.withColumn("_place", F.explode(times)).drop("_place", "_places")
 
 
-def _by_order(rows: DataFrame, scan: DataFrame) -> DataFrame:
-    """Rows dealt by order, so that no sum of an order's rows moves them again.
-
-    Where the scan behind them has an order with too many rows for a task, they stay where they are
-    and collapse to the sums before these move.
-    """
-    return rows if hot_hashes(scan, ["sale_order_code"]) else rows.repartition("sale_order_code")
-
-
 def _with_place_and_goods(sums: DataFrame, place: DataFrame, goods: DataFrame) -> DataFrame:
     """Sums with the columns of their station and product; the wider products come last, so that no
     shuffle moves them once for every row."""
@@ -301,7 +292,7 @@ def money_section(
         .drop("_money", "real_money")
     )
     received = (
-        _by_order(_only(payments, wanted, first, last), payments)
+        deal(_only(payments, wanted, first, last), ["sale_order_code"], payments)
         .join(pay_methods.select("pay_method_code", "pay_method_name"), "pay_method_code")
         .groupBy("sale_order_code", "pay_method_name")
         .agg(F.sum("actual_money").cast(AMOUNT_TYPE).alias("_paid"))
