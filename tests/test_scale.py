@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tidewright.operators import skew
+from tidewright.operators import allocate, skew
 from tidewright.plans import sales
 
 PART = ("fina_category_name", *sales.CATEGORIES, *sales.CATEGORY_CODES)
@@ -99,6 +99,45 @@ def test_payments_are_summed_by_the_number_of_a_class(spark, shop):
     assert [g[1] for g in got] == pytest.approx([w[1] for w in want])
 
 
+def test_an_order_is_moved_as_one_row_for_all_its_pairs(spark, shop):
+    orders, details, products, _ = shop
+    payments = spark.createDataFrame(
+        [(1, 1, 13.0), (1, 2, 4.0), (2, 1, 5.0), (2, 3, None), (3, 9, 1.0)], "sale_order_code long, pay_method_code long, m double"
+    ).selectExpr("sale_order_code", "pay_method_code", "CAST(m AS DECIMAL(14,4)) AS actual_money")
+    methods = spark.createDataFrame([(1, "cash"), (2, None), (3, "card")], "pay_method_code long, pay_method_name string")
+
+    def build():
+        return sales.pay_by_category(orders, details, payments, methods, products)
+
+    found = _no_broadcast(spark, build)
+    assert not [x for x in found if "_class" in x and "station_code" in x]
+    got = {(r["sale_type_name"], r["category_two_name"], r["pay_method_name"]): float(r["pay_money"]) for r in build().collect()}
+    # of order 1 the classes have 10 and 16 of 26, as its product 12 is listed twice
+    assert got == {
+        ("till", "category_two_namea", "cash"): pytest.approx(5.0), ("till", "category_two_nameb", "cash"): pytest.approx(8.0),
+        ("till", "category_two_namea", None): pytest.approx(40 / 26), ("till", "category_two_nameb", None): pytest.approx(64 / 26),
+        ("till", None, "cash"): pytest.approx(-5.0),
+    }
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_by_orders_equals_spread_by_pairs(spark, how):
+    amounts = spark.createDataFrame(
+        [(1, "d", "s", "m", 3.0), (1, "d", "s", None, 4.0), (1, "d", "s", "m", None), (2, "d", "s", "m", 5.0), (4, "e", None, "n", 6.0),
+         (None, "d", "s", "m", 7.0), (3, None, "t", "n", None), (3, "d", "t", "n", 9.0)],
+        "o long, day string, station string, method string, p double",
+    ).withColumn("p", F.col("p").cast("decimal(24,4)"))
+    parts = spark.createDataFrame(
+        [(1, "a", 0.25), (1, None, 0.75), (2, "a", 1.0), (3, "a", None), (3, "b", 0.5), (None, "a", 0.5)], "o long, c string, share double"
+    ).withColumn("share", F.col("share").cast("decimal(19,12)"))
+    keys = ["day", "station", "method", "c"]
+    plainly = allocate.spread(amounts, parts, "o", "p", keys, "x", how)
+    dealt = allocate.spread(amounts, parts, "o", "p", keys, "x", how, by=["day", "station"])
+    assert dealt.schema.simpleString() == plainly.schema.simpleString()
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plainly.collect()))
+    assert dealt.count() == {"inner": 8, "left": 9}[how]
+
+
 def test_pairs_of_lines_and_payments_are_not_moved(spark, shop):
     orders, details, products, stations = shop
     orders = orders.withColumn("real_money", F.col("sale_order_code").cast("decimal(12,2)") - 2)  # order 2 has none

@@ -222,9 +222,9 @@ def _days(column: str, first: Day, last: Day) -> Column:
 def _category_shares(
     lines: DataFrame, products: DataFrame, details: DataFrame, *categories: str
 ) -> DataFrame:
-    """Part of each category in the real money of its order; hot products are counted on ``details``."""
+    """Part of each category in the real money of its order; hot keys are counted on ``details``."""
     money = (
-        split_join(lines, products, ["product_code"], keys_of=details)
+        deal(split_join(lines, products, ["product_code"], keys_of=details), ["sale_order_code"], details)
         .groupBy("sale_order_code", *categories)
         .agg(F.sum(F.col("sale_real_price") * F.col("sale_amount")).alias("_money"))
     )
@@ -248,9 +248,9 @@ def pay_by_category(
     bought = _only(details, wanted, first, last)
     codes, names = _classes(products, "fina_category_name", *CATEGORIES)
     parts = _category_shares(bought, codes, details, "_class")
-    keys = ["create_date", "sale_type_name", "_class", "station_code", "pay_method_name"]
+    by_order = ["create_date", "sale_type_name", "station_code"]
     return (
-        spread(paid, parts, "sale_order_code", "_paid", keys, "pay_money")
+        spread(paid, parts, "sale_order_code", "_paid", [*by_order, "_class", "pay_method_name"], "pay_money", by=by_order)
         .where(F.col("pay_money") != 0)
         .join(names, "_class")
         .select(
