@@ -12,7 +12,7 @@ from ..functions.codes import hour_band
 from ..functions.dates import on_days
 from ..operators.allocate import AMOUNT_TYPE, SHARE_TYPE, ratio, shares, spread
 from ..operators.numbering import surrogate_ids
-from ..operators.skew import deal, deal_groups, split_join
+from ..operators.skew import deal, deal_groups, hot_hashes, split_join
 
 Day = dt.date | None
 CATEGORIES = (
@@ -249,8 +249,11 @@ def pay_by_category(
     codes, names = _classes(products, "fina_category_name", *CATEGORIES)
     parts = _category_shares(bought, codes, details, "_class")
     by_order = ["create_date", "sale_type_name", "station_code"]
+    keys = [*by_order, "_class", "pay_method_name"]
+    # One day of one station may have too many orders for a task; their pairs are then dealt by all keys.
+    by = [] if hot_hashes(wanted, by_order) else by_order
     return (
-        spread(paid, parts, "sale_order_code", "_paid", [*by_order, "_class", "pay_method_name"], "pay_money", by=by_order)
+        spread(paid, parts, "sale_order_code", "_paid", keys, "pay_money", by=by)
         .where(F.col("pay_money") != 0)
         .join(names, "_class")
         .select(
